@@ -12,7 +12,8 @@ def roll_up(per_group: DataFrame, by: str, rows: str, *measures: Column) -> Data
     Rolling up the few group rows instead of the input keeps one scan and does not double the
     input. An added row that counts nothing makes the total appear for an empty input as well.
     """
-    nothing = per_group.sparkSession.range(1).select(F.lit(0).cast("bigint").alias(rows))
+    one_row = per_group.sparkSession.range(0, 1, 1, 1)
+    nothing = one_row.select(F.lit(0).cast("bigint").alias(rows))
     rolled = (
         per_group.unionByName(nothing, allowMissingColumns=True)
         .rollup(named(by))

@@ -26,5 +26,5 @@ class Run:
     def start(cls, spark: SparkSession) -> Run:
         """A fresh id, the current instant, and its date in the session time zone."""
         now = datetime.now(timezone.utc)
-        today = spark.range(1).select(F.lit(now).cast("date").alias("d")).first()["d"]
+        today = spark.range(0, 1, 1, 1).select(F.lit(now).cast("date").alias("d")).first()["d"]
         return cls(str(uuid.uuid4()), now, today)

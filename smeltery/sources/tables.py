@@ -22,6 +22,7 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 
 from smeltery.functions import named
 from smeltery.operators.quality import REPORT_SCHEMA
+from smeltery.session import WRITE_SETTINGS, settings
 from smeltery.sources.schemas import aligned, extended
 
 LOG_SCHEMA = "seq BIGINT, run_id STRING, logged_at TIMESTAMP, location STRING, schema STRING"
@@ -122,6 +123,8 @@ def footer_counts(spark: SparkSession, table: Table) -> DataFrame | None:
     session = spark.newSession()
     for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
         session.conf.set(key, spark.conf.get(key))
+    for key, value in WRITE_SETTINGS.items():
+        session.conf.set(key, value)
     session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
     v1 = session.conf.get("spark.sql.sources.useV1SourceList").split(",")
     session.conf.set("spark.sql.sources.useV1SourceList", ",".join(s for s in v1 if s != "parquet"))
@@ -138,7 +141,8 @@ def _write(df: DataFrame, table: Table, location: str, mode: str, rebalance: boo
         # packs small ones together.
         df = df.hint("rebalance", *[named(c) for c in table.partition_by])
     writer = df.write.format(table.fmt).mode(mode).partitionBy(*table.partition_by)
-    writer.save(f"{table.path}/{location}")
+    with settings(df.sparkSession, WRITE_SETTINGS):
+        writer.save(f"{table.path}/{location}")
 
 
 def append(
