@@ -1,6 +1,7 @@
 """Column expressions shared by the operators; all are built-in and stay in generated code."""
 
 from smeltery.functions.columns import (
+    ISO_DATE,
     banded,
     discounted,
     named,
@@ -11,6 +12,7 @@ from smeltery.functions.columns import (
 )
 
 __all__ = [
+    "ISO_DATE",
     "banded",
     "discounted",
     "named",

@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smeltery.functions import banded, discounted, named, normalised_name, strict_date
+from smeltery.functions import ISO_DATE, banded, discounted, named, normalised_name, strict_date
 
 Rules = Mapping[str, Column]
 
@@ -30,7 +30,7 @@ def clean(df: DataFrame, rules: Rules) -> DataFrame:
 
 
 def with_date_parts(
-    df: DataFrame, text: str, date: str, year: str, month: str, pattern: str = "yyyy-MM-dd"
+    df: DataFrame, text: str, date: str, year: str, month: str, pattern: str = ISO_DATE
 ) -> DataFrame:
     """Parse a text date and take its year and month; rows that do not parse keep NULLs."""
     parsed = df.withColumn(date, strict_date(named(text), pattern))

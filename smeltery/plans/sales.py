@@ -65,7 +65,6 @@ SILVER = StructType(
 SILVER_CONTROL = ("silver_load_timestamp", "silver_load_id", "silver_quality_score")
 SILVER_COLUMNS = tuple(c for c in SILVER.names if c not in SILVER_CONTROL)
 CRITICAL_FIELDS = ("id_venda", "cliente_normalizado", "valor", "data_venda_date")
-DATE_PATTERN = "yyyy-MM-dd"
 BANDS = ((100, "Baixo"), (200, "Médio"))
 TOP_BAND = "Alto"
 DISCOUNT_ABOVE = 200
@@ -133,7 +132,6 @@ def enrich(df: DataFrame) -> DataFrame:
             date="data_venda_date",
             year="ano_venda",
             month="mes_venda",
-            pattern=DATE_PATTERN,
         )
         .transform(
             refine.with_discount, "valor", "valor_com_desconto", DISCOUNT_ABOVE, DISCOUNT_FACTOR

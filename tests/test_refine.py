@@ -1,12 +1,15 @@
 """Row-wise rules, one edge row each."""
 
 import math
+import random
+import re
 from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from smeltery.functions import strict_date
 from smeltery.operators import quality, refine
 from smeltery.plans import sales
 from smeltery.run import Run
@@ -180,3 +183,35 @@ def test_rules_may_be_any_predicates(spark):
     numbers = spark.range(10)
     rules = {"even": F.col("id") % 2 == 0, "small": F.col("id") < 5}
     assert [r["id"] for r in refine.clean(numbers, rules).collect()] == [0, 2, 4]
+
+
+def test_strict_dates_equal_the_pattern_parser(spark):
+    """Mutated dates, within the years that the parser itself can represent."""
+    source = random.Random(7)
+    seeds = ["2024-06-15", "0000-01-01", "9999-12-31", "+12024-06-15", "-0001-01-01", "2024-6-5",
+             "+2024-06-15", "12024-06-15", "2024-06-5T", "      2024", " 2024-06-5", "2023-02-29",
+             "+00040-01-01", "-00071-01-01", "-00000-01-01", "1582-10-10", "２０２４-06-15"]
+    texts = set(seeds)
+    for _ in range(20_000):
+        chars = list(source.choice(seeds))
+        for _ in range(source.randint(1, 3)):
+            at = source.randrange(len(chars))
+            chars[at : at + source.randint(0, 1)] = source.choice("0123456789-- +T:Z\t\n/a")
+        texts.add("".join(chars))
+    texts = [t for t in texts if not re.search(r"\d{6,}-", t)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    both = rows.select("t", strict_date(F.col("t")).alias("ours"),
+                       F.try_to_date("t", "yyyy-MM-dd").alias("parser"))
+    assert both.where("ours IS NOT NULL").count() > 100
+    assert both.where("NOT ours <=> parser").collect() == []
+
+
+def test_far_years_do_not_fail(spark):
+    rows = spark.createDataFrame([("+999999999-01-01",), ("+5881581-01-01",)], "t STRING")
+    assert rows.select(strict_date(F.col("t")).alias("d")).where("d IS NOT NULL").count() == 0
+
+
+def test_other_date_patterns(spark):
+    rows = spark.createDataFrame([("15/06/2024",), ("2024-06-15",)], "t STRING")
+    got = rows.select(strict_date(F.col("t"), "dd/MM/yyyy").alias("d")).collect()
+    assert [r["d"] for r in got] == [date(2024, 6, 15), None]
