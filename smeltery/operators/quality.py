@@ -11,8 +11,6 @@ from smeltery.functions import named, null_count, share
 from smeltery.operators.refine import Rules, every
 from smeltery.operators.rollup import roll_up
 
-REPORT_SCHEMA = "metric STRING, field STRING, value DOUBLE"
-
 
 def clean_counts(df: DataFrame, rules: Rules) -> DataFrame:
     """Rows before and after cleaning, from one scan."""

@@ -21,7 +21,7 @@ def stamp(df: DataFrame, **values: object) -> DataFrame:
 
 def every(rules: Rules) -> Column:
     """All rules ANDed; a rule that evaluates to NULL fails its row."""
-    return reduce(and_, rules.values())
+    return reduce(and_, rules.values(), F.lit(True))
 
 
 def clean(df: DataFrame, rules: Rules) -> DataFrame:

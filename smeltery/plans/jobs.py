@@ -83,17 +83,20 @@ def refresh_silver(
     """Rebuild silver from all of bronze: stage, audit what was stored, publish if it passes.
 
     Bronze is scanned once. ``rebalance=False`` spares the shuffle before the write where the
-    input files are large enough that a task meets only one or two months.
+    input files are large enough that a task meets only one or two months; compaction then
+    repairs the layout if it did not turn out so.
     """
     refined = sales.stamp_silver(sales.to_silver(bronze), run)
     tables.stage(refined, silver, run.id, rebalance)
-    staged = tables.read_staged(spark, silver, run.id, refined.schema)
-    audit = tables.keep_audit(sales.quality_report(staged), silver, run.id)
+    rows = tables.read_staged(spark, silver, run.id, refined.schema)
+    audit = tables.keep_audit(sales.quality_report(rows), silver, run.id)
     ok = quality.passes(audit)
     if ok:
         tables.publish(spark, silver, run.id, refined.schema)
-        tables.compact(spark, silver, f"{run.id}-compacted")
-    rows = tables.read(spark, silver) if tables.exists(spark, silver) else None
+        if not rebalance and tables.compact(spark, silver, f"{run.id}-compacted"):
+            rows = tables.read(spark, silver)
+    else:
+        rows = tables.read(spark, silver) if tables.exists(spark, silver) else None
     if rows is not None:
         sales.register_view(rows)
     return SilverRefresh(ok, audit, rows)

@@ -4,62 +4,54 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    BooleanType,
-    DateType,
-    DoubleType,
-    IntegerType,
-    StringType,
-    StructField,
-    StructType,
-    TimestampType,
-)
+from pyspark.sql.types import StructType
 
 from smeltery.operators import quality, refine, reports
 from smeltery.run import Run
 from smeltery.sources.tables import Table
 
+
+def _schema(**columns: str) -> StructType:
+    schema = StructType()
+    for name, kind in columns.items():
+        schema.add(name, kind)
+    return schema
+
+
 # Column names, types, labels and thresholds that users of these tables rely on.
 
-RAW = StructType(
-    [
-        StructField("id_venda", IntegerType()),
-        StructField("cliente", StringType()),
-        StructField("produto", StringType()),
-        StructField("valor", DoubleType()),
-        StructField("data_venda", StringType()),
-        StructField("estado", StringType()),
-    ]
+_RAW = dict(
+    id_venda="integer",
+    cliente="string",
+    produto="string",
+    valor="double",
+    data_venda="string",
+    estado="string",
 )
-
-BRONZE = StructType(
-    RAW.fields
-    + [
-        StructField("bronze_load_timestamp", TimestampType()),
-        StructField("bronze_load_id", StringType()),
-        StructField("bronze_source_system", StringType()),
-        StructField("bronze_file_name", StringType()),
-        StructField("bronze_is_deleted", BooleanType()),
-    ]
+RAW = _schema(**_RAW)
+BRONZE = _schema(
+    **_RAW,
+    bronze_load_timestamp="timestamp",
+    bronze_load_id="string",
+    bronze_source_system="string",
+    bronze_file_name="string",
+    bronze_is_deleted="boolean",
 )
-
-SILVER = StructType(
-    [
-        StructField("id_venda", IntegerType()),
-        StructField("cliente_normalizado", StringType()),
-        StructField("produto", StringType()),
-        StructField("valor", DoubleType()),
-        StructField("valor_com_desconto", DoubleType()),
-        StructField("categoria_valor", StringType()),
-        StructField("data_venda_date", DateType()),
-        StructField("ano_venda", IntegerType()),
-        StructField("mes_venda", IntegerType()),
-        StructField("estado", StringType()),
-        StructField("bronze_load_id", StringType()),
-        StructField("silver_load_timestamp", TimestampType()),
-        StructField("silver_load_id", StringType()),
-        StructField("silver_quality_score", IntegerType()),
-    ]
+SILVER = _schema(
+    id_venda="integer",
+    cliente_normalizado="string",
+    produto="string",
+    valor="double",
+    valor_com_desconto="double",
+    categoria_valor="string",
+    data_venda_date="date",
+    ano_venda="integer",
+    mes_venda="integer",
+    estado="string",
+    bronze_load_id="string",
+    silver_load_timestamp="timestamp",
+    silver_load_id="string",
+    silver_quality_score="integer",
 )
 
 SILVER_CONTROL = ("silver_load_timestamp", "silver_load_id", "silver_quality_score")

@@ -16,15 +16,26 @@ WRITE_SETTINGS = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
+# Partition values that share a shuffle partition also share every task it is split into, and each
+# such task writes a file per value. Many small shuffle partitions keep values apart; adaptive
+# execution merges what stays small. Beyond 2000 Spark keeps only average sizes per map task.
+REBALANCE_SETTINGS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000"}
+
+# Files whose contents are not read cost one look-up each, so a task may take many.
+LISTING_SETTINGS = {"spark.sql.files.maxPartitionBytes": "64GB"}
+
 
 @contextmanager
 def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
     """Apply settings for the actions inside the block, then put the caller's back."""
-    before = {key: spark.conf.get(key) for key in values}
+    before = {key: spark.conf.get(key, None) for key in values}
     try:
         for key, value in values.items():
             spark.conf.set(key, value)
         yield
     finally:
         for key, value in before.items():
-            spark.conf.set(key, value)
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

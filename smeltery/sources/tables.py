@@ -21,8 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from smeltery.functions import named
-from smeltery.operators.quality import REPORT_SCHEMA
-from smeltery.session import WRITE_SETTINGS, settings
+from smeltery.session import LISTING_SETTINGS, REBALANCE_SETTINGS, WRITE_SETTINGS, settings
 from smeltery.sources.schemas import aligned, extended
 
 LOG_SCHEMA = "seq BIGINT, run_id STRING, logged_at TIMESTAMP, location STRING, schema STRING"
@@ -135,13 +134,15 @@ def footer_counts(spark: SparkSession, table: Table) -> DataFrame | None:
 
 
 def _write(df: DataFrame, table: Table, location: str, mode: str, rebalance: bool) -> None:
+    applied = WRITE_SETTINGS
     if rebalance and table.partition_by:
         # One file per partition value and output task instead of one per input task. The
         # adaptive planner splits a value that outgrows the advisory size over several tasks and
         # packs small ones together.
         df = df.hint("rebalance", *[named(c) for c in table.partition_by])
+        applied = WRITE_SETTINGS | REBALANCE_SETTINGS
     writer = df.write.format(table.fmt).mode(mode).partitionBy(*table.partition_by)
-    with settings(df.sparkSession, WRITE_SETTINGS):
+    with settings(df.sparkSession, applied):
         writer.save(f"{table.path}/{location}")
 
 
@@ -178,7 +179,7 @@ def keep_audit(report: DataFrame, table: Table, run_id: str) -> DataFrame:
     """Store a run's audit rows once and return them as read back, whatever is asked of them."""
     path = f"{table.path}/audits/{run_id}"
     report.coalesce(1).write.parquet(path)
-    return report.sparkSession.read.schema(REPORT_SCHEMA).parquet(path)
+    return report.sparkSession.read.schema(report.schema).parquet(path)
 
 
 # --- file layout
@@ -202,11 +203,13 @@ def file_summary(spark: SparkSession, table: Table, small: int = 16 * MIB) -> Ro
             F.count_if(F.col("length") < small).alias("small"),
         )
     )
-    return per_partition.agg(
+    totals = per_partition.agg(
         F.coalesce(F.sum("files"), F.lit(0)).alias("files"),
         F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
         F.coalesce(F.sum(F.greatest(F.col("small") - 1, F.lit(0))), F.lit(0)).alias("surplus"),
-    ).first()
+    )
+    with settings(spark, LISTING_SETTINGS):
+        return totals.first()
 
 
 def has_large_files(spark: SparkSession, table: Table, average: int = 64 * MIB) -> bool:

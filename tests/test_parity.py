@@ -1,12 +1,14 @@
 """Every registered query against its SQL on the same files."""
 
+import os
+
 import duckdb
 import pandas as pd
 import pytest
 
 import __spark_entry__ as driver
 
-SF = "/root/testdata/sf0.01"
+SF = os.environ.get("PARITY_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
