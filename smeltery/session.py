@@ -19,7 +19,12 @@ WRITE_SETTINGS = {
 # Partition values that share a shuffle partition also share every task it is split into, and each
 # such task writes a file per value. Many small shuffle partitions keep values apart; adaptive
 # execution merges what stays small. Beyond 2000 Spark keeps only average sizes per map task.
-REBALANCE_SETTINGS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000"}
+# A rebalanced task holds no more than the advisory size, so it can keep a few files open instead
+# of sorting its rows; past that number Spark sorts the rest.
+REBALANCE_SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
+}
 
 # Files whose contents are not read cost one look-up each, so a task may take many.
 LISTING_SETTINGS = {"spark.sql.files.maxPartitionBytes": "64GB"}

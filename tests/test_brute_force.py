@@ -1,0 +1,153 @@
+"""Whole pipeline steps against plain Python over random rows, a third of them in one hot group."""
+
+import math
+import random
+from collections import Counter, defaultdict
+from datetime import date, datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from smeltery.operators import quality, reports
+from smeltery.plans import sales
+from smeltery.run import Run
+
+RUN = Run("r1", datetime(2024, 6, 18, 9, tzinfo=timezone.utc), date(2024, 6, 18))
+NAMES = [None, "", "  ana LIMA ", "joão da silva", "PEDRO", "x  y"]
+DATES = [None, "2024-06-15", "2024-06-16", "2023-12-31", "2024-02-30", "abc", "2024-6-5"]
+STATES = [None, "SP", "RJ", "MG", "RS"]
+
+
+def random_rows(seed, n=3000):
+    pick = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        hot = pick.random() < 1 / 3
+        rows.append(
+            (
+                7 if hot else pick.choice([None, *range(400)]),
+                "Hot Customer" if hot else pick.choice(NAMES),
+                pick.choice(["A", "B", None]),
+                pick.choice([None, -5.0, 0.0, 100.0, 200.0, round(pick.uniform(0, 400), 2)]),
+                "2024-06-15" if hot else pick.choice(DATES),
+                "SP" if hot else pick.choice(STATES),
+            )
+        )
+    return rows
+
+
+def proper(text):
+    return " ".join(w[:1].upper() + w[1:] for w in text.strip(" ").lower().split(" "))
+
+
+def parsed(text):
+    try:
+        return date.fromisoformat(text) if text and len(text) == 10 else None
+    except ValueError:
+        return None
+
+
+def refined(rows):
+    for key, name, product, value, day, state in rows:
+        if key is None or name is None or value is None or not value > 0:
+            continue
+        when = parsed(day)
+        band = "Baixo" if value <= 100 else "Médio" if value <= 200 else "Alto"
+        yield (
+            key,
+            proper(name),
+            product,
+            value,
+            value * 0.9 if value > 200 else value,
+            band,
+            when,
+            when and when.year,
+            when and when.month,
+            state,
+            "r1",
+        )
+
+
+@pytest.fixture(params=[1, 2])
+def case(request, spark):
+    rows = random_rows(request.param)
+    bronze = sales.stamp_bronze(
+        spark.createDataFrame(rows, sales.RAW).repartition(8, "estado"), RUN
+    )
+    return rows, bronze
+
+
+def test_silver(case):
+    rows, bronze = case
+    assert Counter(tuple(r) for r in sales.to_silver(bronze).collect()) == Counter(refined(rows))
+
+
+def test_clean_counts(case):
+    rows, bronze = case
+    got = quality.clean_counts(bronze, sales.clean_rules()).first()
+    assert (got["rows_in"], got["rows_kept"]) == (len(rows), len(list(refined(rows))))
+
+
+def test_quality_report(case):
+    rows, bronze = case
+    kept = list(refined(rows))
+    got = {(r["metric"], r["field"]): r["value"] for r in
+           sales.quality_report(sales.to_silver(bronze)).collect()}
+    values = [r[3] for r in kept]
+    assert got.pop(("average", "valor")) == pytest.approx(math.fsum(values) / len(values))
+    assert got == {
+        ("rows", "*"): len(kept),
+        ("nulls", "id_venda"): 0,
+        ("nulls", "cliente_normalizado"): 0,
+        ("nulls", "valor"): 0,
+        ("nulls", "data_venda_date"): sum(r[6] is None for r in kept),
+        ("maximum", "valor"): max(values),
+        ("duplicates", "id_venda"): len(kept) - len({r[0] for r in kept}),
+        **{("band_rows", b): n for b, n in Counter(r[5] for r in kept).items()},
+    }
+
+
+def test_reports(case):
+    rows, bronze = case
+    silver = sales.to_silver(bronze)
+    totals = defaultdict(list)
+    for r in refined(rows):
+        totals[r[9], r[5]].append(r[3])
+    got = {(r["estado"], r["categoria_valor"]): r for r in
+           sales.state_category_report(silver).collect()}
+    assert set(got) == set(totals)
+    for group, values in totals.items():
+        assert got[group]["total_vendas"] == len(values)
+        assert got[group]["receita_total"] == pytest.approx(math.fsum(values))
+        assert got[group]["ticket_medio"] == pytest.approx(math.fsum(values) / len(values))
+    by_state = defaultdict(float)
+    for (state, _), values in totals.items():
+        by_state[state] += math.fsum(values)
+    best = sorted(by_state, key=lambda s: -by_state[s])[:3]
+    assert [r["estado"] for r in sales.top_states(silver).collect()] == best
+    ranked = sales.silver_monitor(sales.stamp_silver(silver, RUN)).collect()
+    assert [r["estado"] for r in ranked[1:]] == best
+
+
+def test_null_profile_and_duplicates_of_raw_rows(case):
+    rows, bronze = case
+    profile = quality.null_profile(bronze, ["data_venda"]).first()
+    for i, column in enumerate(sales.RAW.names):
+        assert profile[column] == sum(r[i] is None for r in rows)
+    extra = quality.duplicate_count(bronze, "id_venda").first()["duplicates"]
+    assert extra == len(rows) - len({r[0] for r in rows})
+
+
+def test_distribution(case):
+    rows, bronze = case
+    got = {r["estado"]: r["count"] for r in reports.row_distribution(bronze, "estado").collect()}
+    assert got == Counter(r[5] for r in rows)
+
+
+def test_latest_rows(case):
+    rows, bronze = case
+    moments = F.expr("timestamp'2024-06-15 00:00:00' + make_dt_interval(0, id_venda % 9)")
+    timed = bronze.withColumn("bronze_load_timestamp", moments)
+    got = [r["id_venda"] for r in sales.latest_loads(timed, 40).collect()]
+    ids = sorted((r[0] for r in rows if r[0] is not None), key=lambda i: (-(i % 9), i))
+    assert got == ids[:40]

@@ -6,6 +6,7 @@ from pyspark.testing import assertDataFrameEqual
 from helpers import data_files
 from smeltery.plans import jobs, sales
 from smeltery.run import Run
+from smeltery.session import settings
 from smeltery.sources import tables
 from smeltery.sources.raw import read_raw
 from smeltery.sources.schemas import SchemaConflict, extended
@@ -220,6 +221,19 @@ def test_compaction_keeps_the_rows_in_fewer_files(spark, folder, raw, fmt):
     assert not tables.compact(spark, silver, "r3")  # nothing left to merge
 
 
+def test_refresh_without_the_shuffle_repairs_the_layout(spark, folder):
+    rows = [(i, f"name {i}", "p", float(i), f"2024-0{1 + i % 3}-15", "SP") for i in range(1, 91)]
+    raw = spark.createDataFrame(rows, sales.RAW).repartition(6, "id_venda")
+    raw.write.parquet(f"{folder}/in")
+    bronze = sales.stamp_bronze(spark.read.schema(sales.RAW).parquet(f"{folder}/in"), RUN)
+    silver = sales.silver_table(folder)
+    with settings(spark, {"spark.sql.files.openCostInBytes": "128MB"}):  # one file per task
+        done = jobs.refresh_silver(spark, bronze, silver, LATER, rebalance=False)
+    assert done.ok and len(data_files(f"{silver.path}/runs/r2")) > 3
+    assert tables.file_summary(spark, silver)["files"] == 3
+    assertDataFrameEqual(done.rows, sales.stamp_silver(sales.to_silver(bronze), LATER))
+
+
 def test_bronze_can_be_compacted_and_appended_to_again(spark, folder, raw):
     bronze = sales.bronze_table(folder)
     for i in range(3):
