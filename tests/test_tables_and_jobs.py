@@ -182,6 +182,16 @@ def test_rejected_refresh_leaves_the_published_rows(spark, folder, raw):
     assert {r["silver_load_id"] for r in rejected.rows.collect()} == {"r2"}
 
 
+def test_a_refresh_that_breaks_while_writing_leaves_the_published_rows(spark, folder, raw):
+    silver, bronze = sales.silver_table(folder), sales.stamp_bronze(raw, RUN)
+    jobs.refresh_silver(spark, bronze, silver, LATER)
+    broken = bronze.withColumn("valor", F.expr("if(id_venda = 5, raise_error('lost'), valor)"))
+    third = Run("r3", LATER.ts, LATER.as_of)
+    with pytest.raises(Exception, match="lost"):
+        jobs.refresh_silver(spark, broken, silver, third)
+    assert {r["silver_load_id"] for r in tables.read(spark, silver).collect()} == {"r2"}
+
+
 def test_refresh_replaces_the_schema(spark, folder, raw):
     silver = sales.silver_table(folder)
     old = raw.select("id_venda", F.lit(1).alias("ano_venda"), F.lit("x").alias("mes_venda"))
