@@ -14,9 +14,11 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from smeltery.operators import quality, refine, reports
 from smeltery.plans import jobs, sales
@@ -104,6 +106,13 @@ def rounded(df: DataFrame, **digits: int) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), d) for c, d in digits.items()})
 
 
+def utc_clock(df: DataFrame) -> DataFrame:
+    """Instants as UTC wall-clock times, the only kind of timestamp the SQL side has."""
+    instants = [f.name for f in df.schema.fields if isinstance(f.dataType, TimestampType)]
+    to_utc = partial(F.convert_timezone, F.current_timezone(), F.lit("UTC"))
+    return df.withColumns({c: to_utc(F.col(c).cast("timestamp_ntz")) for c in instants})
+
+
 # --- operators on the sales rows
 
 
@@ -152,7 +161,7 @@ def enriched(spark, sf_dir):
 
 
 def bronze_stamped(spark, sf_dir):
-    return sales.stamp_bronze(raw_sales(spark, sf_dir), BRONZE_RUN)
+    return utc_clock(sales.stamp_bronze(raw_sales(spark, sf_dir), BRONZE_RUN))
 
 
 def state_category_report(spark, sf_dir):
@@ -181,14 +190,16 @@ def quality_report(spark, sf_dir):
 
 def bronze_roundtrip(spark, sf_dir):
     bronze = sales.bronze_table(scratch(spark))
-    return jobs.ingest_bronze(spark, raw_sales(spark, sf_dir), bronze, BRONZE_RUN).rows
+    return utc_clock(
+        jobs.ingest_bronze(spark, raw_sales(spark, sf_dir), bronze, BRONZE_RUN).rows
+    )
 
 
 def bronze_evolved(spark, sf_dir):
     bronze, raw = sales.bronze_table(scratch(spark)), raw_sales(spark, sf_dir)
     jobs.ingest_bronze(spark, raw, bronze, BRONZE_RUN)
     wider = raw.withColumn("canal", F.col("produto"))
-    return jobs.ingest_bronze(spark, wider, bronze, SECOND_RUN).rows
+    return utc_clock(jobs.ingest_bronze(spark, wider, bronze, SECOND_RUN).rows)
 
 
 def bronze_monitor_stored(spark, sf_dir):
@@ -201,12 +212,13 @@ def latest_loads_stored(spark, sf_dir):
     bronze, raw = sales.bronze_table(scratch(spark)), raw_sales(spark, sf_dir)
     jobs.ingest_bronze(spark, raw, bronze, BRONZE_RUN)
     latest = jobs.ingest_bronze(spark, raw, bronze, SECOND_RUN).latest
-    return latest.select("bronze_load_timestamp", "bronze_load_id")
+    return utc_clock(latest.select("bronze_load_timestamp", "bronze_load_id"))
 
 
 def silver_roundtrip(spark, sf_dir, fmt="parquet"):
     target = sales.silver_table(scratch(spark), fmt)
-    return jobs.refresh_silver(spark, sales_rows(spark, sf_dir), target, SILVER_RUN).rows
+    done = jobs.refresh_silver(spark, sales_rows(spark, sf_dir), target, SILVER_RUN)
+    return utc_clock(done.rows)
 
 
 def silver_audit(spark, sf_dir):
@@ -221,7 +233,7 @@ def silver_published(spark, sf_dir):
     jobs.refresh_silver(spark, bronze, target, SILVER_RUN)
     all_deleted = bronze.withColumn("bronze_is_deleted", F.lit(True))
     rejected = jobs.refresh_silver(spark, all_deleted, target, LATER_SILVER_RUN)
-    return rejected.rows.withColumn("later_run_ok", F.lit(rejected.ok))
+    return utc_clock(rejected.rows).withColumn("later_run_ok", F.lit(rejected.ok))
 
 
 def silver_schema_replaced(spark, sf_dir):
@@ -231,7 +243,7 @@ def silver_schema_replaced(spark, sf_dir):
     for run, version in ((SILVER_RUN, earlier), (LATER_SILVER_RUN, rows)):
         tables.stage(version, target, run.id)
         tables.publish(spark, target, run.id, version.schema)
-    return tables.read(spark, target)
+    return utc_clock(tables.read(spark, target))
 
 
 def silver_compacted(spark, sf_dir):
@@ -241,7 +253,7 @@ def silver_compacted(spark, sf_dir):
     tables.stage(scattered, target, SILVER_RUN.id, rebalance=False)
     tables.publish(spark, target, SILVER_RUN.id, scattered.schema)
     tables.compact(spark, target, LATER_SILVER_RUN.id)
-    return tables.read(spark, target)
+    return utc_clock(tables.read(spark, target))
 
 
 def raw_json_read(spark, sf_dir):
@@ -330,7 +342,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "names_normalised": names_normalised,
         "enriched": enriched,
         "silver": silver,
-        "silver_stamped": stamped_silver,
+        "silver_stamped": lambda s, d: utc_clock(stamped_silver(s, d)),
         "null_profile": lambda s, d: quality.null_profile(sales_rows(s, d)),
         "critical_nulls": lambda s, d: quality.critical_nulls(silver(s, d), sales.CRITICAL_FIELDS),
         "duplicate_count": lambda s, d: quality.duplicate_count(silver(s, d), "id_venda"),

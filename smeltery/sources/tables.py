@@ -122,6 +122,7 @@ def footer_counts(spark: SparkSession, table: Table) -> DataFrame | None:
     session = spark.newSession()
     for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
         session.conf.set(key, spark.conf.get(key))
+    # The reader pushes a timestamp filter only for the form it would write itself.
     for key, value in WRITE_SETTINGS.items():
         session.conf.set(key, value)
     session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
@@ -186,17 +187,17 @@ def keep_audit(report: DataFrame, table: Table, run_id: str) -> DataFrame:
 
 
 def file_sizes(spark: SparkSession, table: Table) -> DataFrame:
-    """(path, length, partition columns) of every current data file; file contents are not read."""
-    entry = _entry(spark, table)
-    files = spark.read.format("binaryFile").load(f"{table.path}/{entry['location']}")
-    return files.select("path", "length", *[named(c) for c in table.partition_by])
+    """(directory, length) of every current data file; file contents are not read."""
+    location = f"{table.path}/{_entry(spark, table)['location']}"
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(location)
+    return files.select(F.regexp_extract("path", "^(.*)/", 1).alias("directory"), "length")
 
 
 def file_summary(spark: SparkSession, table: Table, small: int = 16 * MIB) -> Row:
     """Files, bytes, and surplus: the small files beyond one remainder per partition."""
     per_partition = (
         file_sizes(spark, table)
-        .groupBy(*[named(c) for c in table.partition_by])
+        .groupBy("directory")
         .agg(
             F.count(F.lit(1)).alias("files"),
             F.sum("length").alias("bytes"),
@@ -213,7 +214,11 @@ def file_summary(spark: SparkSession, table: Table, small: int = 16 * MIB) -> Ro
 
 
 def has_large_files(spark: SparkSession, table: Table, average: int = 64 * MIB) -> bool:
-    """Whether a scan task will hold only a file or two, hence only a partition value or two."""
+    """Whether the files are so large that rows written as they are read stay well packed.
+
+    A file holds one partition value. Where the written table's partitions are made of whole ones
+    of this table (months of days), a task writes at most one file per file it reads.
+    """
     summary = file_summary(spark, table)
     return summary["files"] > 0 and summary["bytes"] / summary["files"] >= average
 

@@ -13,8 +13,15 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-ORDERED = {"state_category_report", "state_category_sql", "top_states", "silver_monitor",
-           "latest_rows", "lineitem_revenue", "lineitem_top_suppliers"}
+ORDERED = {
+    "state_category_report",
+    "state_category_sql",
+    "top_states",
+    "silver_monitor",
+    "latest_rows",
+    "lineitem_revenue",
+    "lineitem_top_suppliers",
+}
 
 
 @pytest.fixture(scope="module")
@@ -29,12 +36,16 @@ def test_every_query_has_sql():
     assert set(driver.queries()) == set(driver.oracle_sql())
 
 
+def _types(table) -> dict[str, str]:
+    return {field.name: str(field.type) for field in table.schema}
+
+
 def _values(frame: pd.DataFrame) -> list[tuple]:
     columns = []
     for name in sorted(frame.columns):
         column = frame[name]
         missing = column.isna()
-        if pd.api.types.is_datetime64_any_dtype(column) or "date" in name or name.endswith("_timestamp"):
+        if pd.api.types.is_datetime64_any_dtype(column) or name.endswith("_date"):
             column = pd.to_datetime(column).astype("datetime64[us]").astype(str)
         elif pd.api.types.is_bool_dtype(column):
             column = column.astype(str)
@@ -46,10 +57,10 @@ def _values(frame: pd.DataFrame) -> list[tuple]:
 
 @pytest.mark.parametrize("key", sorted(driver.queries()))
 def test_matches_sql(spark, duck, key):
-    ours = driver.queries()[key](spark, SF).toPandas()
-    theirs = duck.sql(driver.oracle_sql()[key]).df()
-    assert sorted(ours.columns) == sorted(theirs.columns)
-    left, right = _values(ours), _values(theirs)
+    ours = driver.queries()[key](spark, SF).toArrow()
+    theirs = duck.sql(driver.oracle_sql()[key]).to_arrow_table()
+    assert _types(ours) == _types(theirs)
+    left, right = _values(ours.to_pandas()), _values(theirs.to_pandas())
     if key not in ORDERED:
         left, right = sorted(left, key=repr), sorted(right, key=repr)
     assert len(left) == len(right) > 0

@@ -273,6 +273,15 @@ def test_two_runs_double_silver_and_report_duplicates(spark, folder, raw):
     assert len(loads) == 2 and len({r["silver_load_id"] for r in loads}) == 1
 
 
+def test_an_empty_delivery_publishes_nothing(spark, folder, raw):
+    bronze, silver = sales.bronze_table(folder), sales.silver_table(folder)
+    first = jobs.run_pipeline(spark, raw.limit(0), bronze, silver)
+    assert (first.ok, first.rows, tables.read(spark, bronze).count()) == (False, None, 0)
+    assert jobs.monitor_bronze(spark, bronze, RUN).first()["total_rows"] == 0
+    second = jobs.run_pipeline(spark, raw, bronze, silver)
+    assert second.ok and second.rows.count() == 5
+
+
 def test_failed_ingest_stops_the_refresh(spark, folder, raw):
     bronze, silver = sales.bronze_table(folder), sales.silver_table(folder)
     jobs.run_pipeline(spark, raw, bronze, silver, RUN, Run("s1", RUN.ts, RUN.as_of))
@@ -291,7 +300,16 @@ def test_audit_rows_are_stored_with_the_run(spark, folder, raw):
 
 
 def test_caller_settings_are_put_back(spark, folder, raw):
-    key = "spark.sql.parquet.outputTimestampType"
-    before = spark.conf.get(key)
-    jobs.ingest_bronze(spark, raw, sales.bronze_table(folder), RUN)
-    assert spark.conf.get(key) == before
+    mine = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.parquet.outputTimestampType": "INT96",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "3",
+    }
+    with settings(spark, mine):
+        jobs.ingest_bronze(spark, raw, sales.bronze_table(folder), RUN)
+        assert {key: spark.conf.get(key) for key in mine} == mine
+        with pytest.raises(ZeroDivisionError), settings(spark, {list(mine)[2]: "7"}):
+            raise ZeroDivisionError
+        assert {key: spark.conf.get(key) for key in mine} == mine
+    unset = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert spark.conf.get(unset, None) is None
