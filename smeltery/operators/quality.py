@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.functions import named, null_count, share
@@ -96,7 +96,7 @@ def quality_report(
         F.max(highest).alias(highest),
     )
 
-    def line(metric: str, field, amount):
+    def line(metric: str, field: Column, amount: Column) -> Column:
         return F.struct(
             F.lit(metric).alias("metric"),
             field.alias("field"),

@@ -44,3 +44,10 @@ def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+
+# (key, count) pairs compress to a few bytes, so the default advisory size puts over ten million
+# keys into one reduce task, whose hash table then spills.
+AUDIT_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8MB",
+}

@@ -21,7 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from smeltery.functions import named
-from smeltery.session import LISTING_SETTINGS, REBALANCE_SETTINGS, WRITE_SETTINGS, settings
+from smeltery.session import (
+    AUDIT_SETTINGS,
+    LISTING_SETTINGS,
+    REBALANCE_SETTINGS,
+    WRITE_SETTINGS,
+    settings,
+)
 from smeltery.sources.schemas import aligned, extended
 
 LOG_SCHEMA = "seq BIGINT, run_id STRING, logged_at TIMESTAMP, location STRING, schema STRING"
@@ -179,7 +185,8 @@ def publish(spark: SparkSession, table: Table, run_id: str, schema: StructType)
 def keep_audit(report: DataFrame, table: Table, run_id: str) -> DataFrame:
     """Store a run's audit rows once and return them as read back, whatever is asked of them."""
     path = f"{table.path}/audits/{run_id}"
-    report.coalesce(1).write.parquet(path)
+    with settings(report.sparkSession, AUDIT_SETTINGS):
+        report.coalesce(1).write.parquet(path)
     return report.sparkSession.read.schema(report.schema).parquet(path)
 
 
