@@ -25,7 +25,6 @@ from smeltery.plans import jobs, sales
 from smeltery.run import Run
 from smeltery.sources import tables
 from smeltery.sources.raw import read_raw
-from smeltery.sources.tables import Table
 
 SALES = """
 SELECT
@@ -496,7 +495,8 @@ def oracle_sql() -> dict[str, str]:
         "clean_counts": f"{silver_with} SELECT (SELECT count(*) FROM sales) AS rows_in, "
         "(SELECT count(*) FROM clean_rows) AS rows_kept",
         "parsed_dates": f"{sales_with} SELECT id_venda, {_dates()} FROM sales",
-        "discounted": f"{sales_with} SELECT id_venda, {DISCOUNTED} AS valor_com_desconto FROM sales",
+        "discounted": f"{sales_with} SELECT id_venda, {DISCOUNTED} AS valor_com_desconto "
+        "FROM sales",
         "banded": f"{sales_with} SELECT id_venda, {BAND} AS categoria_valor FROM sales",
         "names_normalised": f"{sales_with} SELECT id_venda, "
         f"{_proper('cliente')} AS cliente_normalizado FROM sales",
@@ -535,8 +535,8 @@ def oracle_sql() -> dict[str, str]:
         "ORDER BY bronze_load_timestamp DESC, id_venda NULLS FIRST LIMIT 5",
         "raw_json_read": f"{sales_with} SELECT {raw} FROM sales",
         "bronze_roundtrip": f"{sales_with} SELECT {raw}, {first_load} FROM sales",
-        "bronze_evolved": f"{sales_with} SELECT {raw}, {first_load}, CAST(NULL AS VARCHAR) AS canal "
-        f"FROM sales UNION ALL SELECT {raw}, {second_load}, produto FROM sales",
+        "bronze_evolved": f"{sales_with} SELECT {raw}, {first_load}, "
+        f"CAST(NULL AS VARCHAR) AS canal FROM sales UNION ALL SELECT {raw}, {second_load}, produto FROM sales",
         "bronze_monitor_stored": f"{sales_with} SELECT 2 * count(*) AS total_rows, "
         "2 * count(*) AS loaded_rows, "
         + ", ".join(f"2 * (count(*) - count({c})) AS {c}" for c in RAW)

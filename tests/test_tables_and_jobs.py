@@ -48,7 +48,8 @@ def test_bronze_is_partitioned_by_the_raw_date(spark, folder, raw):
 
 def test_raw_dates_survive_as_text(spark, folder):
     texts = ["2024-06-15", "2024-6-5", " 2024-06-15", "2024-06-15 10:00:00", "007", "a/b=c", None]
-    raw = spark.createDataFrame([(i, "c", "p", 1.0, t, "SP") for i, t in enumerate(texts)], sales.RAW)
+    sold = [(i, "c", "p", 1.0, t, "SP") for i, t in enumerate(texts)]
+    raw = spark.createDataFrame(sold, sales.RAW)
     rows = jobs.ingest_bronze(spark, raw, sales.bronze_table(folder), RUN).rows
     assert [r["data_venda"] for r in rows.orderBy("id_venda").collect()] == texts
 
@@ -68,7 +69,11 @@ def test_additive_columns_extend_the_table(spark, folder, raw, fmt):
     by_load = {
         r["bronze_load_id"]: (r["n"], r["canal"], r["produto"])
         for r in rows.groupBy("bronze_load_id")
-        .agg(F.count("*").alias("n"), F.count("canal").alias("canal"), F.count("produto").alias("produto"))
+        .agg(
+            F.count("*").alias("n"),
+            F.count("canal").alias("canal"),
+            F.count("produto").alias("produto"),
+        )
         .collect()
     }
     assert by_load == {"r1": (5, 0, 5), "r2": (5, 5, 5), "r3": (5, 0, 0)}
