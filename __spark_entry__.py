@@ -536,7 +536,8 @@ def oracle_sql() -> dict[str, str]:
         "raw_json_read": f"{sales_with} SELECT {raw} FROM sales",
         "bronze_roundtrip": f"{sales_with} SELECT {raw}, {first_load} FROM sales",
         "bronze_evolved": f"{sales_with} SELECT {raw}, {first_load}, "
-        f"CAST(NULL AS VARCHAR) AS canal FROM sales UNION ALL SELECT {raw}, {second_load}, produto FROM sales",
+        "CAST(NULL AS VARCHAR) AS canal FROM sales "
+        f"UNION ALL SELECT {raw}, {second_load}, produto FROM sales",
         "bronze_monitor_stored": f"{sales_with} SELECT 2 * count(*) AS total_rows, "
         "2 * count(*) AS loaded_rows, "
         + ", ".join(f"2 * (count(*) - count({c})) AS {c}" for c in RAW)

@@ -51,6 +51,25 @@ def test_number_of_scans(spark, key, scans):
     assert names.count("FileSourceScanExec") == scans
 
 
+@pytest.mark.parametrize(
+    "key",
+    [
+        "duplicate_count",
+        "category_distribution",
+        "state_category_report",
+        "top_states",
+        "silver_monitor",
+        "lineitem_duplicate_orders",
+        "lineitem_top_suppliers",
+    ],
+)
+def test_groups_are_pre_aggregated_before_the_shuffle(spark, key):
+    text = plan_text(driver.queries()[key](spark, SF))
+    physical = text[text.index("== Physical Plan ==") :].splitlines()
+    shuffles = [i for i, line in enumerate(physical) if "Exchange hashpartitioning" in line]
+    assert shuffles and all("functions=[partial_" in physical[i + 1] for i in shuffles)
+
+
 @pytest.fixture
 def two_loads(spark, folder):
     """The whole sales rows, delivered on two days."""

@@ -4,6 +4,7 @@ import math
 import random
 import re
 from datetime import date, datetime, timezone
+from zoneinfo import ZoneInfo
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from smeltery.functions import strict_date
 from smeltery.operators import quality, refine
 from smeltery.plans import sales
 from smeltery.run import Run
+from smeltery.session import settings
 
 GOLDEN = [
     (1, "João Silva", "Produto A", 150.50, "2024-06-15", "SP"),
@@ -83,6 +85,13 @@ def test_fresh_runs_differ_and_use_the_session_day(spark):
     assert one.as_of == one.ts.date()  # the test session's zone is UTC
 
 
+@pytest.mark.parametrize("zone", ["Pacific/Kiritimati", "Pacific/Pago_Pago"])
+def test_the_runs_day_follows_the_session_zone(spark, zone):
+    with settings(spark, {"spark.sql.session.timeZone": zone}):
+        run = Run.start(spark)
+    assert run.as_of == run.ts.astimezone(ZoneInfo(zone)).date()
+
+
 @pytest.mark.parametrize(
     "field, value",
     [
