@@ -11,7 +11,7 @@ from smeltery.operators import quality, reports
 from smeltery.plans import sales
 from smeltery.run import Run
 from smeltery.sources import tables
-from smeltery.sources.tables import Table
+from smeltery.sources.tables import NoSuchTable, Table
 
 
 @dataclass(frozen=True)
@@ -41,11 +41,16 @@ class SilverRefresh:
 
     @property
     def report(self) -> DataFrame:
-        return sales.state_category_report(self.rows)
+        return sales.state_category_report(self._published())
 
     @property
     def monitor(self) -> DataFrame:
-        return sales.silver_monitor(self.rows)
+        return sales.silver_monitor(self._published())
+
+    def _published(self) -> DataFrame:
+        if self.rows is None:
+            raise NoSuchTable("no refresh has passed its audit yet")
+        return self.rows
 
 
 def monitor_bronze(spark: SparkSession, bronze: Table, run: Run) -> DataFrame:

@@ -32,7 +32,11 @@ LISTING_SETTINGS = {"spark.sql.files.maxPartitionBytes": "64GB"}
 
 @contextmanager
 def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
-    """Apply settings for the actions inside the block, then put the caller's back."""
+    """Apply settings for the actions inside the block, then put the caller's back.
+
+    They hold for the whole session, so threads that write at the same time need sessions of their
+    own (``spark.newSession()``).
+    """
     before = {key: spark.conf.get(key, None) for key in values}
     try:
         for key, value in values.items():

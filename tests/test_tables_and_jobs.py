@@ -174,6 +174,8 @@ def test_empty_refresh_publishes_nothing(spark, folder, raw):
     silver, empty = sales.silver_table(folder), sales.stamp_bronze(raw.limit(0), RUN)
     first = jobs.refresh_silver(spark, empty, silver, LATER)
     assert (first.ok, first.rows, tables.exists(spark, silver)) == (False, None, False)
+    with pytest.raises(NoSuchTable):
+        _ = first.report
     counted = first.audit.where("metric = 'rows'").first()
     assert counted["value"] == 0
 
