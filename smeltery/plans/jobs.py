@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from smeltery.functions import named
 from smeltery.operators import quality, reports
 from smeltery.plans import sales
 from smeltery.run import Run
@@ -65,7 +66,7 @@ def monitor_bronze(spark: SparkSession, bronze: Table, run: Run) -> DataFrame:
     today = reports.loaded_on(counted, "bronze_load_timestamp", run.as_of)
     loaded = today.agg(F.count(F.lit(1))).scalar().alias("loaded_rows")
     profile = quality.null_profile(counted, bronze.partition_by, total="total_rows")
-    return profile.select("total_rows", loaded, *counted.columns)
+    return profile.select("total_rows", loaded, *[named(c) for c in counted.columns])
 
 
 def ingest_bronze(

@@ -30,6 +30,9 @@ from smeltery.session import (
 )
 from smeltery.sources.schemas import aligned, extended
 
+# Parquet leaves out all statistics of a column chunk, its NULL count too, when its smallest and
+# largest value are long. Shortened ones are still valid bounds.
+WRITE_OPTIONS = {"parquet.statistics.truncate.length": "64"}
 LOG_SCHEMA = "seq BIGINT, run_id STRING, logged_at TIMESTAMP, location STRING, schema STRING"
 MIB = 1 << 20
 
@@ -148,7 +151,8 @@ def _write(df: DataFrame, table: Table, location: str, mode: str, rebalance: boo
         # packs small ones together.
         df = df.hint("rebalance", *[named(c) for c in table.partition_by])
         applied = WRITE_SETTINGS | REBALANCE_SETTINGS
-    writer = df.write.format(table.fmt).mode(mode).partitionBy(*table.partition_by)
+    writer = df.write.format(table.fmt).options(**WRITE_OPTIONS).mode(mode)
+    writer = writer.partitionBy(*table.partition_by)
     with settings(df.sparkSession, applied):
         writer.save(f"{table.path}/{location}")
 

@@ -116,6 +116,38 @@ def test_footers_answer_like_a_scan(spark, folder, raw):
     assert monitor.first()["produto"] == 2 and monitor.first()["data_venda"] == 1
 
 
+def test_footers_answer_for_long_texts_and_every_flat_type(spark, folder, raw):
+    odd = raw.withColumns(
+        {
+            "cliente": F.expr("if(id_venda = 1, NULL, repeat('é', 9000))"),
+            "produto": F.expr("repeat(produto, 2000)"),
+            "a.b": F.expr("if(id_venda = 2, NULL, x'00ff')"),
+            "c d": F.expr("if(id_venda = 3, NULL, CAST(valor AS DECIMAL(30, 2)))"),
+            "valor": F.expr("if(id_venda = 4, double('NaN'), valor)"),
+            "nothing": F.expr("CAST(NULL AS TIMESTAMP_NTZ)"),
+        }
+    )
+    bronze = sales.bronze_table(folder)
+    load = jobs.ingest_bronze(spark, odd, bronze, RUN)
+    assert tables.footer_counts(spark, bronze) is not None
+    assertDataFrameEqual(load.monitor, sales.bronze_monitor(load.rows, RUN))
+    counted = load.monitor.first()
+    nulls = [counted[c] for c in ("cliente", "produto", "a.b", "c d", "valor", "nothing")]
+    assert nulls == [1, 0, 1, 1, 0, 5]
+
+
+@pytest.mark.parametrize("text", ["z" * 5000 + "3", "é" * 4000, "z", "nope"])
+def test_filters_on_long_texts_are_right(spark, folder, text):
+    texts = ["z" * 5000 + str(i) for i in range(6)] + ["é" * 4000, None, "a", "z"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t STRING").coalesce(1)
+    table = Table(folder)
+    tables.append(spark, rows, table, "r1")
+    stored, held = tables.read(spark, table), [t for t in texts if t is not None]
+    assert stored.where(F.col("t") == text).count() == held.count(text)
+    assert stored.where(F.col("t") >= text).count() == sum(t >= text for t in held)
+    assert stored.where(F.col("t") < text).count() == sum(t < text for t in held)
+
+
 def test_monitor_of_an_evolved_table_falls_back_to_a_scan(spark, folder, raw):
     bronze = sales.bronze_table(folder)
     jobs.ingest_bronze(spark, raw, bronze, RUN)
