@@ -52,6 +52,14 @@ BRONZE_RUN = Run("load-1", datetime(2024, 1, 15, 12, tzinfo=timezone.utc), DAY)
 SECOND_RUN = Run("load-2", datetime(2024, 1, 15, 13, tzinfo=timezone.utc), DAY)
 SILVER_RUN = Run("silver-1", datetime(2024, 1, 16, 12, tzinfo=timezone.utc), DAY)
 LATER_SILVER_RUN = Run("silver-2", datetime(2024, 1, 16, 13, tzinfo=timezone.utc), DAY)
+try:
+    import corpus_pipeline
+    from smeltery.llm import queries as llm
+except ModuleNotFoundError as e:  # the package works without these
+    if e.name not in ("corpus_pipeline", "smeltery.llm"):
+        raise
+    llm = None
+
 RAW = sales.RAW.names
 LINEITEM = (
     "l_orderkey",
@@ -331,7 +339,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    more = {} if llm is None else llm.queries() | {"pipeline": corpus_pipeline.run}
+    return more | {
         "bronze_stamped": bronze_stamped,
         "cleaned": cleaned,
         "clean_counts": clean_counts,
@@ -489,7 +498,8 @@ def oracle_sql() -> dict[str, str]:
     )
     stamped = f"SELECT *, {FIRST_STAMP} FROM silver"
     audit = _report("silver", sales.CRITICAL_FIELDS, "id_venda", "valor", "categoria_valor", 4)
-    return {
+    more = {} if llm is None else llm.oracle_sql()
+    return more | {
         "bronze_stamped": f"{sales_with} SELECT {raw}, {first_load} FROM sales",
         "cleaned": f"{silver_with} SELECT {raw} FROM clean_rows",
         "clean_counts": f"{silver_with} SELECT (SELECT count(*) FROM sales) AS rows_in, "
