@@ -50,6 +50,7 @@ FROM {events}
 DAY = date(2024, 1, 15)
 BRONZE_RUN = Run("load-1", datetime(2024, 1, 15, 12, tzinfo=timezone.utc), DAY)
 SECOND_RUN = Run("load-2", datetime(2024, 1, 15, 13, tzinfo=timezone.utc), DAY)
+NEXT_DAY_RUN = Run("load-2", datetime(2024, 1, 16, 13, tzinfo=timezone.utc), date(2024, 1, 16))
 SILVER_RUN = Run("silver-1", datetime(2024, 1, 16, 12, tzinfo=timezone.utc), DAY)
 LATER_SILVER_RUN = Run("silver-2", datetime(2024, 1, 16, 13, tzinfo=timezone.utc), DAY)
 try:
@@ -99,8 +100,17 @@ def stamped_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales.stamp_silver(silver(spark, sf_dir), SILVER_RUN)
 
 
+def scored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver rows with scores on both sides of the threshold, from the rows themselves."""
+    score = (F.pmod("id_venda", F.lit(7)) * 20).cast("int")
+    return stamped_silver(spark, sf_dir).withColumn("silver_quality_score", score)
+
+
 def scratch(spark: SparkSession) -> str:
-    """A new directory in the folder the session shares between executors."""
+    """A new directory in the folder the session shares between executors.
+
+    Where no folder is named, and driver and executors are one process, one is made.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
@@ -212,19 +222,53 @@ def bronze_evolved(spark, sf_dir):
 def bronze_monitor_stored(spark, sf_dir):
     bronze, raw = sales.bronze_table(scratch(spark)), raw_sales(spark, sf_dir)
     jobs.ingest_bronze(spark, raw, bronze, BRONZE_RUN)
-    return jobs.ingest_bronze(spark, raw, bronze, SECOND_RUN).monitor
+    return jobs.ingest_bronze(spark, raw, bronze, NEXT_DAY_RUN).monitor
+
+
+def bronze_evolved_monitor(spark, sf_dir):
+    """A column that only the second load has; the first load's rows are NULL there."""
+    bronze, raw = sales.bronze_table(scratch(spark)), raw_sales(spark, sf_dir)
+    jobs.ingest_bronze(spark, raw, bronze, BRONZE_RUN)
+    wider = raw.withColumn("canal", F.col("produto"))
+    return jobs.ingest_bronze(spark, wider, bronze, NEXT_DAY_RUN).monitor
+
+
+def bronze_repeated_load(spark, sf_dir):
+    """A load that is repeated under its run id is refused, and its rows are there once."""
+    bronze, raw = sales.bronze_table(scratch(spark)), raw_sales(spark, sf_dir)
+    jobs.ingest_bronze(spark, raw, bronze, BRONZE_RUN)
+    try:
+        jobs.ingest_bronze(spark, raw, bronze, BRONZE_RUN)
+    except tables.RunAlreadyLogged:
+        return utc_clock(tables.read(spark, bronze))
+    raise AssertionError("the repeated load was accepted")
+
+
+def bronze_compacted(spark, sf_dir):
+    """Three loads, then compaction: all rows, in fewer files than before."""
+    bronze, raw = sales.bronze_table(scratch(spark)), raw_sales(spark, sf_dir)
+    third = Run("load-3", SECOND_RUN.ts, SECOND_RUN.as_of)
+    for run in (BRONZE_RUN, SECOND_RUN, third):
+        jobs.ingest_bronze(spark, raw, bronze, run)
+    return compacted(spark, bronze)
+
+
+def compacted(spark, table):
+    before = tables.file_summary(spark, table)["files"]
+    tables.compact(spark, table, "packed")
+    merged = tables.file_summary(spark, table)["files"] < before
+    return utc_clock(tables.read(spark, table)).withColumn("files_merged", F.lit(merged))
 
 
 def latest_loads_stored(spark, sf_dir):
     bronze, raw = sales.bronze_table(scratch(spark)), raw_sales(spark, sf_dir)
     jobs.ingest_bronze(spark, raw, bronze, BRONZE_RUN)
-    latest = jobs.ingest_bronze(spark, raw, bronze, SECOND_RUN).latest
-    return utc_clock(latest.select("bronze_load_timestamp", "bronze_load_id"))
+    return utc_clock(jobs.ingest_bronze(spark, raw, bronze, SECOND_RUN).latest)
 
 
-def silver_roundtrip(spark, sf_dir, fmt="parquet"):
+def silver_roundtrip(spark, sf_dir, fmt="parquet", rebalance=True):
     target = sales.silver_table(scratch(spark), fmt)
-    done = jobs.refresh_silver(spark, sales_rows(spark, sf_dir), target, SILVER_RUN)
+    done = jobs.refresh_silver(spark, sales_rows(spark, sf_dir), target, SILVER_RUN, rebalance)
     return utc_clock(done.rows)
 
 
@@ -259,8 +303,7 @@ def silver_compacted(spark, sf_dir):
     scattered = rows.repartition(16, "id_venda")
     tables.stage(scattered, target, SILVER_RUN.id, rebalance=False)
     tables.publish(spark, target, SILVER_RUN.id, scattered.schema)
-    tables.compact(spark, target, LATER_SILVER_RUN.id)
-    return utc_clock(tables.read(spark, target))
+    return compacted(spark, target)
 
 
 def raw_json_read(spark, sf_dir):
@@ -364,13 +407,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "state_category_sql": state_category_sql,
         "top_states": lambda s, d: rounded(sales.top_states(silver(s, d)), receita=2),
         "silver_metrics": lambda s, d: rounded(
-            sales.silver_metrics(stamped_silver(s, d)), revenue=2
+            sales.silver_metrics(scored_silver(s, d)), revenue=2
         ),
         "silver_monitor": lambda s, d: rounded(
-            sales.silver_monitor(stamped_silver(s, d)), revenue=2
+            sales.silver_monitor(scored_silver(s, d)), revenue=2
         ),
         "quality_share": lambda s, d: quality.quality_share(
-            stamped_silver(s, d), "silver_quality_score", sales.QUALITY_AT_LEAST
+            scored_silver(s, d), "silver_quality_score", sales.QUALITY_AT_LEAST
         ),
         "quality_report": quality_report,
         "bronze_monitor": lambda s, d: reports.bronze_monitor(
@@ -380,15 +423,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             sales_rows(s, d), "bronze_load_timestamp", DAY
         ),
         "latest_rows": lambda s, d: reports.latest_rows(
-            sales_rows(s, d), "bronze_load_timestamp", "id_venda"
+            sales_rows(s, d), "bronze_load_timestamp", RAW
         ),
         "raw_json_read": raw_json_read,
         "bronze_roundtrip": bronze_roundtrip,
         "bronze_evolved": bronze_evolved,
         "bronze_monitor_stored": bronze_monitor_stored,
+        "bronze_evolved_monitor": bronze_evolved_monitor,
+        "bronze_repeated_load": bronze_repeated_load,
+        "bronze_compacted": bronze_compacted,
         "latest_loads_stored": latest_loads_stored,
         "silver_roundtrip": silver_roundtrip,
         "silver_roundtrip_orc": lambda s, d: silver_roundtrip(s, d, "orc"),
+        "silver_unshuffled": lambda s, d: silver_roundtrip(s, d, rebalance=False),
         "silver_audit": silver_audit,
         "silver_published": silver_published,
         "silver_schema_replaced": silver_schema_replaced,
@@ -497,6 +544,10 @@ def oracle_sql() -> dict[str, str]:
         "ORDER BY receita_total DESC, estado, categoria_valor"
     )
     stamped = f"SELECT *, {FIRST_STAMP} FROM silver"
+    good_share = (
+        "CAST(100.0 AS DOUBLE) * count(*) FILTER (id_venda % 7 * 20 >= 90) / count(*)"
+    )
+    raw_order = ", ".join(f"{c} ASC NULLS FIRST" for c in RAW)
     audit = _report("silver", sales.CRITICAL_FIELDS, "id_venda", "valor", "categoria_valor", 4)
     more = {} if llm is None else llm.oracle_sql()
     return more | {
@@ -526,15 +577,13 @@ def oracle_sql() -> dict[str, str]:
         "top_states": f"{silver_with} SELECT estado, round(sum(valor), 2) AS receita FROM silver "
         "GROUP BY estado ORDER BY receita DESC, estado LIMIT 3",
         "silver_metrics": f"{silver_with} SELECT count(*) AS total_rows, "
-        "round(sum(valor), 2) AS revenue, CAST(100.0 AS DOUBLE) AS quality_pct FROM silver",
+        f"round(sum(valor), 2) AS revenue, {good_share} AS quality_pct FROM silver",
         "silver_monitor": f"{silver_with} SELECT * FROM (SELECT 'total' AS scope, "
         "CAST(NULL AS VARCHAR) AS estado, count(*) AS total_rows, "
-        "round(sum(valor), 2) AS revenue, CAST(100.0 AS DOUBLE) AS quality_pct FROM silver) "
+        f"round(sum(valor), 2) AS revenue, {good_share} AS quality_pct FROM silver) "
         "UNION ALL SELECT * FROM (SELECT 'estado', estado, count(*), round(sum(valor), 2), "
-        "CAST(100.0 AS DOUBLE) FROM silver GROUP BY estado ORDER BY 4 DESC, 2 LIMIT 3)",
-        "quality_share": f"{silver_with} SELECT CAST(100.0 AS DOUBLE) * "
-        "count(*) FILTER (silver_quality_score >= 90) / count(*) AS quality_pct "
-        f"FROM ({stamped})",
+        f"{good_share} FROM silver GROUP BY estado ORDER BY 4 DESC, 2 LIMIT 3)",
+        "quality_share": f"{silver_with} SELECT {good_share} AS quality_pct FROM silver",
         "quality_report": f"{silver_with} {audit}",
         "bronze_monitor": f"{sales_with} SELECT count(*) AS total_rows, "
         "count(*) FILTER (CAST(bronze_load_timestamp AS DATE) = DATE '2024-01-15') AS loaded_rows, "
@@ -542,27 +591,41 @@ def oracle_sql() -> dict[str, str]:
         "loaded_on_date": f"{sales_with} SELECT * FROM sales "
         "WHERE CAST(bronze_load_timestamp AS DATE) = DATE '2024-01-15'",
         "latest_rows": f"{sales_with} SELECT * FROM sales "
-        "ORDER BY bronze_load_timestamp DESC, id_venda NULLS FIRST LIMIT 5",
+        f"ORDER BY bronze_load_timestamp DESC, {raw_order} LIMIT 5",
         "raw_json_read": f"{sales_with} SELECT {raw} FROM sales",
         "bronze_roundtrip": f"{sales_with} SELECT {raw}, {first_load} FROM sales",
         "bronze_evolved": f"{sales_with} SELECT {raw}, {first_load}, "
         "CAST(NULL AS VARCHAR) AS canal FROM sales "
         f"UNION ALL SELECT {raw}, {second_load}, produto FROM sales",
         "bronze_monitor_stored": f"{sales_with} SELECT 2 * count(*) AS total_rows, "
-        "2 * count(*) AS loaded_rows, "
+        "count(*) AS loaded_rows, "
         + ", ".join(f"2 * (count(*) - count({c})) AS {c}" for c in RAW)
         + ", "
         + ", ".join(f"CAST(0 AS BIGINT) AS {c}" for c in stored_control)
         + " FROM sales",
-        "latest_loads_stored": f"{sales_with} SELECT TIMESTAMP '2024-01-15 13:00:00' "
-        "AS bronze_load_timestamp, 'load-2' AS bronze_load_id FROM sales LIMIT 5",
+        "bronze_evolved_monitor": f"{sales_with} SELECT 2 * count(*) AS total_rows, "
+        "count(*) AS loaded_rows, "
+        + ", ".join(f"2 * (count(*) - count({c})) AS {c}" for c in RAW)
+        + ", "
+        + ", ".join(f"CAST(0 AS BIGINT) AS {c}" for c in stored_control)
+        + ", 2 * count(*) - count(produto) AS canal FROM sales",
+        "bronze_repeated_load": f"{sales_with} SELECT {raw}, {first_load} FROM sales",
+        "bronze_compacted": f"{sales_with} SELECT *, TRUE AS files_merged FROM ("
+        f"SELECT {raw}, {first_load} FROM sales "
+        f"UNION ALL SELECT {raw}, {second_load} FROM sales "
+        f"UNION ALL SELECT {raw}, {_bronze_stamp('load-3', 13)} FROM sales)",
+        "latest_loads_stored": f"{sales_with} SELECT {raw}, {second_load} FROM sales "
+        f"ORDER BY {raw_order} LIMIT 5",
         "silver_roundtrip": f"{silver_with} {stamped}",
         "silver_roundtrip_orc": f"{silver_with} {stamped}",
-        "silver_audit": f"{silver_with} {audit}",
+        "silver_unshuffled": f"{silver_with} {stamped}",
+        "silver_audit": f"{silver_with} {audit} "
+        "UNION ALL SELECT 'rows_read', '*', CAST(count(*) AS DOUBLE) FROM sales "
+        "UNION ALL SELECT 'rows_kept', '*', CAST(count(*) AS DOUBLE) FROM silver",
         "silver_published": f"{silver_with} SELECT *, {FIRST_STAMP}, FALSE AS later_run_ok "
         "FROM silver",
         "silver_schema_replaced": f"{silver_with} {stamped}",
-        "silver_compacted": f"{silver_with} {stamped}",
+        "silver_compacted": f"{silver_with} SELECT *, TRUE AS files_merged FROM ({stamped})",
         "pipeline_two_runs": f"{sales_with} , kept AS (SELECT id_venda FROM sales WHERE id_venda "
         "IS NOT NULL AND valor > 0 AND cliente IS NOT NULL) "
         "SELECT 'rows' AS metric, 2 * count(*) AS found FROM kept "

@@ -121,6 +121,20 @@ def quality_report(
     return lines.unionByName(duplicates)
 
 
+def with_rows_read(report: DataFrame, source: DataFrame) -> DataFrame:
+    """The report with the rows that went into the refinement and those that were kept.
+
+    The source is counted without reading any of its columns; what was kept is the report's own row
+    count.
+    """
+    read = source.select(F.lit(1)).agg(F.count(F.lit(1)).cast("double").alias("value"))
+    counts = read.select(F.lit("rows_read").alias("metric"), F.lit("*").alias("field"), "value")
+    line = F.struct("metric", "field", "value")
+    kept = F.struct(F.lit("rows_kept").alias("metric"), "field", "value")
+    both = F.when(F.col("metric") == "rows", F.array(line, kept)).otherwise(F.array(line))
+    return report.select(F.inline(both)).unionByName(counts)
+
+
 def passes(report: DataFrame) -> bool:
     """The publish gate: only an empty table fails. NULLs and duplicates are findings, no block."""
     counted = report.where(F.col("metric") == "rows").agg(F.max("value").alias("n")).first()

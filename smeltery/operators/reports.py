@@ -35,8 +35,8 @@ def top_groups(df: DataFrame, by: str, value: str, out: str, k: int = 3) -> Data
     return grouped.orderBy(named(out).desc(), named(by).asc()).limit(k)
 
 
-def latest_rows(df: DataFrame, loaded_at: str, tie: str, k: int = 5) -> DataFrame:
-    """The ``k`` rows loaded last.
+def latest_rows(df: DataFrame, loaded_at: str, ties: str | Sequence[str], k: int = 5) -> DataFrame:
+    """The ``k`` rows loaded last; equal load times stand by the columns ``ties``.
 
     A first look at the timestamp column alone finds the k-th newest load time. It is a scalar
     subquery, so it becomes a pushed filter of the full-width scan, which then opens only the
@@ -47,7 +47,8 @@ def latest_rows(df: DataFrame, loaded_at: str, tie: str, k: int = 5) -> DataFram
     newest = df.select(ts.alias("at")).orderBy(F.col("at").desc_nulls_last()).limit(k)
     kth_newest = newest.agg(F.min("at")).scalar()
     candidates = df.where(ts.isNull() | (ts >= kth_newest))
-    return candidates.orderBy(ts.desc_nulls_last(), named(tie).asc()).limit(k)
+    by = [ties] if isinstance(ties, str) else ties
+    return candidates.orderBy(ts.desc_nulls_last(), *[named(c).asc() for c in by]).limit(k)
 
 
 def _on_day(df: DataFrame, loaded_at: str, day: date) -> Column:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,11 +35,15 @@ class BronzeLoad:
 
 @dataclass(frozen=True)
 class SilverRefresh:
-    """``rows`` is the published table, None while nothing was ever published."""
+    """``rows`` is the published table, None while nothing was ever published.
+
+    ``load`` is the ingest that came before, where the two ran as a pipeline.
+    """
 
     ok: bool
     audit: DataFrame
     rows: DataFrame | None
+    load: BronzeLoad | None = None
 
     @property
     def report(self) -> DataFrame:
@@ -60,13 +65,25 @@ def monitor_bronze(spark: SparkSession, bronze: Table, run: Run) -> DataFrame:
     Counts come from file footers and the day's rows from a pruned scan. Where footers cannot
     answer, everything comes from one scan.
     """
-    counted = tables.footer_counts(spark, bronze)
-    if counted is None:
+    versions = tables.footer_counts(spark, bronze)
+    if versions is None:
         return sales.bronze_monitor(tables.read(spark, bronze), run)
-    today = reports.loaded_on(counted, "bronze_load_timestamp", run.as_of)
-    loaded = today.agg(F.count(F.lit(1))).scalar().alias("loaded_rows")
-    profile = quality.null_profile(counted, bronze.partition_by, total="total_rows")
-    return profile.select("total_rows", loaded, *[named(c) for c in counted.columns])
+    columns = [c for c in versions[-1].columns if c != tables.RUN_COLUMN]
+    by = (*bronze.partition_by, tables.RUN_COLUMN)
+    # Files older than a column hold no value of it, so all of their rows count as NULL there.
+    profiles = [
+        quality.null_profile(v, by, total="total_rows").select(
+            "total_rows",
+            reports.loaded_on(v, "bronze_load_timestamp", run.as_of)
+            .agg(F.count(F.lit(1)))
+            .scalar()
+            .alias("loaded_rows"),
+            *[(named(c) if c in v.columns else F.col("total_rows")).alias(c) for c in columns],
+        )
+        for v in versions
+    ]
+    counted = ["total_rows", "loaded_rows", *columns]
+    return reduce(DataFrame.unionByName, profiles).agg(*[F.sum(named(c)).alias(c) for c in counted])
 
 
 def ingest_bronze(
@@ -76,10 +93,15 @@ def ingest_bronze(
     run: Run,
     source_system: str = sales.SOURCE_SYSTEM,
     file_name: str = sales.FILE_NAME,
+    rebalance: bool = True,
 ) -> BronzeLoad:
-    """Stamp the delivered rows and append them as they are."""
+    """Stamp the delivered rows and append them as they are.
+
+    ``rebalance=False`` spares the shuffle before the write, for deliveries whose tasks already meet
+    few days.
+    """
     stamped = sales.stamp_bronze(source, run, source_system, file_name)
-    tables.append(spark, stamped, bronze, run.id)
+    tables.append(spark, stamped, bronze, run.id, rebalance)
     return BronzeLoad(tables.read(spark, bronze), bronze, run)
 
 
@@ -88,19 +110,18 @@ def refresh_silver(
 ) -> SilverRefresh:
     """Rebuild silver from all of bronze: stage, audit what was stored, publish if it passes.
 
-    Bronze is scanned once. ``rebalance=False`` spares the shuffle before the write where the
-    input files are large enough that a task meets only one or two months; compaction then
-    repairs the layout if it did not turn out so.
+    Bronze is scanned once, and its rows are counted without reading a column. ``rebalance=False``
+    spares the shuffle before the write where the input files are large enough that a task meets
+    only one or two months. Either way the directory that is published is the one that was audited.
     """
     refined = sales.stamp_silver(sales.to_silver(bronze), run)
     tables.stage(refined, silver, run.id, rebalance)
     rows = tables.read_staged(spark, silver, run.id, refined.schema)
-    audit = tables.keep_audit(sales.quality_report(rows), silver, run.id)
+    report = quality.with_rows_read(sales.quality_report(rows), bronze)
+    audit = tables.keep_audit(report, silver, run.id)
     ok = quality.passes(audit)
     if ok:
         tables.publish(spark, silver, run.id, refined.schema)
-        if not rebalance and tables.compact(spark, silver, f"{run.id}-compacted"):
-            rows = tables.read(spark, silver)
     else:
         rows = tables.read(spark, silver) if tables.exists(spark, silver) else None
     if rows is not None:
@@ -115,13 +136,12 @@ def run_pipeline(
     silver: Table,
     bronze_run: Run | None = None,
     silver_run: Run | None = None,
+    rebalance: bool = True,
 ) -> SilverRefresh:
-    """Ingest, then refresh; the refresh starts only if the ingest succeeded."""
-    load = ingest_bronze(spark, source, bronze, bronze_run or Run.start(spark))
-    return refresh_silver(
-        spark,
-        load.rows,
-        silver,
-        silver_run or Run.start(spark),
-        rebalance=not tables.has_large_files(spark, bronze),
-    )
+    """Ingest, then refresh; the refresh starts only if the ingest succeeded.
+
+    ``rebalance`` holds for both writes.
+    """
+    load = ingest_bronze(spark, source, bronze, bronze_run or Run.start(spark), rebalance=rebalance)
+    done = refresh_silver(spark, load.rows, silver, silver_run or Run.start(spark), rebalance)
+    return replace(done, load=load)

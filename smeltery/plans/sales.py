@@ -97,7 +97,7 @@ def bronze_monitor(df: DataFrame, run: Run) -> DataFrame:
 
 
 def latest_loads(df: DataFrame, k: int = 5) -> DataFrame:
-    return reports.latest_rows(df, "bronze_load_timestamp", "id_venda", k)
+    return reports.latest_rows(df, "bronze_load_timestamp", RAW.names, k)
 
 
 # --- silver

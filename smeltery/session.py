@@ -19,12 +19,11 @@ WRITE_SETTINGS = {
 # Partition values that share a shuffle partition also share every task it is split into, and each
 # such task writes a file per value. Many small shuffle partitions keep values apart; adaptive
 # execution merges what stays small. Beyond 2000 Spark keeps only average sizes per map task.
+REBALANCE_PARTITIONS = 2000
+
 # A rebalanced task holds no more than the advisory size, so it can keep a few files open instead
 # of sorting its rows; past that number Spark sorts the rest.
-REBALANCE_SETTINGS = {
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
-    "spark.sql.maxConcurrentOutputFileWriters": "8",
-}
+OPEN_WRITERS = 8
 
 # Files whose contents are not read cost one look-up each, so a task may take many.
 LISTING_SETTINGS = {"spark.sql.files.maxPartitionBytes": "64GB"}
@@ -49,9 +48,25 @@ def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
             else:
                 spark.conf.set(key, value)
 
+
+def at_least(spark: SparkSession, key: str, value: int) -> int:
+    """``value``, or what the caller has set for ``key`` if that is more."""
+    held = spark.conf.get(key, None)
+    return max(value, int(held)) if held else value
+
+
 # (key, count) pairs compress to a few bytes, so the default advisory size puts over ten million
 # keys into one reduce task, whose hash table then spills.
-AUDIT_SETTINGS = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8MB",
-}
+AUDIT_ADVISORY = 8 << 20
+
+
+def audit_settings(spark: SparkSession, staged_bytes: int, advisory: int) -> dict[str, str]:
+    """Settings for an audit of so many bytes: adaptive execution merges shuffle partitions but
+    never adds any, so there have to be enough of them to begin with."""
+    partitions = max(-(-staged_bytes // advisory), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    first = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory),
+        first: str(at_least(spark, first, partitions)),
+    }

@@ -2,30 +2,51 @@
 
 Layout under ``Table.path``::
 
-    runs/<run id>/   data files, partitioned; a directory is never rewritten in place
-    log/             one small JSON row per publish or schema change; the highest ``seq`` is current
-    audits/<run id>/ the audit rows of that run
+    runs/__run=<run id>/  data files, partitioned; a directory is never rewritten in place
+    log/                  one small JSON row per load or publish; the highest ``seq`` is current
+    audits/<run id>/      the audit rows of that run
 
-Readers take location and schema from the log, so a half-written or rejected run is never seen
-and partition values are never re-typed by inference. One writer per table is assumed.
+The current log row names the directories that make up the table, and its schema. Rows are written
+first and logged when they are whole, so a load that fails is never seen, neither its rows nor its
+columns, and partition values are never re-typed by inference. One writer per table is assumed.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import (
+    BinaryType,
+    BooleanType,
+    ByteType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    ShortType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from smeltery.functions import named
 from smeltery.session import (
-    AUDIT_SETTINGS,
+    AUDIT_ADVISORY,
     LISTING_SETTINGS,
-    REBALANCE_SETTINGS,
+    OPEN_WRITERS,
+    REBALANCE_PARTITIONS,
     WRITE_SETTINGS,
+    at_least,
+    audit_settings,
     settings,
 )
 from smeltery.sources.schemas import aligned, extended
@@ -33,9 +54,31 @@ from smeltery.sources.schemas import aligned, extended
 # Parquet leaves out all statistics of a column chunk, its NULL count too, when its smallest and
 # largest value are long. Shortened ones are still valid bounds.
 WRITE_OPTIONS = {"parquet.statistics.truncate.length": "64"}
-LOG_SCHEMA = "seq BIGINT, run_id STRING, logged_at TIMESTAMP, location STRING, schema STRING"
+LOG_SCHEMA = (
+    "seq BIGINT, run_id STRING, logged_at TIMESTAMP, "
+    "parts ARRAY<STRUCT<location: STRING, width: INT>>, schema STRING"
+)
+RUN_COLUMN = "__run"
 MIB = 1 << 20
 
+# Types that Parquet stores as one column with a NULL count of its own.
+FLAT_TYPES = (
+    BinaryType,
+    BooleanType,
+    ByteType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    ShortType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
+OWN_LOG = ("delta", "hudi", "iceberg")
+
 
 @dataclass(frozen=True)
 class Table:
@@ -43,11 +86,29 @@ class Table:
     partition_by: tuple[str, ...] = ()
     fmt: str = "parquet"
 
+    def __post_init__(self) -> None:
+        if self.fmt.lower() in OWN_LOG:
+            raise ValueError(
+                f"{self.fmt} keeps a log of its own; these tables are plain files, such as Parquet or ORC"
+            )
+
 
 class NoSuchTable(LookupError):
     """Nothing has been published under the table's path yet."""
 
 
+class RunAlreadyLogged(ValueError):
+    """Rows were loaded under this run id before."""
+
+
+def location_of(run_id: str) -> str:
+    return f"runs/{RUN_COLUMN}={run_id}"
+
+
+def run_path(table: Table, run_id: str) -> str:
+    return f"{table.path}/{location_of(run_id)}"
+
+
 # --- the log
 
 
@@ -66,22 +127,49 @@ def _current(spark: SparkSession, table: Table) -> Row | None:
 
 
 def _record(
-    spark: SparkSession, table: Table, seq: int, run_id: str, location: str, schema: StructType
+    spark: SparkSession,
+    table: Table,
+    entry: Row | None,
+    run_id: str,
+    parts: Iterable[tuple[str, int]],
+    schema: StructType,
 ) -> None:
-    entry = spark.range(0, 1, 1, 1).select(
-        F.lit(seq).cast("bigint").alias("seq"),
+    part = lambda p: F.struct(
+        F.lit(p[0]).alias("location"), F.lit(p[1]).cast("int").alias("width")
+    )
+    row = spark.range(0, 1, 1, 1).select(
+        F.lit(entry["seq"] + 1 if entry else 1).cast("bigint").alias("seq"),
         F.lit(run_id).alias("run_id"),
         F.current_timestamp().alias("logged_at"),
-        F.lit(location).alias("location"),
+        F.array(*[part(p) for p in parts]).alias("parts"),
         F.lit(schema.json()).alias("schema"),
     )
-    entry.write.mode("append").json(f"{table.path}/log")
+    row.write.mode("append").json(f"{table.path}/log")
 
 
 def _stored_schema(entry: Row) -> StructType:
     return StructType.fromJson(json.loads(entry["schema"]))
 
 
+def _locations(entry: Row) -> list[str]:
+    return [p["location"] for p in entry["parts"]]
+
+
+def superseded(spark: SparkSession, table: Table) -> DataFrame:
+    """Directories (``run_id``, ``location``) the table once had and no longer reads.
+
+    Readers that opened an older version may still use them; an operator decides when to drop them.
+    """
+    log = _log(spark, table)
+    if log is None:
+        raise NoSuchTable(table.path)
+    once = log.select(F.explode("parts.location").alias("location")).distinct()
+    newest = log.orderBy(F.desc("seq")).limit(1)
+    now = newest.select(F.explode("parts.location").alias("location"))
+    run = F.regexp_extract("location", f"{RUN_COLUMN}=(.*)$", 1).alias("run_id")
+    return once.join(now, "location", "left_anti").select(run, "location")
+
+
 # --- reading
 
 
@@ -89,10 +177,20 @@ def exists(spark: SparkSession, table: Table) -> bool:
     return _current(spark, table) is not None
 
 
-def _load(spark: SparkSession, table: Table, location: str, schema: StructType) -> DataFrame:
-    # Partition columns come back last, so put the columns in the stored order.
-    files = spark.read.format(table.fmt).schema(schema).load(f"{table.path}/{location}")
-    return files.select(*[named(c) for c in schema.names])
+def _load(
+    spark: SparkSession,
+    table: Table,
+    locations: Sequence[str],
+    schema: StructType,
+    and_run: tuple[str, ...] = (),
+) -> DataFrame:
+    # The run is a partition column to Spark, so directories of many runs are one scan. Partition
+    # columns come back last, so put the columns in the stored order.
+    # Naming it in the schema gives it a type, and lets it be asked for where no file tells it.
+    wanted = StructType([*schema.fields, *[StructField(c, StringType()) for c in and_run]])
+    files = spark.read.format(table.fmt).schema(wanted).option("basePath", f"{table.path}/runs")
+    rows = files.load([f"{table.path}/{location}" for location in locations])
+    return rows.select(*[named(c) for c in schema.names], *and_run)
 
 
 def _entry(spark: SparkSession, table: Table) -> Row:
@@ -105,133 +203,162 @@ def _entry(spark: SparkSession, table: Table) -> Row:
 def read(spark: SparkSession, table: Table) -> DataFrame:
     """The published rows, columns in their stored order."""
     entry = _entry(spark, table)
-    return _load(spark, table, entry["location"], _stored_schema(entry))
+    return _load(spark, table, _locations(entry), _stored_schema(entry))
 
 
 def read_staged(spark: SparkSession, table: Table, run_id: str, schema: StructType) -> DataFrame:
     """The rows of a run that need not be published."""
-    return _load(spark, table, f"runs/{run_id}", schema)
+    return _load(spark, table, [location_of(run_id)], schema)
 
 
-def footer_counts(spark: SparkSession, table: Table) -> DataFrame | None:
-    """The published rows, read so that plain counts come from the Parquet footers.
-
-    Counting rows and NULLs of a whole table then opens every file but decodes no data. Returns
-    None where footers cannot answer: other formats, nested columns, or a table that gained
-    columns while its older files lack them. The frame belongs to a session of its own, which
-    keeps the reader settings off the caller's session.
-    """
-    entry = _entry(spark, table)
-    schema = _stored_schema(entry)
-    nested = any(isinstance(f.dataType, (ArrayType, MapType, StructType)) for f in schema.fields)
-    if table.fmt != "parquet" or nested:
-        return None
-    if _log(spark, table).where(F.col("location") == entry["location"]).count() > 1:
-        return None
+def _reader_session(spark: SparkSession) -> SparkSession:
+    """A session with all of the caller's settings, and those that let footers answer counts."""
     session = spark.newSession()
-    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
-        session.conf.set(key, spark.conf.get(key))
+    for key, value in spark.conf.getAll.items():
+        # What differs from a fresh session was set on the caller's, so it can be set here too.
+        if session.conf.get(key, None) != value:
+            session.conf.set(key, value)
     # The reader pushes a timestamp filter only for the form it would write itself.
     for key, value in WRITE_SETTINGS.items():
         session.conf.set(key, value)
     session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
     v1 = session.conf.get("spark.sql.sources.useV1SourceList").split(",")
     session.conf.set("spark.sql.sources.useV1SourceList", ",".join(s for s in v1 if s != "parquet"))
-    return _load(session, table, entry["location"], schema)
+    return session
+
+
+def footer_counts(spark: SparkSession, table: Table) -> list[DataFrame] | None:
+    """The published rows, read so that plain counts come from the Parquet footers.
+
+    One frame per schema version, with the columns its files have; columns were only ever added, so
+    a version is a number of leading columns; the last column is the run, by which counts have to be
+    grouped as by every partition column. Counting rows and NULLs of a whole table then opens
+    every file but decodes no data. Returns None where footers cannot answer: other formats, and
+    columns of types that are not known to be stored flat. The frames belong to a session of their
+    own, which keeps the reader settings off the caller's session.
+    """
+    entry = _entry(spark, table)
+    schema = _stored_schema(entry)
+    if table.fmt != "parquet" or any(type(f.dataType) not in FLAT_TYPES for f in schema.fields):
+        return None
+    session = _reader_session(spark)
+    versions: dict[int, list[str]] = {}
+    for part in entry["parts"]:
+        versions.setdefault(part["width"], []).append(part["location"])
+    return [
+        _load(session, table, locations, StructType(schema.fields[:width]), (RUN_COLUMN,))
+        for width, locations in sorted(versions.items())
+    ]
 
 
 # --- writing
 
 
 def _write(df: DataFrame, table: Table, location: str, mode: str, rebalance: bool) -> None:
-    applied = WRITE_SETTINGS
+    spark, applied = df.sparkSession, dict(WRITE_SETTINGS)
     if rebalance and table.partition_by:
         # One file per partition value and output task instead of one per input task. The
         # adaptive planner splits a value that outgrows the advisory size over several tasks and
         # packs small ones together.
-        df = df.hint("rebalance", *[named(c) for c in table.partition_by])
-        applied = WRITE_SETTINGS | REBALANCE_SETTINGS
+        first = at_least(spark, "spark.sql.shuffle.partitions", REBALANCE_PARTITIONS)
+        df = df.hint("rebalance", first, *[named(c) for c in table.partition_by])
+        writers = "spark.sql.maxConcurrentOutputFileWriters"
+        applied[writers] = str(at_least(spark, writers, OPEN_WRITERS))
     writer = df.write.format(table.fmt).options(**WRITE_OPTIONS).mode(mode)
     writer = writer.partitionBy(*table.partition_by)
-    with settings(df.sparkSession, applied):
+    with settings(spark, applied):
         writer.save(f"{table.path}/{location}")
 
 
 def append(
     spark: SparkSession, df: DataFrame, table: Table, run_id: str, rebalance: bool = True
 ) -> None:
-    """Add rows. New columns extend the table; a changed type is refused before anything is
-    written.
+    """Add rows as a whole. New columns extend the table; a changed type is refused before anything
+    is written, as is a run id that was logged before.
 
-    The extended schema is logged first: older files answer NULL for the new columns, so it is
-    right whether or not the rows follow.
+    The rows go to a directory of their own, which the log names once it is complete. What a failed
+    load left under the same run id was never seen and is replaced.
     """
+    log = _log(spark, table)
+    if log is not None and not log.where(F.col("run_id") == run_id).isEmpty():
+        raise RunAlreadyLogged(f"{table.path}: run {run_id} was logged before")
     entry = _current(spark, table)
-    known = _stored_schema(entry) if entry else StructType()
-    schema = extended(known, df.schema)
-    location = entry["location"] if entry else f"runs/{run_id}"
-    if entry is None or schema != known:
-        _record(spark, table, entry["seq"] + 1 if entry else 1, run_id, location, schema)
-    _write(aligned(df, schema), table, location, "append", rebalance)
+    schema = extended(_stored_schema(entry) if entry else StructType(), df.schema)
+    location = location_of(run_id)
+    _write(aligned(df, schema), table, location, "overwrite", rebalance)
+    held = [tuple(p) for p in entry["parts"]] if entry else []
+    _record(spark, table, entry, run_id, [*held, (location, len(schema))], schema)
 
 
 def stage(df: DataFrame, table: Table, run_id: str, rebalance: bool = True) -> None:
     """Write a complete new version of the table, not yet visible to ``read``."""
-    _write(df, table, f"runs/{run_id}", "errorifexists", rebalance)
+    _write(df, table, location_of(run_id), "errorifexists", rebalance)
 
 
 def publish(spark: SparkSession, table: Table, run_id: str, schema: StructType) -> None:
     """Make a staged run the current version; its schema replaces the previous one."""
-    entry = _current(spark, table)
-    _record(spark, table, entry["seq"] + 1 if entry else 1, run_id, f"runs/{run_id}", schema)
+    part = (location_of(run_id), len(schema))
+    _record(spark, table, _current(spark, table), run_id, [part], schema)
 
 
-def keep_audit(report: DataFrame, table: Table, run_id: str) -> DataFrame:
-    """Store a run's audit rows once and return them as read back, whatever is asked of them."""
-    path = f"{table.path}/audits/{run_id}"
-    with settings(report.sparkSession, AUDIT_SETTINGS):
-        report.coalesce(1).write.parquet(path)
-    return report.sparkSession.read.schema(report.schema).parquet(path)
+def keep_audit(
+    report: DataFrame, table: Table, run_id: str, advisory: int = AUDIT_ADVISORY
+) -> DataFrame:
+    """Store a run's audit rows once and return them as read back, whatever is asked of them.
+
+    The audit's shuffle gets a partition for every ``advisory`` bytes the run staged.
+    """
+    spark, path = report.sparkSession, f"{table.path}/audits/{run_id}"
+    staged = _sum_of_lengths(spark, [run_path(table, run_id)])
+    with settings(spark, audit_settings(spark, staged, advisory)):
+        report.write.parquet(path)
+    return spark.read.schema(report.schema).parquet(path)
 
 
 # --- file layout
 
 
+def _files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    return files.select("path", "length")
+
+
+def _sum_of_lengths(spark: SparkSession, paths: Sequence[str]) -> int:
+    with settings(spark, LISTING_SETTINGS):
+        return _files(spark, paths).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
 def file_sizes(spark: SparkSession, table: Table) -> DataFrame:
-    """(directory, length) of every current data file; file contents are not read."""
-    location = f"{table.path}/{_entry(spark, table)['location']}"
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(location)
-    return files.select(F.regexp_extract("path", "^(.*)/", 1).alias("directory"), "length")
+    """(location, directory, length) of every current data file; file contents are not read.
 
+    ``location`` is the run's directory, ``directory`` the partition within it.
+    """
+    paths = [f"{table.path}/{location}" for location in _locations(_entry(spark, table))]
+    pattern = f"(runs/{RUN_COLUMN}=[^/]*)/(?:(.*)/)?[^/]*$"
+    return _files(spark, paths).select(
+        F.regexp_extract("path", pattern, 1).alias("location"),
+        F.regexp_extract("path", pattern, 2).alias("directory"),
+        "length",
+    )
 
-def file_summary(spark: SparkSession, table: Table, small: int = 16 * MIB) -> Row:
-    """Files, bytes, and surplus: the small files beyond one remainder per partition."""
-    per_partition = (
-        file_sizes(spark, table)
-        .groupBy("directory")
-        .agg(
-            F.count(F.lit(1)).alias("files"),
-            F.sum("length").alias("bytes"),
-            F.count_if(F.col("length") < small).alias("small"),
-        )
+
+def _summary(sizes: DataFrame, small: int) -> DataFrame:
+    per_partition = sizes.groupBy("directory").agg(
+        F.count(F.lit(1)).alias("files"),
+        F.sum("length").alias("bytes"),
+        F.count_if(F.col("length") < small).alias("small"),
     )
-    totals = per_partition.agg(
+    return per_partition.agg(
         F.coalesce(F.sum("files"), F.lit(0)).alias("files"),
         F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
         F.coalesce(F.sum(F.greatest(F.col("small") - 1, F.lit(0))), F.lit(0)).alias("surplus"),
     )
-    with settings(spark, LISTING_SETTINGS):
-        return totals.first()
 
 
-def has_large_files(spark: SparkSession, table: Table, average: int = 64 * MIB) -> bool:
-    """Whether the files are so large that rows written as they are read stay well packed.
-
-    A file holds one partition value. Where the written table's partitions are made of whole ones
-    of this table (months of days), a task writes at most one file per file it reads.
-    """
-    summary = file_summary(spark, table)
-    return summary["files"] > 0 and summary["bytes"] / summary["files"] >= average
+def file_summary(spark: SparkSession, table: Table, small: int = 16 * MIB) -> Row:
+    """Files, bytes, and surplus: the small files beyond one remainder per partition."""
+    with settings(spark, LISTING_SETTINGS):
+        return _summary(file_sizes(spark, table), small).first()
 
 
 def compact(
@@ -241,15 +368,30 @@ def compact(
     max_surplus: float = 0.1,
     small: int = 16 * MIB,
 ) -> bool:
-    """Rewrite the current version into fewer files and publish it; True if that was needed.
+    """Merge the directories of small files into one and publish that; True if it was needed.
 
-    Nothing is rewritten while at most ``max_surplus`` of the files are small ones that could be
-    merged with a neighbour, which is how ``stage`` leaves a table.
+    A directory is left alone, file for file, while at most ``max_surplus`` of its bytes lie in
+    files below ``small`` bytes. The others are merged if more than ``max_surplus`` of their files
+    could be joined with a neighbour of the same partition. A step for the caller to schedule;
+    nothing else in the library compacts.
     """
-    summary = file_summary(spark, table, small)
-    if summary["surplus"] <= max_surplus * summary["files"]:
+    entry = _entry(spark, table)
+    schema = _stored_schema(entry)
+    sizes = file_sizes(spark, table)
+    in_small = F.sum(F.when(F.col("length") < small, F.col("length")).otherwise(0))
+    with settings(spark, LISTING_SETTINGS):
+        loose = (
+            sizes.groupBy("location")
+            .agg(in_small.alias("in_small"), F.sum("length").alias("bytes"))
+            .where(F.col("in_small") > max_surplus * F.col("bytes"))
+        )
+        names = {row["location"] for row in loose.select("location").collect()}  # one per run
+        summary = _summary(sizes.join(loose, "location", "left_semi"), small).first()
+    if not names or summary["surplus"] <= max_surplus * summary["files"]:
         return False
-    current = read(spark, table)
-    stage(current, table, run_id)
-    publish(spark, table, run_id, current.schema)
+    merged = [location for location in _locations(entry) if location in names]
+    stage(_load(spark, table, merged, schema), table, run_id)
+    kept = [tuple(p) for p in entry["parts"] if p["location"] not in merged]
+    _record(spark, table, entry, run_id, [*kept, (location_of(run_id), len(schema))], schema)
     return True
+

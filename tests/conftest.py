@@ -18,6 +18,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
@@ -27,8 +28,5 @@ def spark():
 
 @pytest.fixture
 def folder(spark):
-    """A fresh directory path, in the session's shared folder where it names one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(
-        prefix="run-", dir="/tmp"
-    )
-    return f"{base}/test-{uuid.uuid4()}"
+    """A fresh directory path in the session's shared folder."""
+    return f"{spark.conf.get('spark.checkpoint.dir')}/test-{uuid.uuid4()}"

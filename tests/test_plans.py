@@ -10,14 +10,17 @@ from helpers import data_files, executed_nodes, plan_text, scanned_rows
 from smeltery.operators import reports
 from smeltery.plans import jobs, sales
 from smeltery.run import Run
-from smeltery.session import settings
+from smeltery.session import REBALANCE_PARTITIONS, at_least, audit_settings, settings
 from smeltery.sources import tables
 
 SF = "/root/testdata/sf0.01"
 PYTHON_NODES = ("Python", "Pandas", "Arrow")
 
+# Those of the llm subpackage, where it is present, have tests of their own.
+OWN = sorted(k for k in driver.queries() if not (k.startswith("op") or k == "pipeline"))
 
-@pytest.mark.parametrize("key", sorted(driver.queries()))
+
+@pytest.mark.parametrize("key", OWN)
 def test_no_python_and_no_cross_join(spark, key):
     text = plan_text(driver.queries()[key](spark, SF))
     assert not any(word in text for word in PYTHON_NODES)
@@ -134,12 +137,33 @@ def test_hot_partition_is_split_over_tasks(spark, folder):
     advisory = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB"}
     with settings(spark, advisory | {"spark.sql.files.openCostInBytes": "128MB"}):
         tables.stage(many_files, target, "r1")
-    hot = data_files(f"{target.path}/runs/r1/ano_venda=2024/mes_venda=1")
+    hot = data_files(f"{tables.run_path(target, 'r1')}/ano_venda=2024/mes_venda=1")
     assert len(hot) >= 4
     back = tables.read_staged(spark, target, "r1", wide.schema)
     assert back.exceptAll(wide).isEmpty() and wide.exceptAll(back).isEmpty()
 
 
-def test_large_files_spare_the_shuffle(spark, two_loads):
-    assert not tables.has_large_files(spark, two_loads.table)
-    assert tables.has_large_files(spark, two_loads.table, average=1)
+def test_footers_answer_after_a_column_was_added(spark, two_loads):
+    wider = driver.raw_sales(spark, SF).withColumn("canal", F.lit("web"))
+    third = Run("third", two_loads.run.ts + timedelta(days=1), two_loads.run.as_of + timedelta(days=1))
+    load = jobs.ingest_bronze(spark, wider, two_loads.table, third)
+    files = tables.file_summary(spark, load.table)["files"]
+    scanned = scanned_rows(load.monitor)
+    # A row per file and the day's rows; the older version has none of that day.
+    assert sum(scanned) == files + 10_000 and max(scanned) == 10_000
+
+
+def test_the_audit_shuffle_follows_the_staged_bytes(spark):
+    first = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    small, large = (audit_settings(spark, n << 20, 8 << 20)[first] for n in (1, 80_000))
+    assert int(small) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert int(large) == 10_000
+    with settings(spark, {first: "20000"}):
+        assert audit_settings(spark, 80_000 << 20, 8 << 20)[first] == "20000"
+
+
+def test_the_write_shuffle_is_never_below_the_callers(spark):
+    mine = "spark.sql.shuffle.partitions"
+    with settings(spark, {mine: "5000"}):
+        assert at_least(spark, mine, REBALANCE_PARTITIONS) == 5000
+    assert at_least(spark, mine, REBALANCE_PARTITIONS) == REBALANCE_PARTITIONS

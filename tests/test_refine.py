@@ -16,6 +16,7 @@ from smeltery.plans import sales
 from smeltery.run import Run
 from smeltery.session import settings
 
+# The rows on which the expected results are defined.
 GOLDEN = [
     (1, "João Silva", "Produto A", 150.50, "2024-06-15", "SP"),
     (2, "Maria Santos", "Produto B", 89.90, "2024-06-15", "RJ"),
