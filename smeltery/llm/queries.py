@@ -181,10 +181,13 @@ WITH given AS (
   SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws,
     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls
   FROM given
+), placed AS (
+  SELECT uid, unnest(ws) AS a, generate_subscripts(ws, 1) AS i FROM cut
 ), windows AS (
-  SELECT uid, unnest(range(1, len(ws) - 1)) AS i, ws FROM cut WHERE len(ws) >= 3
+  SELECT uid, i, a, lead(a, 1) OVER w AS b, lead(a, 2) OVER w AS c
+  FROM placed WINDOW w AS (PARTITION BY uid ORDER BY i)
 ), triples AS (
-  SELECT uid, i, count(*) OVER (PARTITION BY uid, ws[i], ws[i + 1], ws[i + 2]) AS n FROM windows
+  SELECT uid, i, count(*) OVER (PARTITION BY uid, a, b, c) AS n FROM windows WHERE c IS NOT NULL
 ), covered AS (
   SELECT uid, count(DISTINCT place) AS n_repeat_words
   FROM (SELECT uid, unnest([i, i + 1, i + 2]) AS place FROM triples WHERE n > 1) GROUP BY uid
