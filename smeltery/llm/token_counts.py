@@ -95,11 +95,13 @@ class Costs(dict):
 
     def __init__(self, tokenizer: Tokenizer, singles: tuple[str, ...]):
         super().__init__(dict.fromkeys(singles, 1))
-        self.encode, self.room = tokenizer.encode, len(self) + REMEMBERED
+        # A pre-token needs only the tokenizer's merges, which take it letter by byte.
+        self.merge, self.room = tokenizer.model.tokenize, len(self) + REMEMBERED
+        self.letters = {byte: letter for letter, byte in byte_letters().items()}
         self.singles = singles
 
     def __missing__(self, piece: str) -> int:
-        cost = len(self.encode(piece, add_special_tokens=False).ids)
+        cost = len(self.merge(piece.encode().decode("latin-1").translate(self.letters)))
         if len(piece) <= LONGEST:
             if len(self) >= self.room:
                 self.clear()
