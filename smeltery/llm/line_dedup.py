@@ -115,7 +115,9 @@ def repeated_lines(hashes: DataFrame, min_docs: int, batches: int, fanout: int)
     for i in range(batches):
         runs.add(hashes.where(F.pmod(F.xxhash64("doc"), F.lit(batches)) == i))
     shared = runs.totals().where(F.col("n_docs") >= min_docs).select(*KEY, "holder")
-    lost = hashes.join(shared, KEY).where(F.col("doc") != F.col("holder"))
+    # Stored, so that the join has a shuffle of its own, which Spark splits where a line is frequent.
+    held = stored(shared, "shared").hint("merge")
+    lost = hashes.join(held, KEY).where(F.col("doc") != F.col("holder"))
     # At most the lines of one document.
     return lost.groupBy("doc").agg(F.collect_set(F.struct(*KEY)).alias("drop"))
 
