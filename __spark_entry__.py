@@ -113,7 +113,8 @@ def scratch(spark: SparkSession) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
         base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return f"{base}/smeltery-{uuid.uuid4()}"
@@ -181,6 +182,26 @@ def bronze_stamped(spark, sf_dir):
     return utc_clock(sales.stamp_bronze(raw_sales(spark, sf_dir), BRONZE_RUN))
 
 
+def run_ids(spark, sf_dir):
+    """Two runs that choose their own ids: one id of the usual form on all rows of a run."""
+    rows = raw_sales(spark, sf_dir)
+    first, second = (sales.stamp_bronze(rows, Run.start(spark)) for _ in range(2))
+    form = "^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
+    return first.unionByName(second).agg(
+        F.count(F.lit(1)).alias("total_rows"),
+        F.count_if(F.col("bronze_load_id").rlike(form)).alias("well_formed"),
+        F.count_distinct("bronze_load_id").alias("run_ids"),
+    )
+
+
+def preview_found(spark, sf_dir):
+    """Any five rows, as a preview shows them; which ones is undecided, but they are silver rows."""
+    columns = ["id_venda", "cliente_normalizado", "valor"]
+    shown, rows = silver(spark, sf_dir).limit(5), silver(spark, sf_dir)
+    known = shown.join(rows.select(columns), columns, "left_semi")
+    return known.agg(F.count(F.lit(1)).alias("found"))
+
+
 def state_category_report(spark, sf_dir):
     report = sales.state_category_report(silver(spark, sf_dir))
     return rounded(report, receita_total=2, ticket_medio=4)
@@ -394,6 +415,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "enriched": enriched,
         "silver": silver,
         "silver_stamped": lambda s, d: utc_clock(stamped_silver(s, d)),
+        "run_ids": run_ids,
+        "preview_found": preview_found,
         "null_profile": lambda s, d: quality.null_profile(sales_rows(s, d)),
         "critical_nulls": lambda s, d: quality.critical_nulls(silver(s, d), sales.CRITICAL_FIELDS),
         "duplicate_count": lambda s, d: quality.duplicate_count(silver(s, d), "id_venda"),
@@ -564,6 +587,9 @@ def oracle_sql() -> dict[str, str]:
         "enriched": f"{silver_with} SELECT * FROM enriched",
         "silver": f"{silver_with} SELECT * FROM silver",
         "silver_stamped": f"{silver_with} {stamped}",
+        "run_ids": f"{sales_with} SELECT 2 * count(*) AS total_rows, 2 * count(*) AS well_formed, "
+        "least(2, count(*)) AS run_ids FROM sales",
+        "preview_found": f"{silver_with} SELECT least(5, count(*)) AS found FROM silver",
         "null_profile": f"{sales_with} SELECT {_nulls(bronze_columns)} FROM sales",
         "critical_nulls": f"{silver_with} SELECT {_nulls(sales.CRITICAL_FIELDS)} FROM silver",
         "duplicate_count": f"{silver_with} SELECT CAST(sum(n - 1) AS BIGINT) AS duplicates "
