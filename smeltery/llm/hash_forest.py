@@ -11,7 +11,8 @@ brute force over all rows, and the number is the smallest that finds the wanted
 true neighbours, whatever the vectors look like.
 
 The sorted arrays are cut into segments of bounded size, by prefix and, where more rows share a
-prefix than a segment holds, by a hash of the row. A query visits the segments under its prefix.
+prefix than a segment holds, by a hash of the row. A query visits the segments under its prefix;
+a segment that very many queries visit is repeated, each time for a bounded part of them.
 Equal vectors are one row of the index; their ids are told apart at the end.
 """
 
@@ -34,8 +35,11 @@ COUNTED = 14
 SAMPLE = 16_384
 LEAST = 64
 PROBES = 128
-# Rows of a segment.
+# Rows of a segment, and queries it is compared with in one group.
 SEGMENT = 16_384
+ASKING = 16_384
+# Rows of the Arrow batches that tasks hand on.
+ROWS = 8192
 
 
 @dataclass(frozen=True)
@@ -276,6 +280,46 @@ def rows_needed(
     return total * forest.trees
 
 
+def visited(
+    counts: list[np.ndarray], codes: np.ndarray, enough: int, cut: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Prefix length of each query, and by tree its first segment and the one after its last."""
+    lengths = ascended(counts, codes, enough)
+    up = np.maximum(0, cut - lengths)[:, None]
+    first = codes >> (BITS - cut) >> up << up
+    return lengths, first, first + (1 << up)
+
+
+def visitors(
+    coded: DataFrame, counts: list[np.ndarray], trees: int, enough: int, cut: int
+) -> np.ndarray:
+    """[tree, segment] queries that visit the segment.
+
+    Tasks add up where visits begin and end, so the driver gets at most 2 x trees x 2^COUNTED
+    numbers, however many queries there are.
+    """
+    shipped = coded.sparkSession.sparkContext.broadcast(counts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        change = np.zeros((trees, (1 << cut) + 1), np.int64)
+        for batch in batches:
+            codes = batch.column(0).flatten().to_numpy().reshape(-1, trees)
+            _, first, after = visited(shipped.value, codes, enough, cut)
+            for t in range(trees):
+                np.add.at(change[t], first[:, t], 1)
+                np.add.at(change[t], after[:, t], -1)
+        tree, segment = np.nonzero(change)
+        columns = [pa.array(tree), pa.array(segment), pa.array(change[tree, segment])]
+        yield pa.record_batch(columns, names=["tree", "segment", "n"])
+
+    asking = coded.where("is_query").select("codes")
+    changes = asking.mapInArrow(run, "tree BIGINT, segment BIGINT, n BIGINT")
+    rows = changes.groupBy("tree", "segment").agg(F.sum("n").alias("n")).toArrow()
+    change = np.zeros((trees, (1 << cut) + 1), np.int64)
+    change[rows["tree"].to_numpy(), rows["segment"].to_numpy()] = rows["n"].to_numpy()
+    return change.cumsum(axis=1)[:, :-1]
+
+
 def candidates(
     coded: DataFrame,
     counts: list[np.ndarray],
@@ -285,58 +329,68 @@ def candidates(
     enough: int,
     total: int,
 ) -> DataFrame:
-    """(qid, cid, score): the best k + 1 rows that each query meets in each segment it visits."""
-    shipped = coded.sparkSession.sparkContext.broadcast(counts)
+    """(qid, cid, score): the best k + 1 rows that each query meets in each segment it visits.
+
+    A group holds about SEGMENT rows and ASKING queries. A prefix with more rows is dealt over
+    chunks, each met by all of its queries; one with more queries over parts, each with all rows.
+    """
     cut = int(min(COUNTED, max(0, np.ceil(np.log2(max(1, total / SEGMENT))))))
-    # Prefixes with more rows than a segment is to hold are dealt over several by a hash.
     chunks = np.maximum(1, -(-counts[cut] // SEGMENT))
-    deal = coded.sparkSession.sparkContext.broadcast(chunks)
+    parts = np.maximum(1, -(-visitors(coded, counts, trees, enough, cut) // ASKING))
+    shipped = coded.sparkSession.sparkContext.broadcast((counts, chunks, parts))
 
     def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, chunks = shipped.value, deal.value
+        counts, chunks, parts = shipped.value
         for batch in batches:
             cids = batch.column(0).to_numpy()
-            asks = batch.column(2).to_numpy(zero_copy_only=False)
             codes = batch.column(3).flatten().to_numpy().reshape(-1, trees)
-            lengths = ascended(counts, codes, enough)
-            row, tree, segment, chunk, length = [], [], [], [], []
-            places = codes >> (BITS - cut)
+            mixed = np.abs(cids * 2_654_435_761 % 1_000_003)
+
+            def placed(tree: int, at: np.ndarray, *where: np.ndarray) -> Iterator[pa.RecordBatch]:
+                # Vectors are repeated once per tree and visit, so not too many rows at a time.
+                for a in range(0, len(at), ROWS):
+                    rows = at[a : a + ROWS]
+                    segment, chunk, part, length = (w[a : a + ROWS] for w in where)
+                    columns = {
+                        "tree": pa.array(np.full(len(rows), tree), pa.int32()),
+                        "segment": pa.array(segment, pa.int64()),
+                        "chunk": pa.array(chunk, pa.int64()),
+                        "part": pa.array(part, pa.int64()),
+                        "cid": pa.array(cids[rows]),
+                        "vec": batch.column(1).take(pa.array(rows)),
+                        "code": pa.array(codes[rows, tree]),
+                        "length": pa.array(length, pa.int64()),
+                    }
+                    yield pa.RecordBatch.from_pydict(columns)
+
+            asking = np.flatnonzero(batch.column(2).to_numpy(zero_copy_only=False))
+            lengths, first, after = visited(counts, codes[asking], enough, cut)
             for t in range(trees):
-                row.append(np.arange(len(cids)))
-                segment.append(places[:, t])
-                chunk.append(np.abs(cids * 2_654_435_761 % 1_000_003) % chunks[t][places[:, t]])
-                length.append(np.full(len(cids), -1))
-                tree.append(np.full(len(cids), t))
-                for i in np.flatnonzero(asks):
-                    up = max(0, cut - lengths[i])
-                    first = (places[i, t] >> up) << up
-                    for s in range(first, first + (1 << up)):
-                        n = chunks[t][s] if counts[cut][t, s] else 0
-                        row.append(np.full(n, i))
-                        segment.append(np.full(n, s))
-                        chunk.append(np.arange(n))
-                        length.append(np.full(n, lengths[i]))
-                        tree.append(np.full(n, t))
-            rows, trees_at = np.concatenate(row), np.concatenate(tree)
-            # Vectors are repeated once per tree and visit, so not too many rows at a time.
-            for a in range(0, len(rows), 8192):
-                at = rows[a : a + 8192]
-                yield pa.record_batch(
-                    [
-                        pa.array(trees_at[a : a + 8192], pa.int32()),
-                        pa.array(np.concatenate(segment)[a : a + 8192], pa.int64()),
-                        pa.array(np.concatenate(chunk)[a : a + 8192], pa.int64()),
-                        pa.array(cids[at]),
-                        batch.column(1).take(pa.array(at)),
-                        pa.array(codes[at, trees_at[a : a + 8192]]),
-                        pa.array(np.concatenate(length)[a : a + 8192], pa.int64()),
-                    ],
-                    names=["tree", "segment", "chunk", "cid", "vec", "code", "length"],
-                )
-
-    placed = coded.select("cid", "vec", "is_query", "codes").mapInArrow(
+                place = codes[:, t] >> (BITS - cut)
+                for p in range(parts[t][place].max(initial=0)):
+                    at = np.flatnonzero(parts[t][place] > p)
+                    own, same = mixed[at] % chunks[t][place[at]], np.ones(len(at), np.int64)
+                    yield from placed(t, at, place[at], own, p * same, -same)
+                found: list[tuple[np.ndarray, ...]] = []
+                held = 0
+                for i, row in enumerate(asking):
+                    s = np.arange(first[i, t], after[i, t])
+                    s = s[counts[cut][t, s] > 0]
+                    n = chunks[t][s]
+                    segment = np.repeat(s, n)
+                    chunk = np.arange(len(segment)) - np.repeat(np.cumsum(n) - n, n)
+                    part = mixed[row] % parts[t][segment]
+                    same = np.ones(len(segment), np.int64)
+                    found.append((row * same, segment, chunk, part, lengths[i] * same))
+                    held += len(segment)
+                    if held >= ROWS or i == len(asking) - 1:
+                        yield from placed(t, *map(np.concatenate, zip(*found, strict=True)))
+                        found, held = [], 0
+
+    rows = coded.select("cid", "vec", "is_query", "codes").mapInArrow(
         visits,
-        "tree INT, segment BIGINT, chunk BIGINT, cid BIGINT, vec ARRAY<DOUBLE>, code BIGINT, length BIGINT",
+        "tree INT, segment BIGINT, chunk BIGINT, part BIGINT, cid BIGINT, vec ARRAY<DOUBLE>, "
+        "code BIGINT, length BIGINT",
     )
 
     def compare(table: pa.Table) -> pa.Table:
@@ -376,7 +430,7 @@ def candidates(
             }
         )
 
-    near = placed.groupBy("tree", "segment", "chunk").applyInArrow(
+    near = rows.groupBy("tree", "segment", "chunk", "part").applyInArrow(
         compare, "qid BIGINT, cid BIGINT, score DOUBLE"
     )
     return near.groupBy("qid", "cid").agg(F.max("score").alias("score"))

@@ -82,9 +82,10 @@ def _brute(table, k=20):
     return out
 
 
-@pytest.mark.parametrize("segment", [16_384, 128])
-def test_neighbours_reach_the_recall_and_scores_are_exact(spark, monkeypatch, segment):
+@pytest.mark.parametrize(("segment", "asking"), [(16_384, 16_384), (128, 16_384), (512, 50)])
+def test_neighbours_reach_the_recall_and_scores_are_exact(spark, monkeypatch, segment, asking):
     monkeypatch.setattr(hash_forest, "SEGMENT", segment)
+    monkeypatch.setattr(hash_forest, "ASKING", asking)
     table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     want, hits = _brute(table), 0
     got = {}
