@@ -8,7 +8,8 @@ prefixes number enough; then it is compared exactly with all of them.
 
 How many rows are enough is measured, not guessed: a bounded set of probe queries is answered by
 brute force over all rows, and the number is the smallest that finds the wanted share of their
-true neighbours, whatever the vectors look like.
+true neighbours, whatever the vectors look like. The probes go as deep as the search does, also
+where it goes on below the counted prefixes in each tree by itself.
 
 The sorted arrays are cut into segments of bounded size, by prefix and, where more rows share a
 prefix than a segment holds, by a hash of the row. A query visits the segments under its prefix;
@@ -223,6 +224,50 @@ def ascended(counts: list[np.ndarray], codes: np.ndarray, enough: int) -> np.nda
     return np.where(reached, lengths, 0).max(axis=1)
 
 
+def deeper_counts(coded: DataFrame, codes: np.ndarray) -> np.ndarray:
+    """[probe, tree, i] rows that share COUNTED + i bits or more with the probe.
+
+    A row is compared with the probes in the trees where it has the counted prefix of one of them.
+    The driver gets at most probes x trees x BITS numbers, however many rows there are.
+    """
+    trees, depths = codes.shape[1], BITS - COUNTED + 1
+    near = np.zeros((trees, 1 << COUNTED), bool)
+    near[np.arange(trees), codes >> (BITS - COUNTED)] = True
+    shipped = coded.sparkSession.sparkContext.broadcast((codes, near))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, near = shipped.value
+        found = np.zeros((len(codes) * trees, depths), np.int64)
+        for batch in batches:
+            flat = batch.column(0).flatten().to_numpy().reshape(-1, trees)
+            for t in range(trees):
+                rows = flat[near[t][flat[:, t] >> (BITS - COUNTED)], t]
+                for a in range(0, len(rows), ROWS):
+                    differ = np.bitwise_xor(codes[:, t, None], rows[None, a : a + ROWS])
+                    shared = BITS - np.frexp(differ.astype(np.float64))[1] - COUNTED
+                    probe, row = np.nonzero(shared >= 0)
+                    np.add.at(found, (probe * trees + t, shared[probe, row]), 1)
+        place, depth = np.nonzero(found)
+        columns = [pa.array(place), pa.array(depth), pa.array(found[place, depth])]
+        yield pa.record_batch(columns, names=["place", "depth", "n"])
+
+    each = coded.select("codes").mapInArrow(run, "place BIGINT, depth BIGINT, n BIGINT")
+    rows = each.groupBy("place", "depth").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros((len(codes) * trees, depths), np.int64)
+    counts[rows["place"].to_numpy(), rows["depth"].to_numpy()] = rows["n"].to_numpy()
+    return counts[:, ::-1].cumsum(axis=1)[:, ::-1].reshape(len(codes), trees, depths)
+
+
+def reached(held: np.ndarray, deeper: np.ndarray, enough: int, k: int) -> np.ndarray:
+    """[probe, tree] the prefix length the search compares, by ``under`` and ``deeper_counts``.
+
+    Where a prefix is dealt over chunks the search stops no deeper than here, as a chunk holds fewer.
+    """
+    length = np.where(held >= enough, np.arange(held.shape[1]), 0).max(axis=1)
+    further = np.where(deeper >= max(enough, k + 1), np.arange(deeper.shape[2]), 0).max(axis=2)
+    return length[:, None] + np.where(length[:, None] >= COUNTED, further, 0)
+
+
 def rows_needed(
     coded: DataFrame,
     counts: list[np.ndarray],
@@ -252,30 +297,34 @@ def rows_needed(
             scores[ids[:, None] == cids[None, :]] = -np.inf
             best = np.argpartition(-scores, min(k, len(cids)) - 1, axis=1)[:, :k]
             flat = batch.column(2).flatten().to_numpy().reshape(len(cids), -1)
-            # The longest prefix that probe and row share in any tree.
+            # The longest prefix that probe and row share in each tree.
             differ = np.bitwise_xor(codes[:, None, :], flat[best])
-            shared = (BITS - np.frexp(differ.astype(np.float64))[1]).max(axis=2)
+            shared = BITS - np.frexp(differ.astype(np.float64))[1]
+            ends = np.arange(best.size + 1, dtype=np.int32) * shared.shape[2]
             rows = np.repeat(np.arange(len(ids)), best.shape[1])
             value = np.take_along_axis(scores, best, axis=1)
             yield pa.record_batch(
                 [
                     pa.array(rows, pa.int64()),
                     pa.array(value.ravel(), pa.float64()),
-                    pa.array(shared.ravel(), pa.int64()),
+                    pa.ListArray.from_arrays(
+                        pa.array(ends), pa.array(shared.ravel().astype(np.int64))
+                    ),
                 ],
                 names=["probe", "score", "shared"],
             )
 
     compared = coded.select("cid", "vec", "codes").mapInArrow(
-        run, "probe BIGINT, score DOUBLE, shared BIGINT"
+        run, "probe BIGINT, score DOUBLE, shared ARRAY<BIGINT>"
     )
-    true = _ranked(compared, ["probe"], [F.desc("score"), F.desc("shared")], k)
-    true = true.where(F.col("score") > float("-inf")).toArrow()
-    probe, shared = true["probe"].to_numpy(), true["shared"].to_numpy()
-    held = under(counts, codes)
+    best = [F.desc("score"), F.array_max("shared").desc()]
+    true = _ranked(compared, ["probe"], best, k).where(F.col("score") > float("-inf")).toArrow()
+    probe = true["probe"].to_numpy()
+    shared = true["shared"].combine_chunks().flatten().to_numpy().reshape(-1, forest.trees)
+    held, deeper = under(counts, codes), deeper_counts(coded, codes)
     for enough in sorted({int(x) for x in np.geomspace(min(total, 256), total * forest.trees, 60)}):
-        length = np.where(held >= enough, np.arange(held.shape[1]), 0).max(axis=1)
-        if len(probe) == 0 or np.mean(shared >= length[probe]) >= recall:
+        lengths = reached(held, deeper, enough, k)
+        if len(probe) == 0 or np.mean((shared >= lengths[probe]).any(axis=1)) >= recall:
             return enough
     return total * forest.trees
 

@@ -100,6 +100,18 @@ def test_neighbours_reach_the_recall_and_scores_are_exact(spark, monkeypatch, se
     assert hits >= 0.9 * sum(map(len, want.values()))
 
 
+def test_neighbours_reach_the_recall_below_the_counted_prefixes(spark, monkeypatch):
+    monkeypatch.setattr(hash_forest, "COUNTED", 2)
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((4, 16)) * 3
+    rows = centres[np.arange(12_000) % 4] + rng.standard_normal((12_000, 16))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    want, hits = _brute(table), 0
+    for r in hash_forest.search(table).collect():
+        hits += r["vec_id"] in {v for v, _ in want[r["query_id"]]}
+    assert hits >= 0.93 * sum(map(len, want.values()))
+
+
 def test_neighbours_of_odd_vectors(spark):
     rows = [(i, [1.0, 0.0]) for i in range(60)]
     rows += [(60, [0.0, 1.0]), (61, None), (62, [0.0, 0.0]), (63, [1.0, None]), (64, [float("nan"), 1.0])]
