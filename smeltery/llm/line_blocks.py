@@ -2,8 +2,8 @@
 
 Markup is stripped to lines, one per block of the page. A line's length counts the text outside
 links. Lines of menus, headers, footers, sidebars, notices, adverts, forms and reader comments are
-blank lines, as are lines outside the page's article where it marks one. Over all lines, the lengths
-in a window of a few lines are summed. Text starts where that sum surges past a threshold and ends
+blank lines, as are lines outside the page's article where it marks one that holds the largest block
+of text. Over all lines, the lengths in a window of a few lines are summed. Text starts where that sum surges past a threshold and ends
 where it dives to nothing; every line between is kept, short ones too.
 """
 
@@ -193,23 +193,12 @@ def page_lines(page: str) -> list[Line]:
     return read.lines
 
 
-def kept_lines(lines: list[Line], window: int = WINDOW, surge: int = SURGE) -> list[str]:
-    """The lines between each surge of the window sums and the dive that follows it."""
-    marked = any(line.in_article and not line.dropped for line in lines)
-    lengths: list[int] = []
-    texts: list[str | None] = []
-    for line in lines:
-        outside = line.dropped or marked and not line.in_article
-        if outside and texts and texts[-1] is None:
-            continue  # a run of lines that are not the article's is one blank line
-        # Inside a marked article a line of links alone is text as well.
-        length = 0 if outside else max(line.length, 1) if marked else line.length
-        lengths.append(length)
-        texts.append(None if outside else line.text)
+def surges(lengths: list[int], window: int, surge: int) -> list[tuple[int, int]]:
+    """First line and the one after the last, of each surge of the window sums up to its dive."""
     sums = [sum(lengths[i : i + window]) for i in range(len(lengths))]
-    # Nothing need surge in a marked article; a page of little text surges at its largest window.
-    level = 0 if marked else min(surge, max(sums, default=0) - 1)
-    kept, i = [], 0
+    # A page of little text surges at its largest window.
+    level = min(surge, max(sums, default=0) - 1)
+    found, i = [], 0
     while i < len(sums):
         if sums[i] <= level or sums[i] == 0:
             i += 1
@@ -224,9 +213,43 @@ def kept_lines(lines: list[Line], window: int = WINDOW, surge: int = SURGE) -> l
         # Text before the surge that runs into it belongs to it.
         while first > 0 and lengths[first - 1] > 0:
             first -= 1
-        kept += [t for t in texts[first:end] if t]
+        found.append((first, end))
         i = end
-    return kept
+    return found
+
+
+def largest_block(lines: list[Line], in_article: bool, window: int, surge: int) -> int:
+    """Characters of the largest block inside the page's articles, or outside them."""
+    lengths: list[int] = []
+    for line in lines:
+        if line.in_article != in_article and not line.dropped:
+            # No block goes on across text of the other side.
+            lengths += [0] * window if any(lengths[-window:]) else []
+        elif not line.dropped:
+            lengths.append(line.length)
+        elif lengths and lengths[-1]:
+            lengths.append(0)
+    return max((sum(lengths[a:b]) for a, b in surges(lengths, window, surge)), default=0)
+
+
+def kept_lines(lines: list[Line], window: int = WINDOW, surge: int = SURGE) -> list[str]:
+    """The lines between each surge of the window sums and the dive that follows it."""
+    marked = any(line.in_article and not line.dropped for line in lines)
+    # A marked article that does not hold the largest block is a teaser, not the page's story.
+    marked = marked and largest_block(lines, True, window, surge) >= largest_block(
+        lines, False, window, surge
+    )
+    lengths: list[int] = []
+    texts: list[str | None] = []
+    for line in lines:
+        outside = line.dropped or marked and not line.in_article
+        if outside and texts and texts[-1] is None:
+            continue  # a run of lines that are not the article's is one blank line
+        # Inside a marked article a line of links alone is text as well.
+        length = 0 if outside else max(line.length, 1) if marked else line.length
+        lengths.append(length)
+        texts.append(None if outside else line.text)
+    return [t for a, b in surges(lengths, window, surge) for t in texts[a:b] if t]
 
 
 def main_text(page: str) -> str:

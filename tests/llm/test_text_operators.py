@@ -213,6 +213,23 @@ def test_text_between_surge_and_dive_is_kept_and_what_stands_apart_is_not():
     assert got.split("\n")[1] == "Tiny." and "Link" not in got and "Hello" not in got
 
 
+def test_a_marked_teaser_is_not_the_story():
+    story = "".join(f"<p>Paragraph {i} " + "tells more of it " * 9 + "</p>" for i in range(4))
+    card = "<article class=card><p>Read this other piece as well.</p></article>"
+    for page in (f"<div>{story}</div>{card}", f"{card}<div>{story}</div>", f"<div>{story}{card}{story}</div>"):
+        got = line_blocks.main_text(f"<body>{page}</body>")
+        assert got.count("Paragraph") == page.count("Paragraph")
+    notice = "<p>Our office is open on weekdays.</p>"
+    marked = line_blocks.main_text(f"{notice}<article>{story}</article>{notice}")
+    assert "office" not in marked and marked.count("Paragraph") == 4
+
+
+def test_the_window_sums_decide_in_a_marked_article_too():
+    apart = "<p>Apart</p><form>f</form><p>Near</p><form>f</form>"
+    got = line_blocks.main_text(f"<article>{apart}<p>{'long enough ' * 20}</p><p>End.</p></article>")
+    assert [line[:4] for line in got.split("\n")] == ["Near", "long", "End."]
+
+
 def test_pages_of_any_kind_give_a_row(spark):
     rows = [(1, "u", None), (None, None, "<p>x"), (2, "u", "<p>y"), (2, "u", "<p>y"), (3, "u", "<p>z " * 50_000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1))
