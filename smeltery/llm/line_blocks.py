@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -52,6 +54,12 @@ HINTS = frozenset(
 )
 # These words are common on containers of an article as well, and so mark nothing inside one.
 ARTICLE_HEAD = frozenset({"header"})
+# As a whole class or id these name what is not the page's own text, though it may outgrow that.
+FOREIGN = frozenset(
+    "ad ads adv advert adverts advertisement advertising advertorial adbox adsense sponsor sponsored "
+    "cookie cookies consent gdpr newsletter comment comments commentlist discussion replies respond "
+    "disqus".split()
+)
 
 _markup = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?"
@@ -62,20 +70,38 @@ _attribute = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)
 _words = re.compile(r"[a-z0-9]+")
 
 
+@dataclass
+class Hint:
+    """A class or id that hides an element, unless the element turns out to be the page's text."""
+
+    foreign: bool
+    shown: bool = False
+
+
 @dataclass
 class Line:
     text: str
-    length: int  # characters outside links; 0 for lines that are not the article's
+    length: int  # characters outside links
     dropped: bool
     in_article: bool
 
 
+@dataclass
+class _Element:
+    name: str
+    at: int  # where its start tag stands
+    hides: bool  # by name or role
+    hint: Hint | None
+    article: bool
+
+
 class _Page:
     """Reads markup into lines; knows which open elements hide their content."""
 
-    def __init__(self) -> None:
-        self.lines: list[Line] = []
-        self.open: list[tuple[str, bool, bool]] = []  # name, hides, is article
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.read: list[tuple[Line, list[Hint]]] = []
+        self.open: list[_Element] = []
         self.hidden = self.articles = self.links = 0
         self.text: list[str] = []
         self.linked: list[str] = []
@@ -91,16 +117,21 @@ class _Page:
             linked = len(" ".join("".join(self.linked).split()))
             # A closed article's hidden state is that of the elements open now, as blocks flush
             # before an element opens or closes.
-            length = 0 if self.hidden else max(0, len(whole) - linked)
-            self.lines.append(Line(whole, length, self.hidden > 0, self.articles > 0))
+            inside = any(e.article for e in self.open)
+            line = Line(whole, max(0, len(whole) - linked), self.hidden > 0, inside)
+            self.read.append((line, [e.hint for e in self.open if e.hint]))
         self.text, self.linked = [], []
 
-    def start(self, name: str, rest: str) -> None:
+    def start(self, name: str, rest: str, at: int) -> None:
         if name in BLOCKS:
             self.flush()
         if name in ("article", "main") and not self.articles:
             self._leave_unclosed()
-        if name in VOID or rest.endswith("/>") and name not in BLOCKS:
+        if name == "main":
+            for element in self.open:
+                if element.hint:
+                    element.hint.shown = True  # the main part is in no advert or sidebar
+        if _empty(name, rest):
             if name in ("br", "hr", "img"):
                 self.add(" ")
             return
@@ -110,19 +141,20 @@ class _Page:
             self._close_within(name, {"ul", "ol", "dl", "menu", "table", "select"})
         article = name in ("article", "main")
         hides = self._hides(name, rest)
-        self.open.append((name, hides, article))
+        hint = None if hides else self._hint(name, rest)
+        self.open.append(_Element(name, at, hides, hint, article))
         self.hidden += hides
-        self.articles += article and not hides
+        self.articles += article and not hides and not hint
         self.links += name == "a"
 
     def end(self, name: str) -> None:
         if name in BLOCKS:
             self.flush()
         for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == name:
+            if self.open[i].name == name:
                 self._pop_to(i)
                 return
-            if self.open[i][0] in ("article", "main") and name not in ("body", "html", "div"):
+            if self.open[i].name in ("article", "main") and name not in ("body", "html", "div"):
                 return  # a stray end tag does not close the article around it
 
     def _hides(self, name: str, rest: str) -> bool:
@@ -131,47 +163,133 @@ class _Page:
             return not (name == "header" and self.articles)
         if "=" not in rest or name in ("html", "body"):
             return False
-        marks: set[str] = set()
-        for key, a, b, c in _attribute.findall(rest):
-            value = (a or b or c).lower()
-            if key.lower() == "role" and value.strip() in ROLES:
-                return True
-            if key.lower() in ("class", "id"):
-                marks.update(_words.findall(value))
+        roles = (
+            a or b or c for key, a, b, c in _attribute.findall(rest) if key.lower() == "role"
+        )
+        return any(role.lower().strip() in ROLES for role in roles)
+
+    def _hint(self, name: str, rest: str) -> Hint | None:
+        if "=" not in rest or name in ("html", "body"):
+            return None
+        names = [
+            (a or b or c).lower()
+            for key, a, b, c in _attribute.findall(rest)
+            if key.lower() in ("class", "id")
+        ]
+        marks = {word for value in names for word in _words.findall(value)}
         if name in ("article", "main"):
-            return bool(marks & {"comment", "comments", "related", "sponsored", "advert", "ad"})
-        return bool(marks & (HINTS - ARTICLE_HEAD if self.articles else HINTS))
+            marks &= {"comment", "comments", "related", "sponsored", "advert", "ad"}
+        else:
+            marks &= HINTS - ARTICLE_HEAD if self.articles else HINTS
+        foreign = any(not FOREIGN.isdisjoint(value.split()) for value in names)
+        return Hint(foreign) if marks else None
 
     def _leave_unclosed(self) -> None:
-        """An article does not begin within a menu, header or advert that was left open."""
-        for i, (name, hides, _) in enumerate(self.open):
-            if hides and name not in ("form", "template", "noscript", "dialog"):
+        """An article does not begin within a menu, header or advert that was left open.
+
+        End tags close the innermost element of their name, so where one is missing it is an element
+        further out that stays open.
+        """
+        if not any(e.hides or e.hint for e in self.open):
+            return
+        left: set[str] = set()
+        for i, e in enumerate(self.open):
+            if e.at in self.never_closed:
+                left.add(e.name)
+            hides = e.hides or e.hint
+            if hides and e.name in left and e.name not in ("form", "template", "noscript", "dialog"):
                 self._pop_to(i)
-                return
-        # A form around the whole page is a container, not a form to fill in.
-        self.open = [(n, False, a) if n == "form" else (n, h, a) for n, h, a in self.open]
-        self.hidden = sum(h for _, h, _ in self.open)
+                break
+        else:
+            # A form around the whole page is a container, not a form to fill in.
+            for e in self.open:
+                if e.name == "form":
+                    e.hides, e.hint = False, None
+            self.hidden = sum(e.hides for e in self.open)
+
+    @cached_property
+    def never_closed(self) -> set[int]:
+        """Where the start tags stand that no end tag of their name belongs to."""
+        begun: dict[str, list[int]] = defaultdict(list)
+        for found in _tags(self.page):
+            name = (found["name"] or "").lower()
+            if found["end"]:
+                del begun[name][-1:]
+            elif not _empty(name, found["rest"] or ""):
+                begun[name].append(found.start())
+        return {at for starts in begun.values() for at in starts}
+
+    def lines(self) -> list[Line]:
+        """The lines read, without those of elements that hints hide.
+
+        A hint does not hide an element that holds most of the page's text outside links, nor all
+        the page has; adverts and comments named as such stay hidden beside an article or a surge.
+        """
+        kept = [(line, hints) for line, hints in self.read if not line.dropped]
+        total = sum(line.length for line, _ in kept)
+        held: Counter[int] = Counter()
+        for line, hints in kept:
+            held.update({id(hint): line.length for hint in hints})
+
+        def seen() -> list[Line]:
+            return [line for line, hints in kept if all(hint.shown for hint in hints)]
+
+        marks = list({id(hint): hint for _, hints in kept for hint in hints}.values())
+        for foreign in (False, True):
+            if foreign and (
+                any(x.in_article for x in seen()) or sum(x.length for x in seen()) >= SURGE
+            ):
+                break
+            for hint in marks:
+                if hint.foreign == foreign and 2 * held[id(hint)] > total:
+                    hint.shown = True
+        if not any(line.length or line.in_article for line in seen()):
+            for hint in marks:
+                hint.shown |= not hint.foreign
+        for line, hints in kept:
+            line.dropped = not all(hint.shown for hint in hints)
+        return [line for line, _ in self.read]
 
     def _close_within(self, name: str, limits: frozenset[str] | set[str]) -> None:
         for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == name:
+            if self.open[i].name == name:
                 self._pop_to(i)
                 return
-            if self.open[i][0] in limits:
+            if self.open[i].name in limits:
                 return
 
     def _pop_to(self, i: int) -> None:
-        for name, hides, article in self.open[i:]:
-            self.hidden -= hides
-            self.articles -= article and not hides
-            self.links -= name == "a"
+        for e in self.open[i:]:
+            self.hidden -= e.hides
+            self.articles -= e.article and not e.hides and not e.hint
+            self.links -= e.name == "a"
         del self.open[i:]
 
 
+def _empty(name: str, rest: str) -> bool:
+    return name in VOID or rest.endswith("/>") and name not in BLOCKS
+
+
+def _tags(page: str) -> Iterator[re.Match[str]]:
+    """Markup in order; of elements with raw content the start tag, and nothing of the content."""
+    at = 0
+    while (found := _markup.search(page, at)) is not None:
+        yield found
+        at = found.end()
+        name = (found["name"] or "").lower()
+        if name in RAW and not found["end"]:
+            at = _raw_end(page, name, at)
+
+
+def _raw_end(page: str, name: str, at: int) -> int:
+    close = re.compile(rf"</{re.escape(name)}[^>]*>", re.I).search(page, at)
+    return close.end() if close else len(page)
+
+
 def page_lines(page: str) -> list[Line]:
     """The page's lines in order; character references decoded, white space made one blank."""
-    read, at = _Page(), 0
-    while (found := _markup.search(page, at)) is not None:
+    read, at = _Page(page), 0
+    for found in _tags(page):
         if found.start() > at:
             read.add(html.unescape(page[at : found.start()]))
         at = found.end()
@@ -183,14 +301,13 @@ def page_lines(page: str) -> list[Line]:
         elif name in RAW:
             if name in BLOCKS:
                 read.flush()
-            close = re.compile(rf"</{re.escape(name)}[^>]*>", re.I).search(page, at)
-            at = close.end() if close else len(page)
+            at = _raw_end(page, name, at)
         else:
-            read.start(name, found["rest"])
+            read.start(name, found["rest"], found.start())
     if at < len(page):
         read.add(html.unescape(page[at:]))
     read.flush()
-    return read.lines
+    return read.lines()
 
 
 def surges(lengths: list[int], window: int, surge: int) -> list[tuple[int, int]]:

@@ -224,6 +224,36 @@ def test_a_marked_teaser_is_not_the_story():
     assert "office" not in marked and marked.count("Paragraph") == 4
 
 
+@pytest.mark.parametrize(
+    "mark", ["layout has-sidebar", "no-sidebar", "ad-free", "content-widget", "page-header-fixed", "widget"]
+)
+def test_a_hint_does_not_hide_the_story(mark):
+    story = "<h2>A title</h2>" + "<p>It tells more of it. </p>" * 9
+    sidebar = "<div class=sidebar><p>About us.</p></div>"
+    for inner in (story, f"<main>{story}</main>", f"<article>{story}</article>"):
+        got = line_blocks.main_text(f"<body><div class='{mark}'>{inner}{sidebar}</div><p>Imprint</p></body>")
+        assert got.startswith("A title") and got.count("more") == 9 and "About" not in got
+
+
+def test_readers_comments_stay_out_however_long():
+    story = "<p>" + "The story goes on. " * 9 + "</p>"
+    comments = "<section id=comments>" + "<article><p>Reader comment, a long one. </p></article>" * 40 + "</section>"
+    for page in (f"<article>{story}</article>{comments}", f"<div>{story}</div>{comments}"):
+        got = line_blocks.main_text(page)
+        assert "story" in got and "Reader" not in got
+    assert line_blocks.main_text(f"<body>{comments}</body>").count("Reader") == 40
+
+
+def test_an_article_in_a_closed_aside_is_no_article():
+    story = "<p>" + "The story goes on. " * 9 + "</p>"
+    teaser = "<aside><article><p>" + "Teaser of another. " * 5 + "</p></article></aside>"
+    for page in (f"{teaser}<div>{story}</div>", f"<article>{story}</article>{teaser}"):
+        got = line_blocks.main_text(f"<body>{page}</body>")
+        assert "story" in got and "Teaser" not in got
+    unclosed = f"<body><div class=wrap><div class=ad>Buy<article>{story}</article></div></body>"
+    assert "story" in line_blocks.main_text(unclosed) and "Buy" not in line_blocks.main_text(unclosed)
+
+
 def test_the_window_sums_decide_in_a_marked_article_too():
     apart = "<p>Apart</p><form>f</form><p>Near</p><form>f</form>"
     got = line_blocks.main_text(f"<article>{apart}<p>{'long enough ' * 20}</p><p>End.</p></article>")
