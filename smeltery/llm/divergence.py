@@ -5,7 +5,8 @@ classes, and the shares of the language's most common words beside all others. A
 reference is the median share of each bin over all its documents that pass the base rules and are
 long enough, so every document counts alike and a minority of odd ones doesn't move it. The measure is the Jensen-Shannon distance
 (square root of the divergence, logarithms to base 2): 0 for equal histograms, 1 for disjoint ones.
-Documents too short for a histogram are not judged by it.
+Documents too short for a histogram are not judged by it. Languages are taken as stated; only four
+have a list of common words.
 """
 
 from __future__ import annotations
@@ -34,8 +35,9 @@ COMMON = {
     "es": ("de", "la", "que", "el", "en", "y", "los", "del"),
     "fr": ("de", "la", "le", "et", "les", "des", "en", "un"),
 }
-OTHER_LANGUAGE = "other"
 STEPS = 10_000
+# Fewest documents that make a reference for a language without a list of common words.
+LEAST = 20
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -111,10 +113,10 @@ def distance(p: list[Column], q: list[Column]) -> Column:
 
 def text_measures(documents: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
     """Counts of every document: those of the base rules, of character classes, of common words."""
-    known = F.when(F.col(lang).isin(*COMMON), F.col(lang)).otherwise(F.lit(OTHER_LANGUAGE))
+    stated = F.col(lang).cast("string")
     rows = documents.select(
         F.col(doc_id).cast("bigint").alias("doc_id"),
-        F.coalesce(known, F.lit(OTHER_LANGUAGE)).alias("lang"),
+        F.when(F.trim(stated) != "", stated).alias("lang"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
     lines = F.filter(F.split("text", "\n", -1), lambda line: line.rlike(WORD))
@@ -129,7 +131,7 @@ def text_measures(documents: DataFrame, doc_id: str, text: str, lang: str) -> Da
         )
         left = F.octet_length(F.replace(F.col("padded"), of))
         found = (F.octet_length("padded") - left) / F.octet_length(of)
-        return F.when(F.col("lang") != OTHER_LANGUAGE, found.cast("bigint")).otherwise(F.lit(0))
+        return F.when(F.col("lang").isin(*COMMON), found.cast("bigint")).otherwise(F.lit(0))
 
     size = len(next(iter(COMMON.values())))
     return (
@@ -174,9 +176,10 @@ def judge(
     ``base_failed``: fewer than ``base_words`` words, or more than ``base_repeats`` percent of them
     in repeated windows. Otherwise a document is kept unless one of its distances exceeds its limit.
     A distance is missing, and fails nobody, where the text is too short for it (``min_chars``,
-    ``min_words``), where its language has no reference, and for words of unlisted languages. A
-    missing text is an empty one and fails the base rules; a missing language is an unlisted one.
-    Repeated rows are judged each. Texts are read once; what follows works on the counts.
+    ``min_words``), where its language has no reference, and for words of unlisted languages, which
+    have one from ``LEAST`` documents on. A missing text is an empty one and fails the base rules; a
+    document without language is compared with the nearest of all references, among them that of
+    such documents. Repeated rows are judged each. Texts are read once; what follows works on the counts.
     """
     measures = stored(text_measures(documents, doc_id, text, lang), "measures")
     classes = [F.col(f"class_{i}") for i in range(len(CLASSES))]
@@ -192,31 +195,47 @@ def judge(
     )
     rows = measures.withColumns(shared | {"base_failed": failed})
     long = (F.col("n_chars") >= min_chars) & (F.col("n_words") >= min_words)
-    # One row per listed language and one for the rest: a bounded table.
     # Shares are counted in steps, which bounds the state of an exact median.
     middle = {c: F.percentile(F.round(F.col(c) * STEPS), 0.5).alias(f"ref_{c}") for c in shared}
-    references = rows.where(~failed & long).groupBy("lang").agg(*middle.values())
+    references = rows.where(~failed & long).groupBy("lang").agg(
+        F.count(F.lit(1)).alias("documents"), *middle.values()
+    )
+    references = references.where(F.col("lang").isin(*COMMON) | (F.col("documents") >= LEAST))
     for prefix in "cw":
         names = [f"ref_{c}" for c in shared if c[0] == prefix]
         total = reduce(Column.__add__, [F.col(c) for c in names])
         references = references.withColumns({c: F.col(c) / total for c in names})
-    both = rows.join(F.broadcast(references), "lang", "left")
+    # One row per language; Spark sees from the stored size whether to broadcast it.
+    references = stored(references.drop("documents"), "references")
 
-    def apart(prefix: str, n: int) -> Column:
+    def apart(prefix: str, n: int, of: Callable[[str], Column]) -> Column:
         p = [F.col(f"{prefix}{i}") for i in range(n)]
-        q = [F.col(f"ref_{prefix}{i}") for i in range(n)]
+        q = [of(f"ref_{prefix}{i}") for i in range(n)]
         return F.when(q[0].isNotNull(), distance(p, q))
 
-    by_class = F.when(F.col("n_chars") >= min_chars, apart("c", len(class_shares)))
-    by_word = F.when(
-        (F.col("n_words") >= min_words) & (F.col("lang") != OTHER_LANGUAGE),
-        apart("w", len(word_shares)),
+    n_classes = len(class_shares)
+    listed = (F.col("n_words") >= min_words) & F.col("lang").isin(*COMMON)
+    by_class = apart("c", n_classes, F.col)
+    by_word = F.when(listed, apart("w", len(word_shares), F.col))
+    stated = rows.where("lang IS NOT NULL").join(references, "lang", "left")
+    stated = stated.withColumns({"class_distance": by_class, "word_distance": by_word})
+    each = F.struct(*[F.col(f"ref_c{i}") for i in range(n_classes)])
+    nearest = F.array_min(F.transform("references", lambda r: apart("c", n_classes, r.getField)))
+    unknown = rows.where("lang IS NULL").crossJoin(
+        references.agg(F.collect_list(each).alias("references"))
+    )
+    unknown = unknown.withColumns(
+        {"class_distance": nearest, "word_distance": F.lit(None).cast("double")}
+    )
+    both = stated.select(*rows.columns, "class_distance", "word_distance").unionByName(
+        unknown.select(*rows.columns, "class_distance", "word_distance")
     )
+    judged = F.when(F.col("n_chars") >= min_chars, F.col("class_distance"))
     near = (F.coalesce("class_distance", F.lit(0.0)) <= max_class_distance) & (
         F.coalesce("word_distance", F.lit(0.0)) <= max_word_distance
     )
     return (
-        both.withColumns({"class_distance": by_class, "word_distance": by_word})
+        both.withColumn("class_distance", judged)
         .withColumn("kept", ~F.col("base_failed") & near)
         .select(
             "doc_id",

@@ -199,6 +199,20 @@ def test_odd_language_histograms_are_guarded(odd_documents):
     assert got[4]["n_dup_lines"] == 1
 
 
+def test_languages_are_judged_by_their_own_characters(spark):
+    plain = [" ".join(f"{w}{i} {w}" for i in range(60, 130)) + "." for w in ("some", "word")]
+    script = " ".join(f"\u0645\u0646{chr(0x628 + i % 20)}\u0648{chr(0x628 + i // 20)}" for i in range(150))
+    noise = " ".join(f"#*$%&{i}" for i in range(200))
+    rows = [(i, plain[i % 2], "xx") for i in range(60)] + [(100 + i, script, "ar") for i in range(30)]
+    rows += [(200, noise, "xx"), (201, noise, "ar"), (202, noise, None), (203, noise, " ")]
+    rows += [(300 + i, plain[i % 2], None) for i in range(30)] + [(400, script, None), (401, script, "few")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in divergence.judge(table).collect()}
+    assert {i for i, r in got.items() if not r["kept"]} == {200, 201, 202, 203}
+    assert got[401]["class_distance"] is None and got[100]["class_distance"] == pytest.approx(0, abs=1e-3)
+    assert not any(r["base_failed"] for r in got.values())
+
+
 # --- mixing
 
 
