@@ -1,12 +1,12 @@
-"""SimHash near-duplicates, found by multi-index hashing.
-
-A fingerprint of 64 bits is cut into segments. For every segment the small Hamming ball around its
-value is enumerated and each variant, with the other segments as they are, is a key of that
-segment's table. The allowed distance is shared between the two sides of a match: fingerprints
-that differ in two bits both lie one bit from a common key. So a key's bucket holds nothing but
-fingerprints near that key, 65 at most for two bits, and no group of near copies makes a large
-bucket or a quadratic number of pairs. A bucket links its members to the smallest; the complete
-distance of every link is verified before the links are joined to components.
+"""SimHash near-duplicates, found by a ball join on whole fingerprints.
+
+The small Hamming ball around a fingerprint of 64 bits is enumerated, and every variant is a key. The
+allowed distance is shared between the two sides of a match: fingerprints that differ in two bits
+both lie one bit from a common key. So a key's bucket holds nothing but fingerprints near that key,
+65 at most for two bits, and no group of near copies makes a large bucket or a quadratic number of
+pairs. Keys by segment value, as in multi-index hashing, would put all fingerprints that share a
+segment into one bucket, a whole group of near copies among them. A bucket links its members to the
+smallest; links are joined to components.
 """
 
 from __future__ import annotations
@@ -70,21 +70,14 @@ def hexadecimal(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def segment_masks(radius: int, segments: int) -> list[int]:
-    """Signed masks that turn a fingerprint into each variant: the ball around it, by segment.
-
-    For a radius above one, variants may change several segments; together the ball is complete.
-    """
-    width = BITS // segments
-    bits = [s * width + i for s in range(segments) for i in range(width)]
-    flips = (c for r in range(radius + 1) for c in combinations(bits, r))
+def ball_masks(radius: int) -> list[int]:
+    """Signed masks that turn a fingerprint into each variant of the ball around it."""
+    flips = (c for r in range(radius + 1) for c in combinations(range(BITS), r))
     masks = (sum(1 << b for b in c) for c in flips)
     return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
 
 
-def near_links(
-    fingerprints: DataFrame, max_bits: int = 2, segments: int = 2, fp: str = "fp"
-) -> DataFrame:
+def near_links(fingerprints: DataFrame, max_bits: int = 2, fp: str = "fp") -> DataFrame:
     """Links ``a``, ``b`` that connect all distinct fingerprints at ``max_bits`` or fewer bits.
 
     Not every pair is listed, but every pair is connected: members of a bucket are linked to its
@@ -93,7 +86,7 @@ def near_links(
     of = fingerprints.select(F.col(fp).alias("fp"))
 
     def keys(radius: int) -> Column:
-        masks = segment_masks(radius, segments)
+        masks = ball_masks(radius)
         return F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(m)) for m in masks])).alias("key")
 
     held, probed = max_bits // 2, max_bits - max_bits // 2

@@ -1,6 +1,7 @@
 """Tokens, encoding, SimHash, line dedup and page text against the libraries or brute force."""
 
 import hashlib
+import inspect
 import re
 import string
 from collections import defaultdict
@@ -144,6 +145,13 @@ def test_links_connect_all_near_fingerprints(spark, max_bits):
     assert [signed.index(got[p]) for p in signed] == want
 
 
+def test_the_ball_has_every_bit():
+    assert "segments" not in inspect.signature(simhash.near_links).parameters
+    for radius, size in ((0, 1), (1, 65), (2, 65 + 64 * 63 // 2)):
+        masks = {m & (1 << 64) - 1 for m in simhash.ball_masks(radius)}
+        assert len(masks) == size and max(m.bit_count() for m in masks) == radius
+
+
 def _without_shared(rows, least=3):
     key = lambda line: _lower(line.strip(" \t\n\x0b\x0c\r"))
     held = defaultdict(set)
