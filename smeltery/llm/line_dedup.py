@@ -4,7 +4,8 @@ Line hashes are kept in runs, each sorted by hash. A new batch of documents grou
 and merge-joins them with the runs: hashes that no run holds (the anti-join) are new, the others add
 to a count. Both go into a run of the lowest level. When a level holds ``fanout`` runs they are
 merged into one run of the next, so a hash is rewritten about log(batches) times and a batch meets
-few runs. What to remove follows from the merged runs once all batches are in.
+few runs. What to remove follows from the merged runs once all batches are in; it is their counts
+and largest ids that decide, so the anti-join says which hashes are new but changes no result.
 """
 
 from __future__ import annotations
