@@ -8,7 +8,8 @@ bounded part of a source: its documents stand in a seeded order and are cut into
 seeded permutation says which blocks are taken once more than the others.
 
 Nothing wider than (row key, size) is shuffled, and no window spans more than one shard's documents
-or one row per shard or source.
+or one row per shard or source. The rows of all sources, and about three per source where seats are
+dealt, are in one task, which bounds the number of sources, not of documents.
 """
 
 from __future__ import annotations
