@@ -230,11 +230,20 @@ def document_features(
     )
 
 
+def _draw(salt: int, columns: list[str]) -> Column:
+    """A number below 2^30 by a hash of the row, so that rows of one id are drawn each by itself."""
+    return F.pmod(F.xxhash64(F.lit(salt), *columns), F.lit(1 << 30))
+
+
 def _some(rows: DataFrame, limit: int, total: int, salt: int) -> pa.Table:
-    """About ``limit`` rows to the driver, chosen by a hash of the id; all if there are fewer."""
+    """About ``limit`` rows to the driver, chosen by a hash of the row; all if there are fewer.
+
+    Equal rows count once, so twice the limit is never reached and the draw is the same in every run.
+    """
     share = min(1.0, limit / max(1, total))
-    kept = F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
-    return rows.where(kept).limit(2 * limit).toArrow()
+    drawn = rows.withColumn("draw", _draw(salt, rows.columns))
+    drawn = drawn.where(F.col("draw") < int(share * (1 << 30))).distinct()
+    return drawn.limit(2 * limit).toArrow().sort_by([("doc_id", "ascending"), ("draw", "ascending")])
 
 
 def train(
@@ -326,14 +335,14 @@ def _exchanged(
     )
     kinds = [(v, c) for v in widths for c in (0, 1)]
     counts = sure.agg(*[F.count_if(F.col(f"s_{v}") == c).alias(f"{v}{c}") for v, c in kinds]).first()
+    sure = sure.withColumn("draw", _draw(salt, ["doc_id", "xt", "xm"]))
     picked = None
     for v, c in kinds:
         share = min(1.0, exchanged / max(1, counts[f"{v}{c}"]))
-        drawn = F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
-        hit = (F.col(f"s_{v}") == c) & drawn
+        hit = (F.col(f"s_{v}") == c) & (F.col("draw") < int(share * (1 << 30)))
         picked = hit if picked is None else picked | hit
-    # At most about four times ``exchanged`` rows, by the shares above.
-    table = sure.where(picked).orderBy("doc_id").limit(8 * exchanged).toArrow()
+    # At most about four times ``exchanged`` rows, by the shares above; equal rows count once.
+    table = sure.where(picked).distinct().orderBy("doc_id", "draw").limit(8 * exchanged).toArrow()
     out = {}
     for v, w in other.items():
         said = table[f"s_{v}"].to_numpy()

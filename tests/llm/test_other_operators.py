@@ -139,6 +139,19 @@ def test_held_out_documents_are_classified(spark):
     assert all(r["kept"] for r in held if r["y"] == 1)
 
 
+def test_rows_of_one_id_do_not_fill_the_draw(spark):
+    rows = spark.range(6_000).select(
+        F.when(F.col("id") < 2_000, 1).otherwise(F.col("id")).alias("doc_id"),
+        F.array(F.col("id").cast("float")).alias("xt"),
+    )
+    rows = rows.unionByName(spark.createDataFrame([(7, [0.0])] * 3_000, rows.schema))
+    for salt in range(4):
+        table = cotraining._some(rows, 900, 9_000, salt)
+        assert 400 < table.num_rows < 800
+        assert 0.2 < np.mean(table["doc_id"].to_numpy() == 1) < 0.47
+        assert cotraining._some(rows.repartition(5), 900, 9_000, salt).equals(table)
+
+
 def test_classifier_takes_rows_of_any_kind(spark):
     rows = [(1, None, None, None, None), (None, "", "xx", "", -5), (2, "word " * 50_000, "en", "s", 10**15), (2, "a", "en", "s", 1)]
     documents = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
