@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from smeltery.llm import (
     apportion,
@@ -16,10 +17,11 @@ from smeltery.llm import (
     hash_forest,
     line_blocks,
     line_dedup,
+    periodic,
     simhash,
     token_counts,
 )
-from smeltery.llm.shared import load
+from smeltery.llm.shared import WORD, load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +73,52 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
+def with_planted_runs(documents: DataFrame) -> DataFrame:
+    """doc_id and text; by the checksum of its id, a document's words repeat from a place on."""
+    checksum = F.crc32(F.col("doc_id").cast("string"))
+    rest = F.floor(checksum / 10)
+    given = documents.select(
+        "doc_id", "text", F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), 0).alias("words")
+    ).select("*", F.size("words").alias("n"))
+    at = given.select(
+        "*",
+        F.when((checksum % 10 == 0) & (F.col("n") > 0), (rest % F.col("n")).cast("int")).alias("a"),
+        (3 + rest % 8).alias("periods"),
+    ).select("*", (1 + F.floor((F.col("n") - F.col("a")) / F.col("periods"))).cast("int").alias("p"))
+    left = F.col("n") - F.col("a")
+    period = F.slice("words", F.col("a") + 1, F.col("p"))
+    tail = F.slice(F.flatten(F.array_repeat(period, F.ceil(left / F.col("p")).cast("int"))), F.lit(1), left)
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return at.select("doc_id", F.when(F.col("a").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = with_planted_runs(load(spark, sf_dir, "documents"))
+    done = periodic.find_runs(planted, keep_text=False)
+    # By exact quotients: of two runs the one with the larger length x other period is first.
+    first = F.array_sort(
+        "runs",
+        lambda x, y: F.when(x["length"] * y["period"] > y["length"] * x["period"], -1)
+        .when(x["length"] * y["period"] < y["length"] * x["period"], 1)
+        .when(x["start"] != y["start"], F.when(x["start"] < y["start"], -1).otherwise(1))
+        .when(x["period"] != y["period"], F.when(x["period"] < y["period"], -1).otherwise(1))
+        .otherwise(0),
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    best = done.select("*", F.get(first, F.lit(0)).alias("best"))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        "collapsed_sha256",
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_arc_to_warc": op1_arc_to_warc,
@@ -83,6 +131,7 @@ def queries() -> dict[str, Query]:
         "op8_simhash": op8_simhash,
         "op9_main_text": op9_main_text,
         "op10_line_dedup": op10_line_dedup,
+        "op12_periodic_runs": op12_periodic_runs,
     }
 
 
