@@ -17,6 +17,7 @@ from smeltery.llm import (
     hash_forest,
     line_blocks,
     line_dedup,
+    metric_tree,
     periodic,
     simhash,
     token_counts,
@@ -73,6 +74,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
+def op11_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_tree.search(load(spark, sf_dir, "embeddings"), k=20, query_every=20, scale=64)
+
+
 def with_planted_runs(documents: DataFrame) -> DataFrame:
     """doc_id and text; by the checksum of its id, a document's words repeat from a place on."""
     checksum = F.crc32(F.col("doc_id").cast("string"))
@@ -131,6 +136,7 @@ def queries() -> dict[str, Query]:
         "op8_simhash": op8_simhash,
         "op9_main_text": op9_main_text,
         "op10_line_dedup": op10_line_dedup,
+        "op11_exact_topk": op11_exact_topk,
         "op12_periodic_runs": op12_periodic_runs,
     }
 
@@ -170,6 +176,24 @@ FROM marked GROUP BY doc_id
 """
 
 
+# Vectors of integers as the exact searches take them; {scale} and {more} are filled in.
+INTEGERS_SQL = """
+SELECT vec_id, list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS v{more}
+FROM embeddings
+WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+"""
+
+OP11_SQL = f"""
+WITH t AS ({INTEGERS_SQL.format(scale=64, more="")}), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM t AS q JOIN t AS c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM pairs
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 20
+"""
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -271,4 +295,9 @@ FROM judged
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_arc_to_warc": OP1_SQL, "op6_divergence": op6_sql(), "op10_line_dedup": OP10_SQL}
+    return {
+        "op1_arc_to_warc": OP1_SQL,
+        "op6_divergence": op6_sql(),
+        "op10_line_dedup": OP10_SQL,
+        "op11_exact_topk": OP11_SQL,
+    }

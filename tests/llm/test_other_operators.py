@@ -181,7 +181,7 @@ def odd_documents(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
 
 
-@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+@pytest.mark.parametrize("name", ["op1_arc_to_warc", "op6_divergence", "op10_line_dedup"])
 @pytest.mark.parametrize("odd", [False, True])
 def test_sql_gives_the_same(spark, folder, odd_documents, name, odd):
     duck, sf_dir = duckdb.connect(), SF
