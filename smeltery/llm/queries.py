@@ -21,6 +21,7 @@ from smeltery.llm import (
     periodic,
     simhash,
     token_counts,
+    zone_maps,
 )
 from smeltery.llm.shared import WORD, load
 
@@ -124,6 +125,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return zone_maps.mine(load(spark, sf_dir, "embeddings"), label=moved)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_arc_to_warc": op1_arc_to_warc,
@@ -138,6 +144,7 @@ def queries() -> dict[str, Query]:
         "op10_line_dedup": op10_line_dedup,
         "op11_exact_topk": op11_exact_topk,
         "op12_periodic_runs": op12_periodic_runs,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
@@ -193,6 +200,23 @@ SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FRO
 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 20
 """
 
+MOVED = ", CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label"
+OP13_SQL = f"""
+WITH t AS ({INTEGERS_SQL.format(scale=256, more=MOVED)} AND label IS NOT NULL), pairs AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike,
+    CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM t AS a JOIN t AS c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY rank <= 10
+"""
+
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
@@ -300,4 +324,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_divergence": op6_sql(),
         "op10_line_dedup": OP10_SQL,
         "op11_exact_topk": OP11_SQL,
+        "op13_hard_negatives": OP13_SQL,
     }
