@@ -217,34 +217,38 @@ def search(
     # Of equal vectors a query needs the k + 1 smallest ids at most, its own among them.
     members = ranked(clean, ["vec"], ["vec_id"], k + 1)
     grouped = members.groupBy("vec").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
-    classes = stored(grouped.select(F.col("ids")[0].alias("cid"), "vec", "ids"), "metric-classes")
-    levels, chunks = cells(classes.select("cid", "vec"), shape)
+    root = F.lit(ROOT).alias("cell")
+    classes = grouped.select(F.col("ids")[0].alias("cid"), "vec", "ids", root)
+    classes = stored(classes, "metric-classes")
+    levels, chunks = cells(classes.select("cid", "vec", "cell"), shape)
     pages = stored(paged(chunks, shape), "metric-pages")
     queries = stored(
         asked.groupBy("vec").agg(F.min("vec_id").alias("qid")).select("qid", "vec"), "metric-queries"
     )
-    ask = queries.withColumn("floor", F.lit(float("-inf")))
+    ask = stored(queries.select("*", F.lit(float("-inf")).alias("floor"), root), "metric-ask")
     first = stored(descend(ask, levels, shape, True), "metric-first")
     found = stored(searched(first, pages, shape, k + 1), "metric-found")
     # A query that has k + 1 scores needs none below the last of them.
     last = found.groupBy("qid").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("last"))
     reached = F.when(F.col("n") > k, F.col("last").cast("double")).otherwise(float("-inf"))
-    ask = queries.join(last, "qid", "left").select("qid", "vec", F.coalesce(reached, F.lit(float("-inf"))).alias("floor"))
+    floor = F.coalesce(reached, F.lit(float("-inf"))).alias("floor")
+    ask = stored(queries.join(last, "qid", "left").select("qid", "vec", floor, root), "metric-ask")
     visits = descend(ask, levels, shape, False)
     visits = visits.join(first.select("qid", "cell"), ["qid", "cell"], "left_anti")
     found = found.unionByName(searched(stored(visits, "metric-visits"), pages, shape, k + 1))
     return expanded(found, classes, queries, asked, k)
 
 
-def cells(classes: DataFrame, shape: Shape) -> tuple[list[DataFrame], DataFrame]:
-    """The upper levels, and (cell, cid, vec) of all vectors in cells of at most CHUNK.
+def cells(rows: DataFrame, shape: Shape) -> tuple[list[DataFrame], DataFrame]:
+    """The upper levels, and (cid, vec, cell) of all vectors in cells of at most CHUNK.
+
+    The rows come as (cid, vec, cell), all in the cell ROOT.
 
     A level is (parent, cell, centre, radius, largest, split); ``split`` cells have a level
     below them. Routing vectors are the first of a hash of the id, so a hot region gets its share.
     """
     levels: list[DataFrame] = []
     done: DataFrame | None = None
-    rows = classes.withColumn("cell", F.lit(ROOT))
     while True:
         sizes = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
         large = sizes.where(F.col("n") > CHUNK)
@@ -352,7 +356,10 @@ VISIT = "qid BIGINT, vec BINARY, floor DOUBLE, cell STRING"
 
 
 def descend(ask: DataFrame, levels: list[DataFrame], shape: Shape, best: bool) -> DataFrame:
-    """(qid, vec, floor, cell) of the chunks each query has to visit, or of its ``best`` one alone."""
+    """(qid, vec, floor, cell) of the chunks each query has to visit, or of its ``best`` one alone.
+
+    The queries come with the cell ROOT, stored like it, so that every join is on a column.
+    """
 
     def choose(visits: pa.Table, cells: pa.Table) -> pa.Table:
         cells = cells.sort_by("cell")
@@ -373,7 +380,7 @@ def descend(ask: DataFrame, levels: list[DataFrame], shape: Shape, best: bool) -
             ["qid", "vec", "floor", "cell", "split"],
         )
 
-    at = ask.select("qid", "vec", "floor", F.lit(ROOT).alias("cell"))
+    at = ask
     reached: DataFrame | None = None
     for level in levels:
         below = level.select(F.col("parent").alias("over"), "cell", "centre", "radius", "largest", "split")

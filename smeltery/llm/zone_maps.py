@@ -209,7 +209,8 @@ def chosen(ask: DataFrame, levels: list[DataFrame], shape: Shape, same: bool, be
     """The anchors with the blocks (``node``) their windows must read, or their ``best`` one alone.
 
     A window [least, most] needs a block that may hold a score in it and a row of the anchor's label
-    (``same``) or of another one.
+    (``same``) or of another one. Anchors start at ``node`` 0, stored like it, so that every join is
+    on a column.
     """
 
     def choose(asking: pa.Table, zones: pa.Table) -> pa.Table:
@@ -237,7 +238,7 @@ def chosen(ask: DataFrame, levels: list[DataFrame], shape: Shape, same: bool, be
             }
         )
 
-    at = ask.withColumn("node", F.lit(0).cast("bigint"))
+    at = stored(ask.withColumn("node", F.lit(0).cast("bigint")), "zones-ask")
     for level in levels:
         visits = at.withColumnRenamed("node", "over")
         at = stored(met(visits, level, "over", "aid", ASKING, choose, ASK + ", node BIGINT"), "zones-chosen")

@@ -126,10 +126,11 @@ def test_second_round_leaves_out_most_cells(spark, monkeypatch):
     monkeypatch.setattr(metric_tree, "CHUNK", 100)
     matrix = clustered(4_000, 6, 60, 9, spread=0.05)
     clean, shape = vectors.integers(table_of(spark, matrix), 64, "vec_id", "embedding")
-    levels, chunks = metric_tree.cells(clean.withColumnRenamed("vec_id", "cid"), shape)
+    root = F.lit(metric_tree.ROOT).alias("cell")
+    levels, chunks = metric_tree.cells(clean.select(F.col("vec_id").alias("cid"), "vec", root), shape)
     assert chunks.count() == 4_000 and chunks.groupBy("cell").count().where("count > 100").isEmpty()
     pages = metric_tree.paged(chunks, shape)
-    ask = clean.where("vec_id % 20 = 0").select(F.col("vec_id").alias("qid"), "vec", F.lit(float("-inf")).alias("floor"))
+    ask = clean.where("vec_id % 20 = 0").select(F.col("vec_id").alias("qid"), "vec", F.lit(float("-inf")).alias("floor"), root)
     first = metric_tree.descend(ask, levels, shape, True)
     assert first.count() == 200 == first.select("qid").distinct().count()
     found = metric_tree.searched(first, pages, shape, 21)
