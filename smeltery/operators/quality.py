@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from smeltery.functions import named, null_count, share
 from smeltery.operators.refine import Rules, every
 from smeltery.operators.rollup import roll_up
+from smeltery.sources.log import Stats
 
 
 def clean_counts(df: DataFrame, rules: Rules) -> DataFrame:
@@ -135,6 +137,72 @@ def with_rows_read(report: DataFrame, source: DataFrame) -> DataFrame:
     return report.select(F.inline(both)).unionByName(counts)
 
 
+def audit_measures(value: str, band: str, bands: Sequence[str]) -> dict[str, Column]:
+    """What an audit needs beside rows and NULLs, counted while the rows are written."""
+    column = named(value)
+    return {
+        "sum:total": F.sum(column).cast("double"),
+        "sum:valued": F.count(column),
+        "max:highest": F.max(column).cast("double"),
+    } | {f"sum:band:{b}": F.count_if(named(band) == b) for b in bands}
+
+
+def audit_of_counts(
+    stats: Stats, fields: Sequence[str], value: str, band: str, bands: Sequence[str]
+) -> list[tuple[str, str | None, float | None]] | None:
+    """The (metric, field, value) rows that need no look at the stored rows.
+
+    None if a measure is missing, or rows stand in a band that was not counted.
+    """
+    found = stats.measures
+    if not found.keys() >= audit_measures(value, band, bands).keys():
+        return None
+    per_band: dict[str | None, int] = {b: found[f"sum:band:{b}"] or 0 for b in bands}
+    per_band[None] = stats.nulls_of(band)
+    if sum(per_band.values()) != stats.rows:
+        return None
+    average = found["sum:total"] / found["sum:valued"] if found["sum:valued"] else None
+    return [
+        ("rows", "*", stats.rows),
+        *[("nulls", f, stats.nulls_of(f)) for f in fields],
+        ("average", value, average),
+        ("maximum", value, found["max:highest"]),
+        *[("band_rows", b, n) for b, n in per_band.items() if n],
+        ("rows_kept", "*", stats.rows),
+    ]
+
+
+def report_of(df: DataFrame, lines: Sequence[tuple[str, str | None, float | None]]) -> DataFrame:
+    """Audit rows that are known already, as a report in the session of ``df``."""
+    metric, names, amounts = zip(*lines, strict=True)
+    kinds = {"metric": pa.string(), "field": pa.string(), "value": pa.float64()}
+    columns = zip(kinds, (metric, names, amounts), strict=True)
+    table = pa.table({c: pa.array(v, kinds[c]) for c, v in columns})
+    return df.sparkSession.createDataFrame(table)
+
+
+def duplicate_line(df: DataFrame, key: str, stored: Observation) -> DataFrame:
+    """The duplicates of a key as a report row; ``stored`` gets the number of ``rows`` scanned."""
+    per_key = df.groupBy(named(key)).agg(F.count(F.lit(1)).alias("copies"))
+    both = per_key.agg(
+        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates"),
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("scanned"),
+    )
+    return both.observe(stored, F.max("scanned").alias("rows")).select(
+        F.lit("duplicates").alias("metric"),
+        F.lit(key).alias("field"),
+        F.col("duplicates").cast("double").alias("value"),
+    )
+
+
+def rows_read_line(source: DataFrame, known: int | None) -> DataFrame:
+    """The rows of the source as a report row, counted without reading a column if not known."""
+    if known is not None:
+        return report_of(source, [("rows_read", "*", known)])
+    counted = source.select(F.lit(1)).agg(F.count(F.lit(1)).cast("double").alias("value"))
+    return counted.select(F.lit("rows_read").alias("metric"), F.lit("*").alias("field"), "value")
+
+
 def passes(report: DataFrame) -> bool:
     """The publish gate: only an empty table fails. NULLs and duplicates are findings, no block."""
     counted = report.where(F.col("metric") == "rows").agg(F.max("value").alias("n")).first()

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from smeltery.operators import quality, refine, reports
 from smeltery.run import Run
+from smeltery.sources.log import Stats
 from smeltery.sources.tables import Table
 
 
@@ -59,6 +60,7 @@ SILVER_COLUMNS = tuple(c for c in SILVER.names if c not in SILVER_CONTROL)
 CRITICAL_FIELDS = ("id_venda", "cliente_normalizado", "valor", "data_venda_date")
 BANDS = ((100, "Baixo"), (200, "Médio"))
 TOP_BAND = "Alto"
+BAND_LABELS = (*[label for _, label in BANDS], TOP_BAND)
 DISCOUNT_ABOVE = 200
 DISCOUNT_FACTOR = 0.9
 QUALITY_SCORE = 100
@@ -66,10 +68,11 @@ QUALITY_AT_LEAST = 90
 SOURCE_SYSTEM = "sistema_vendas"
 FILE_NAME = "api_vendas_daily"
 SILVER_VIEW = "vendas_silver"
+LOADED_AT = "bronze_load_timestamp"
 
 
 def bronze_table(root: str, fmt: str = "parquet") -> Table:
-    return Table(f"{root}/bronze/vendas", ("data_venda",), fmt)
+    return Table(f"{root}/bronze/vendas", ("data_venda",), fmt, (LOADED_AT,))
 
 
 def silver_table(root: str, fmt: str = "parquet") -> Table:
@@ -93,11 +96,11 @@ def stamp_bronze(
 
 
 def bronze_monitor(df: DataFrame, run: Run) -> DataFrame:
-    return reports.bronze_monitor(df, "bronze_load_timestamp", run.as_of)
+    return reports.bronze_monitor(df, LOADED_AT, run.as_of)
 
 
 def latest_loads(df: DataFrame, k: int = 5) -> DataFrame:
-    return reports.latest_rows(df, "bronze_load_timestamp", RAW.names, k)
+    return reports.latest_rows(df, LOADED_AT, RAW.names, k)
 
 
 # --- silver
@@ -153,6 +156,26 @@ def quality_report(silver: DataFrame) -> DataFrame:
     )
 
 
+def audit_measures() -> dict[str, Column]:
+    return quality.audit_measures("valor", "categoria_valor", BAND_LABELS)
+
+
+def staged_audit(
+    rows: DataFrame, stats: Stats, bronze: DataFrame, rows_read: int | None, stored: Observation
+) -> DataFrame:
+    """The audit of rows counted while they were written: one scan of their keys is left to do.
+
+    ``stored`` gets the number of rows scanned, to be held against the count.
+    """
+    lines = quality.audit_of_counts(stats, CRITICAL_FIELDS, "valor", "categoria_valor", BAND_LABELS)
+    read = quality.rows_read_line(bronze, rows_read)
+    duplicates = quality.duplicate_line(rows, "id_venda", stored)
+    if lines is None:
+        report = quality.with_rows_read(quality_report(rows), bronze)
+        return report.where("metric <> 'duplicates'").unionByName(duplicates)
+    return quality.report_of(rows, lines).unionByName(duplicates).unionByName(read)
+
+
 def state_category_report(silver: DataFrame) -> DataFrame:
     return reports.revenue_report(
         silver,

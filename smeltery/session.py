@@ -55,6 +55,9 @@ def at_least(spark: SparkSession, key: str, value: int) -> int:
     return max(value, int(held)) if held else value
 
 
+# A count over file footers is one number per task: one job without adaptive stages in between.
+COUNT_SETTINGS = {"spark.sql.adaptive.enabled": "false"}
+
 # (key, count) pairs compress to a few bytes, so the default advisory size puts over ten million
 # keys into one reduce task, whose hash table then spills.
 AUDIT_ADVISORY = 8 << 20

@@ -3,22 +3,22 @@
 Layout under ``Table.path``::
 
     runs/__run=<run id>/  data files, partitioned; a directory is never rewritten in place
-    log/                  one small JSON row per load or publish; the highest ``seq`` is current
+    log/                  one small entry per load or publish, see ``log``
     audits/<run id>/      the audit rows of that run
 
-The current log row names the directories that make up the table, and its schema. Rows are written
+The log names the directories that make up the table, its schema, and what each directory holds:
+rows, NULLs by column and the span of tracked times, counted while it was written. Rows are written
 first and logged when they are whole, so a load that fails is never seen, neither its rows nor its
 columns, and partition values are never re-typed by inference. One writer per table is assumed.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterable, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BinaryType,
@@ -38,9 +38,10 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from smeltery.functions import named
+from smeltery.functions import named, null_count
 from smeltery.session import (
     AUDIT_ADVISORY,
+    COUNT_SETTINGS,
     LISTING_SETTINGS,
     OPEN_WRITERS,
     REBALANCE_PARTITIONS,
@@ -49,15 +50,13 @@ from smeltery.session import (
     audit_settings,
     settings,
 )
-from smeltery.sources.schemas import aligned, extended
+from smeltery.sources import files, log
+from smeltery.sources.log import Part, Stats, Version
+from smeltery.sources.schemas import SchemaConflict, aligned, extended
 
 # Parquet leaves out all statistics of a column chunk, its NULL count too, when its smallest and
 # largest value are long. Shortened ones are still valid bounds.
 WRITE_OPTIONS = {"parquet.statistics.truncate.length": "64"}
-LOG_SCHEMA = (
-    "seq BIGINT, run_id STRING, logged_at TIMESTAMP, "
-    "parts ARRAY<STRUCT<location: STRING, width: INT>>, schema STRING"
-)
 RUN_COLUMN = "__run"
 MIB = 1 << 20
 
@@ -82,9 +81,13 @@ OWN_LOG = ("delta", "hudi", "iceberg")
 
 @dataclass(frozen=True)
 class Table:
+    """``tracked`` names timestamp columns whose span every load records, so that reads by time
+    choose loads before any file is listed."""
+
     path: str
     partition_by: tuple[str, ...] = ()
     fmt: str = "parquet"
+    tracked: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         if self.fmt.lower() in OWN_LOG:
@@ -105,6 +108,10 @@ def location_of(run_id: str) -> str:
     return f"runs/{RUN_COLUMN}={run_id}"
 
 
+def run_of(location: str) -> str:
+    return location.partition(f"{RUN_COLUMN}=")[2]
+
+
 def run_path(table: Table, run_id: str) -> str:
     return f"{table.path}/{location_of(run_id)}"
 
@@ -112,47 +119,21 @@ def run_path(table: Table, run_id: str) -> str:
 # --- the log
 
 
-def _log(spark: SparkSession, table: Table) -> DataFrame | None:
-    try:
-        return spark.read.schema(LOG_SCHEMA).json(f"{table.path}/log")
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def current(spark: SparkSession, table: Table) -> Version | None:
+    """The published version, None if there is none."""
+    return log.current(spark, table.path)
 
 
-def _current(spark: SparkSession, table: Table) -> Row | None:
-    log = _log(spark, table)
-    return None if log is None else log.orderBy(F.desc("seq")).limit(1).first()
-
-
-def _record(
-    spark: SparkSession,
-    table: Table,
-    entry: Row | None,
-    run_id: str,
-    parts: Iterable[tuple[str, int]],
-    schema: StructType,
-) -> None:
-    part = lambda p: F.struct(
-        F.lit(p[0]).alias("location"), F.lit(p[1]).cast("int").alias("width")
-    )
-    row = spark.range(0, 1, 1, 1).select(
-        F.lit(entry["seq"] + 1 if entry else 1).cast("bigint").alias("seq"),
-        F.lit(run_id).alias("run_id"),
-        F.current_timestamp().alias("logged_at"),
-        F.array(*[part(p) for p in parts]).alias("parts"),
-        F.lit(schema.json()).alias("schema"),
-    )
-    row.write.mode("append").json(f"{table.path}/log")
-
-
-def _stored_schema(entry: Row) -> StructType:
-    return StructType.fromJson(json.loads(entry["schema"]))
+def _version(spark: SparkSession, table: Table) -> Version:
+    version = current(spark, table)
+    if version is None:
+        raise NoSuchTable(table.path)
+    return version
 
 
-def _locations(entry: Row) -> list[str]:
-    return [p["location"] for p in entry["parts"]]
+def logged(spark: SparkSession, table: Table, run_id: str) -> bool:
+    """Whether the run has committed to the table."""
+    return log.logged(spark, table.path, run_id) is not None
 
 
 def superseded(spark: SparkSession, table: Table) -> DataFrame:
@@ -160,21 +141,18 @@ def superseded(spark: SparkSession, table: Table) -> DataFrame:
 
     Readers that opened an older version may still use them; an operator decides when to drop them.
     """
-    log = _log(spark, table)
-    if log is None:
-        raise NoSuchTable(table.path)
-    once = log.select(F.explode("parts.location").alias("location")).distinct()
-    newest = log.orderBy(F.desc("seq")).limit(1)
-    now = newest.select(F.explode("parts.location").alias("location"))
+    now = _version(spark, table).locations
+    history = log.entries(spark, table.path)
+    once = history.select(F.explode("add.location").alias("location")).distinct()
     run = F.regexp_extract("location", f"{RUN_COLUMN}=(.*)$", 1).alias("run_id")
-    return once.join(now, "location", "left_anti").select(run, "location")
+    return once.where(~F.col("location").isin(now)).select(run, "location")
 
 
 # --- reading
 
 
 def exists(spark: SparkSession, table: Table) -> bool:
-    return _current(spark, table) is not None
+    return current(spark, table) is not None
 
 
 def _load(
@@ -193,17 +171,96 @@ def _load(
     return rows.select(*[named(c) for c in schema.names], *and_run)
 
 
-def _entry(spark: SparkSession, table: Table) -> Row:
-    entry = _current(spark, table)
-    if entry is None:
-        raise NoSuchTable(table.path)
-    return entry
+def _of_parts(
+    spark: SparkSession, table: Table, version: Version, wanted: Callable[[Part], bool]
+) -> DataFrame:
+    locations = [p.location for p in version.parts if wanted(p)]
+    if not locations:
+        return spark.createDataFrame([], version.schema)
+    return _load(spark, table, locations, version.schema)
+
+
+def read(spark: SparkSession, table: Table, version: Version | None = None) -> DataFrame:
+    """The published rows, columns in their stored order, or those of a version read before."""
+    version = version or _version(spark, table)
+    return _load(spark, table, version.locations, version.schema)
+
+
+def read_between(spark: SparkSession, table: Table, column: str, start: int, end: int) -> DataFrame:
+    """The rows of the loads that may hold an instant in [start, end), in microseconds.
+
+    Loads are chosen from the log, before any file is listed; a load whose span is not known is
+    read. The caller's filter decides about rows.
+    """
+
+    def meets(part: Part) -> bool:
+        if part.stats is None or column not in part.stats.spans:
+            return True
+        span = part.stats.spans[column]
+        return span is not None and span[0] < end and span[1] >= start
+
+    return _of_parts(spark, table, _version(spark, table), meets)
+
+
+def read_newest(spark: SparkSession, table: Table, column: str, k: int) -> DataFrame:
+    """The rows of the loads that may hold one of the k newest instants, ties included.
+
+    The newest loads that hold k instants between them are all at or after the earliest instant of
+    theirs, so no load that ends before it is needed. With fewer than k instants in the table, or a
+    load whose span is not known, all loads are read.
+    """
+    version = _version(spark, table)
+    held = sorted(
+        (
+            (p.stats.spans[column][0], p.stats.rows - p.stats.nulls_of(column))
+            for p in version.parts
+            if p.stats and p.stats.spans.get(column)
+        ),
+        reverse=True,
+    )
+    unknown = any(p.stats is None or column not in p.stats.spans for p in version.parts)
+    found, earliest = 0, None
+    for first, instants in held:
+        found += instants
+        if found >= k:
+            earliest = first
+            break
+    if unknown or earliest is None:
+        return read(spark, table, version)
+
+    def needed(part: Part) -> bool:
+        span = part.stats.spans[column]
+        return span is not None and span[1] >= earliest
+
+    return _of_parts(spark, table, version, needed)
+
+
+def appended_since(
+    spark: SparkSession, table: Table, seq: int, version: Version
+) -> tuple[DataFrame, int] | None:
+    """The rows of the loads committed after ``seq`` up to ``version``, and their number.
+
+    Compactions in between are passed over, as they hold the same rows. None if a load was replaced
+    in between, or has been dropped since, so that the difference is not just added rows.
+    """
+    parts: list[Part] = []
+    for number in range(seq + 1, version.seq + 1):
+        made = log.entry(spark, table.path, number)
+        if made is None or made["step"] not in ("append", "compact"):
+            return None
+        if made["step"] == "append":
+            parts += [Part(p["location"], p["width"]) for p in made["add"]]
+    if not all(files.exists(spark, f"{table.path}/{p.location}") for p in parts):
+        return None
+    if not parts:
+        return spark.createDataFrame([], version.schema), 0
+    return _load(spark, table, [p.location for p in parts], version.schema), len(parts)
 
 
-def read(spark: SparkSession, table: Table) -> DataFrame:
-    """The published rows, columns in their stored order."""
-    entry = _entry(spark, table)
-    return _load(spark, table, _locations(entry), _stored_schema(entry))
+def statistics(spark: SparkSession, table: Table) -> tuple[Version, bool]:
+    """The published version, and whether all of its parts know what they hold."""
+    version = _version(spark, table)
+    return version, all(p.stats is not None for p in version.parts)
 
 
 def read_staged(spark: SparkSession, table: Table, run_id: str, schema: StructType) -> DataFrame:
@@ -237,14 +294,14 @@ def footer_counts(spark: SparkSession, table: Table) -> list[DataFrame] | None:
     columns of types that are not known to be stored flat. The frames belong to a session of their
     own, which keeps the reader settings off the caller's session.
     """
-    entry = _entry(spark, table)
-    schema = _stored_schema(entry)
+    version = _version(spark, table)
+    schema = version.schema
     if table.fmt != "parquet" or any(type(f.dataType) not in FLAT_TYPES for f in schema.fields):
         return None
     session = _reader_session(spark)
     versions: dict[int, list[str]] = {}
-    for part in entry["parts"]:
-        versions.setdefault(part["width"], []).append(part["location"])
+    for part in version.parts:
+        versions.setdefault(part.width, []).append(part.location)
     return [
         _load(session, table, locations, StructType(schema.fields[:width]), (RUN_COLUMN,))
         for width, locations in sorted(versions.items())
@@ -254,8 +311,59 @@ def footer_counts(spark: SparkSession, table: Table) -> list[DataFrame] | None:
 # --- writing
 
 
-def _write(df: DataFrame, table: Table, location: str, mode: str, rebalance: bool) -> None:
-    spark, applied = df.sparkSession, dict(WRITE_SETTINGS)
+def _counts(df: DataFrame, table: Table, measures: Mapping[str, Column]) -> dict[str, Column]:
+    """What is counted while rows are written: all of it adds up over tasks.
+
+    An empty text in a partition column reads back as NULL, so it counts as one.
+    """
+    stored = {
+        f.name: F.nullif(named(f.name), F.lit(""))
+        if f.name in table.partition_by and isinstance(f.dataType, StringType)
+        else named(f.name)
+        for f in df.schema.fields
+    }
+    out = {"rows": F.count(F.lit(1))}
+    out |= {f"nulls_{i}": null_count(c) for i, c in enumerate(stored.values())}
+    for i, c in enumerate(_tracked(df.schema, table)):
+        instant = F.unix_micros(named(c))
+        out |= {f"first_{i}": F.min(instant), f"last_{i}": F.max(instant)}
+    return out | {f"measure_{i}": c for i, c in enumerate(measures.values())}
+
+
+def _tracked(schema: StructType, table: Table) -> list[str]:
+    kinds = {f.name: f.dataType for f in schema.fields}
+    return [c for c in table.tracked if isinstance(kinds.get(c), TimestampType)]
+
+
+def _stats(
+    schema: StructType, table: Table, found: Mapping, measures: Mapping[str, Column]
+) -> Stats:
+    spans = {}
+    for i, c in enumerate(_tracked(schema, table)):
+        first, last = found[f"first_{i}"], found[f"last_{i}"]
+        spans[c] = None if first is None else (first, last)
+    return Stats(
+        found["rows"],
+        {c: found[f"nulls_{i}"] for i, c in enumerate(schema.names)},
+        spans,
+        {name: found[f"measure_{i}"] for i, name in enumerate(measures)},
+    )
+
+
+def _write(
+    df: DataFrame,
+    table: Table,
+    location: str,
+    mode: str,
+    rebalance: bool,
+    measures: Mapping[str, Column] | None = None,
+) -> Stats:
+    """Write the rows and return what was counted of them on the way, in the same pass.
+
+    Counting stands behind the last shuffle, where Spark takes the counts of one attempt of every
+    task; a task that ran twice is counted once.
+    """
+    spark, applied, measures = df.sparkSession, dict(WRITE_SETTINGS), measures or {}
     if rebalance and table.partition_by:
         # One file per partition value and output task instead of one per input task. The
         # adaptive planner splits a value that outgrows the advisory size over several tasks and
@@ -264,41 +372,99 @@ def _write(df: DataFrame, table: Table, location: str, mode: str, rebalance: boo
         df = df.hint("rebalance", first, *[named(c) for c in table.partition_by])
         writers = "spark.sql.maxConcurrentOutputFileWriters"
         applied[writers] = str(at_least(spark, writers, OPEN_WRITERS))
-    writer = df.write.format(table.fmt).options(**WRITE_OPTIONS).mode(mode)
+    counting = Observation(f"written-{uuid.uuid4()}")
+    counted = [c.alias(name) for name, c in _counts(df, table, measures).items()]
+    watched = df.observe(counting, *counted)
+    writer = watched.write.format(table.fmt).options(**WRITE_OPTIONS).mode(mode)
     writer = writer.partitionBy(*table.partition_by)
     with settings(spark, applied):
         writer.save(f"{table.path}/{location}")
+    return _stats(df.schema, table, counting.get, measures)
+
+
+def stored_rows(spark: SparkSession, table: Table, location: str, schema: StructType) -> int:
+    """Rows that a directory holds, by its files' footers; no column is read."""
+    with settings(spark, COUNT_SETTINGS):
+        return _load(spark, table, [location], schema).count()
+
+
+def recounted(
+    spark: SparkSession,
+    table: Table,
+    location: str,
+    schema: StructType,
+    measures: Mapping[str, Column] | None = None,
+) -> Stats:
+    """What a directory holds, from a scan of its files."""
+    rows, measures = _load(spark, table, [location], schema), measures or {}
+    counted = [c.alias(name) for name, c in _counts(rows, table, measures).items()]
+    return _stats(schema, table, rows.agg(*counted).first().asDict(), measures)
 
 
 def append(
     spark: SparkSession, df: DataFrame, table: Table, run_id: str, rebalance: bool = True
-) -> None:
+) -> Version:
     """Add rows as a whole. New columns extend the table; a changed type is refused before anything
     is written, as is a run id that was logged before.
 
     The rows go to a directory of their own, which the log names once it is complete. What a failed
-    load left under the same run id was never seen and is replaced.
+    load left under the same run id was never seen and is replaced. What was counted of the rows is
+    logged with them if the stored files have as many; otherwise the files are counted.
     """
-    log = _log(spark, table)
-    if log is not None and not log.where(F.col("run_id") == run_id).isEmpty():
+    if logged(spark, table, run_id):
         raise RunAlreadyLogged(f"{table.path}: run {run_id} was logged before")
-    entry = _current(spark, table)
-    schema = extended(_stored_schema(entry) if entry else StructType(), df.schema)
+    version = current(spark, table)
+    schema = extended(version.schema if version else StructType(), df.schema)
     location = location_of(run_id)
-    _write(aligned(df, schema), table, location, "overwrite", rebalance)
-    held = [tuple(p) for p in entry["parts"]] if entry else []
-    _record(spark, table, entry, run_id, [*held, (location, len(schema))], schema)
+    stats = _write(aligned(df, schema), table, location, "overwrite", rebalance)
+    if stats.rows != stored_rows(spark, table, location, schema):
+        stats = recounted(spark, table, location, schema)
+    part = Part(location, len(schema), stats)
+    return log.commit(spark, table.path, version, run_id, "append", [part], [], schema)
 
 
-def stage(df: DataFrame, table: Table, run_id: str, rebalance: bool = True) -> None:
-    """Write a complete new version of the table, not yet visible to ``read``."""
-    _write(df, table, location_of(run_id), "errorifexists", rebalance)
+def stage(
+    df: DataFrame,
+    table: Table,
+    run_id: str,
+    rebalance: bool = True,
+    measures: Mapping[str, Column] | None = None,
+) -> Stats:
+    """Write a complete new version of the table, not yet visible to ``read``.
+
+    Returns what was counted of the rows on the way, ``measures`` included: sums, counts, smallest
+    and largest values. What a failed run staged under the same id is replaced; a run that was
+    logged is never written over.
+    """
+    mode = "errorifexists" if logged(df.sparkSession, table, run_id) else "overwrite"
+    return _write(df, table, location_of(run_id), mode, rebalance, measures)
+
+
+def publish(
+    spark: SparkSession,
+    table: Table,
+    run_id: str,
+    schema: StructType,
+    stats: Stats | None = None,
+    added: bool = False,
+    source_seq: int | None = None,
+) -> Version:
+    """Make a staged run the current version; its schema replaces the previous one.
+
+    With ``added`` the run is added to the current version, whose schema must be the same.
+    ``source_seq`` notes the last commit of the source whose rows the version holds.
+    """
+    version = current(spark, table)
+    if added and (version is None or version.schema != schema):
+        raise SchemaConflict(f"{table.path}: only rows of the same schema can be added")
+    part = Part(location_of(run_id), len(schema), stats)
+    return log.commit(
+        spark, table.path, version, run_id, "publish", [part], [] if added else None, schema, source_seq
+    )
 
 
-def publish(spark: SparkSession, table: Table, run_id: str, schema: StructType) -> None:
-    """Make a staged run the current version; its schema replaces the previous one."""
-    part = (location_of(run_id), len(schema))
-    _record(spark, table, _current(spark, table), run_id, [part], schema)
+def audit_path(table: Table, run_id: str) -> str:
+    return f"{table.path}/audits/{run_id}"
 
 
 def keep_audit(
@@ -306,15 +472,21 @@ def keep_audit(
 ) -> DataFrame:
     """Store a run's audit rows once and return them as read back, whatever is asked of them.
 
-    The audit's shuffle gets a partition for every ``advisory`` bytes the run staged.
+    The audit's shuffle gets a partition for every ``advisory`` bytes the run staged. The audit of
+    an earlier attempt of a run that was not logged is replaced.
     """
-    spark, path = report.sparkSession, f"{table.path}/audits/{run_id}"
-    staged = _sum_of_lengths(spark, [run_path(table, run_id)])
+    spark, path = report.sparkSession, audit_path(table, run_id)
+    staged = files.total_length(spark, run_path(table, run_id))
+    mode = "errorifexists" if logged(spark, table, run_id) else "overwrite"
     with settings(spark, audit_settings(spark, staged, advisory)):
-        report.write.parquet(path)
+        report.write.mode(mode).parquet(path)
     return spark.read.schema(report.schema).parquet(path)
 
 
+def read_audit(spark: SparkSession, table: Table, run_id: str) -> DataFrame:
+    return spark.read.parquet(audit_path(table, run_id))
+
+
 # --- file layout
 
 
@@ -323,17 +495,12 @@ def _files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return files.select("path", "length")
 
 
-def _sum_of_lengths(spark: SparkSession, paths: Sequence[str]) -> int:
-    with settings(spark, LISTING_SETTINGS):
-        return _files(spark, paths).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-
-
 def file_sizes(spark: SparkSession, table: Table) -> DataFrame:
     """(location, directory, length) of every current data file; file contents are not read.
 
     ``location`` is the run's directory, ``directory`` the partition within it.
     """
-    paths = [f"{table.path}/{location}" for location in _locations(_entry(spark, table))]
+    paths = [f"{table.path}/{location}" for location in _version(spark, table).locations]
     pattern = f"(runs/{RUN_COLUMN}=[^/]*)/(?:(.*)/)?[^/]*$"
     return _files(spark, paths).select(
         F.regexp_extract("path", pattern, 1).alias("location"),
@@ -375,8 +542,8 @@ def compact(
     could be joined with a neighbour of the same partition. A step for the caller to schedule;
     nothing else in the library compacts.
     """
-    entry = _entry(spark, table)
-    schema = _stored_schema(entry)
+    version = _version(spark, table)
+    schema = version.schema
     sizes = file_sizes(spark, table)
     in_small = F.sum(F.when(F.col("length") < small, F.col("length")).otherwise(0))
     with settings(spark, LISTING_SETTINGS):
@@ -389,9 +556,10 @@ def compact(
         summary = _summary(sizes.join(loose, "location", "left_semi"), small).first()
     if not names or summary["surplus"] <= max_surplus * summary["files"]:
         return False
-    merged = [location for location in _locations(entry) if location in names]
-    stage(_load(spark, table, merged, schema), table, run_id)
-    kept = [tuple(p) for p in entry["parts"] if p["location"] not in merged]
-    _record(spark, table, entry, run_id, [*kept, (location_of(run_id), len(schema))], schema)
+    packed = [p for p in version.parts if p.location in names]
+    stage(_load(spark, table, [p.location for p in packed], schema), table, run_id)
+    # The same rows, so what the parts held is what the merged one holds.
+    part = Part(location_of(run_id), len(schema), log.merged(packed))
+    gone = [p.location for p in packed]
+    log.commit(spark, table.path, version, run_id, "compact", [part], gone, schema)
     return True
-

@@ -99,14 +99,19 @@ def test_loaded_on_skips_other_loads(two_loads):
 
 
 def test_latest_rows_open_the_last_load_only(two_loads):
-    assert sorted(scanned_rows(two_loads.latest)) == [10_000, 20_000]
+    assert scanned_rows(two_loads.latest) == [10_000, 10_000]
+    whole = sales.latest_loads(two_loads.rows)
+    assert sorted(scanned_rows(whole)) == [10_000, 20_000]
     narrow = [line for line in plan_text(two_loads.latest).splitlines() if "FileScan" in line]
     assert any("ReadSchema: struct<bronze_load_timestamp:timestamp>" in line for line in narrow)
 
 
 def test_monitor_counts_from_footers(spark, two_loads):
     files = tables.file_summary(spark, two_loads.table)["files"]
-    assert sorted(scanned_rows(two_loads.monitor)) == [files, 10_000]
+    by_footers = jobs.monitor_files(spark, two_loads.table, two_loads.run)
+    assert sorted(scanned_rows(by_footers)) == [files, 10_000]
+    assert scanned_rows(two_loads.monitor) == []
+    assert by_footers.collect() == two_loads.monitor.collect()
 
 
 def test_silver_months_are_pruned(spark, folder):
@@ -148,7 +153,7 @@ def test_footers_answer_after_a_column_was_added(spark, two_loads):
     third = Run("third", two_loads.run.ts + timedelta(days=1), two_loads.run.as_of + timedelta(days=1))
     load = jobs.ingest_bronze(spark, wider, two_loads.table, third)
     files = tables.file_summary(spark, load.table)["files"]
-    scanned = scanned_rows(load.monitor)
+    scanned = scanned_rows(jobs.monitor_files(spark, load.table, third))
     # A row per file and the day's rows; the older version has none of that day.
     assert sum(scanned) == files + 10_000 and max(scanned) == 10_000
 

@@ -7,7 +7,7 @@ from helpers import data_files
 from smeltery.plans import jobs, sales
 from smeltery.run import Run
 from smeltery.session import settings
-from smeltery.sources import tables
+from smeltery.sources import log, tables
 from smeltery.sources.raw import read_raw
 from smeltery.sources.schemas import SchemaConflict, extended
 from smeltery.sources.tables import NoSuchTable, Table
@@ -362,8 +362,8 @@ def test_the_published_directory_is_the_audited_one(spark, folder, rebalance):
     runs = Run("b1", RUN.ts, RUN.as_of), Run("s1", LATER.ts, LATER.as_of)
     done = jobs.run_pipeline(spark, raw, bronze, silver, *runs, rebalance=rebalance)
     assert done.ok and done.load.rows.count() == 90
-    log = spark.read.schema(tables.LOG_SCHEMA).json(f"{silver.path}/log").collect()
-    assert [(r["run_id"], [p["location"] for p in r["parts"]]) for r in log] == [
+    entries = log.entries(spark, silver.path).collect()
+    assert [(r["run_id"], [p["location"] for p in r["add"]]) for r in entries] == [
         ("s1", [tables.location_of("s1")])
     ]
     assert {r["silver_load_id"] for r in tables.read(spark, silver).collect()} == {"s1"}
