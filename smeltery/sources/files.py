@@ -45,7 +45,7 @@ def write(spark: SparkSession, path: str, data: bytes, replace: bool = False) ->
     fs, where = _at(spark, path)
     if not replace and fs.exists(where):
         return False
-    _, beside = _at(spark, f"{path.rpartition('/')[0]}/_{uuid.uuid4()}")
+    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rpartition('/')[0]}/_{uuid.uuid4()}")
     stream = fs.create(beside, True)
     try:
         stream.write(bytearray(data))
