@@ -52,9 +52,15 @@ assert stored.count() == 4000 and stored.select("id_venda").distinct().count() =
 assert done.rows.count() == 4000
 assert quality.duplicate_count(done.rows, "id_venda").first()["duplicates"] == 0
 
+loaded, refreshed = (tables.current(spark, t).parts[0].stats for t in (bronze, silver))
+assert loaded.rows == refreshed.rows == 4000 and loaded.nulls["id_venda"] == 0
+assert refreshed.measures["sum:total"] == 40000.0
+
 direct = sales.stamp_bronze(unreliable, jobs.Run.start(spark))
 again = jobs.refresh_silver(spark, direct, silver, jobs.Run.start(spark), rebalance=False)
 assert again.ok and again.rows.count() == 4000
+measures = tables.current(spark, silver).parts[0].stats.measures
+assert measures["sum:total"] == 40000.0 and measures["sum:valued"] == 4000
 assert quality.duplicate_count(again.rows, "id_venda").first()["duplicates"] == 0
 print("whole")
 """
