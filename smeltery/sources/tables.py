@@ -166,8 +166,8 @@ def _load(
     # columns come back last, so put the columns in the stored order.
     # Naming it in the schema gives it a type, and lets it be asked for where no file tells it.
     wanted = StructType([*schema.fields, *[StructField(c, StringType()) for c in and_run]])
-    files = spark.read.format(table.fmt).schema(wanted).option("basePath", f"{table.path}/runs")
-    rows = files.load([f"{table.path}/{location}" for location in locations])
+    scan = spark.read.format(table.fmt).schema(wanted).option("basePath", f"{table.path}/runs")
+    rows = scan.load([f"{table.path}/{location}" for location in locations])
     return rows.select(*[named(c) for c in schema.names], *and_run)
 
 
