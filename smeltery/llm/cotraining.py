@@ -1,14 +1,19 @@
 """Quality classification by co-training of two views.
 
-One classifier sees only a document's text, the other only its metadata (language, source, length
-as stated). Both start from the labelled documents. In every round each scores all unlabelled
-documents, and those it is sure of, by a limit that its calibration set confirms, become training
-rows of the other. In the end both are calibrated to probabilities on labelled documents that
-neither was trained on, and the two probabilities are combined as independent evidence.
-
-Models are fitted on the driver, on samples whose bounds are parameters. Everything else covers all
-documents: features are computed once per document, every round scores every document, and the
-verdict is given to each.
+One classifier sees only a document's text (shares of characters, how words and lines vary, hashed
+words and word pairs), the other only its metadata (language, source, length as stated, and the
+first two together). Both start from the labelled documents. In every round each scores all
+unlabelled documents, and those it is sure of become training rows of the other. It is sure beyond a
+limit on the class's own side of an even verdict, where every band of rows of the calibration set is
+right often enough, and in the first rounds only of the surest part of the class; so the two limits
+cannot overlap. In the end both are calibrated to probabilities on labelled documents that neither
+was trained on, and the two probabilities are combined as independent evidence.
+
+The first fit is on a bounded sample of labelled rows. The exchanged rows have no bound: tasks add up
+the slope and curvature of the loss over all of them, and the driver gets one matrix per view and
+class, whatever their number. Each class's exchanged rows weigh as much as its labelled ones at
+most. Features are computed once per document, every round scores every document, and the verdict is
+given to each.
 """
 
 from __future__ import annotations
@@ -16,8 +21,9 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from operator import eq
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -43,12 +49,21 @@ _GROUPS = (
 _group = np.full(256, len(_GROUPS))
 for _i, _members in enumerate(_GROUPS):
     _group[list(_members)] = _i
-TEXT_FEATURES = len(_GROUPS) + 1 + 9
-META_FEATURES = LANG_BINS + SOURCE_BINS + 4
+WORD_BINS = 64
+TEXT_FEATURES = len(_GROUPS) + 1 + 9 + 2 * WORD_BINS
+# Metadata is stored as four places of a one and four numbers, and spread out where it is used.
+PAIR_BINS, LENGTH_BINS = 64, 80
+HASHED_RIDGE = 30.0
+# A band of one class is taken as no accident below this probability.
+CHANCE = 1e-5
+_SIZES = (LANG_BINS, SOURCE_BINS, PAIR_BINS, LENGTH_BINS)
+META_STORED = len(_SIZES) + 4
+META_FEATURES = sum(_SIZES) + 4
 
 
 def text_features(text: bytes) -> list[float]:
-    """Shares of character groups, and how words and lines vary, over the whole text."""
+    """Shares of character groups, how words and lines vary, and shares of hashed words and pairs,
+    over the whole text."""
     n = len(text)
     bins = np.bincount(np.frombuffer(text, np.uint8), minlength=256)
     groups = np.sqrt(np.bincount(_group, weights=bins, minlength=len(_GROUPS) + 1) / max(1, n))
@@ -58,6 +73,10 @@ def text_features(text: bytes) -> list[float]:
     in_a_row = sum(map(eq, words, words[1:]))
     pairs = len(set(zip(words, words[1:], strict=False))) / max(1, len(words) - 1)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
+    hashes = list(map(crc32, words))
+    hashed = np.fromiter(hashes, np.int64, len(words)) % WORD_BINS
+    following = np.fromiter(map(crc32, words[1:], hashes), np.int64, max(0, len(words) - 1)) % WORD_BINS
+    bags = np.concatenate([np.bincount(h, minlength=WORD_BINS) for h in (hashed, following)])
     return [
         *groups,
         len(set(words)) / count,
@@ -69,6 +88,7 @@ def text_features(text: bytes) -> list[float]:
         float(lengths.mean()) / 10 if len(words) else 0.0,
         float(lengths.std()) / 10 if len(words) else 0.0,
         sum(w[-1] in b"!#*$%&|" for w in words) / count,
+        *np.sqrt(bags / count),
     ]
 
 
@@ -77,16 +97,32 @@ def _bin(value: str, bins: int) -> int:
 
 
 def meta_features(lang: str | None, source: str | None, n_chars: int | None) -> list[float]:
-    out = [0.0] * META_FEATURES
-    if lang is not None:
-        out[_bin(lang, LANG_BINS)] = 1.0
-    if source is not None:
-        out[LANG_BINS + _bin(source, SOURCE_BINS)] = 1.0
-    rest = LANG_BINS + SOURCE_BINS
-    if n_chars is not None:
-        length = math.log1p(max(0, n_chars)) / 10
-        out[rest : rest + 2] = [length, length**2]
-    out[rest + 2 : rest + 4] = [float(lang is None or source is None), float(n_chars is None)]
+    """Where the ones stand (-1: nowhere) for language, source, both, and quarter octaves of the
+    length as stated, then the length, its square, and what is missing."""
+    size = max(0, n_chars) if n_chars is not None else 0
+    length = math.log1p(size) / 10
+    return [
+        float(_bin(lang, LANG_BINS)) if lang is not None else -1.0,
+        float(_bin(source, SOURCE_BINS)) if source is not None else -1.0,
+        float(_bin(f"{lang}\n{source}", PAIR_BINS)) if None not in (lang, source) else -1.0,
+        float(min(LENGTH_BINS - 1, int(4 * math.log2(1 + size)))) if n_chars is not None else -1.0,
+        length,
+        length**2,
+        float(lang is None or source is None),
+        float(n_chars is None),
+    ]
+
+
+def meta_matrix(stored_rows: np.ndarray) -> np.ndarray:
+    """The stored metadata of many rows with its ones in their places."""
+    out = np.zeros((len(stored_rows), META_FEATURES), np.float32)
+    start = 0
+    for i, size in enumerate(_SIZES):
+        at = stored_rows[:, i].astype(np.int64)
+        known = np.flatnonzero(at >= 0)
+        out[known, start + at[known]] = 1.0
+        start += size
+    out[:, start:] = stored_rows[:, len(_SIZES) :]
     return out
 
 
@@ -124,11 +160,18 @@ def _newton(x: np.ndarray, y: np.ndarray, ridge: np.ndarray, steps: int = 25) ->
     return w
 
 
-def fit_linear(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> Linear:
+def ridge_of(view: str) -> np.ndarray:
+    """How strongly each weight is held back; hashed words more, as there are many and each says little."""
+    if view == "xm":
+        return np.ones(META_FEATURES)
+    return np.r_[np.ones(TEXT_FEATURES - 2 * WORD_BINS), np.full(2 * WORD_BINS, HASHED_RIDGE)]
+
+
+def fit_linear(x: np.ndarray, y: np.ndarray, ridge: np.ndarray) -> Linear:
     mean, scale = x.mean(axis=0), x.std(axis=0)
     scale[scale < 1e-9] = 1.0
     design = np.column_stack([np.ones(len(x)), (x - mean) / scale])
-    return Linear(mean, scale, _newton(design, y, np.r_[0.0, np.full(x.shape[1], ridge)]))
+    return Linear(mean, scale, _newton(design, y, np.r_[0.0, ridge]))
 
 
 def calibrated(model: Linear, x: np.ndarray, y: np.ndarray) -> Linear:
@@ -141,22 +184,37 @@ def calibrated(model: Linear, x: np.ndarray, y: np.ndarray) -> Linear:
     return Linear(model.mean, model.scale, model.weights, float(slope), float(shift))
 
 
-def sure_limits(logit: np.ndarray, y: np.ndarray, precision: float, least: int) -> tuple[float, float]:
-    """Logits below and above which the calibration set is right often enough; infinite if never.
+def sure_limits(
+    logit: np.ndarray, y: np.ndarray, precision: float, least: int, share: float = 1.0
+) -> tuple[float, float]:
+    """Logits at and below which a row is surely bad, at and above which it is surely good; infinite
+    where the calibration set confirms none.
 
-    ``least`` rows must lie beyond a limit to confirm it, and the class must be rarer or commoner
-    than chance would give, which a view without information cannot show.
+    The lower limit is below zero and the upper one at zero or above, so no row meets both. From a
+    limit outwards, every band of neighbouring rows of the calibration set holds the wanted share
+    of the class, the one at the limit too; and no more than ``share`` of the class's own rows lie
+    beyond it. A band has ``least`` rows, and more for a class so common that a view without
+    information would show so many in a row by chance.
     """
-    order = np.argsort(logit)
-    z, t = logit[order], y[order]
-    n = np.arange(1, len(z) + 1)
-    right_low, right_high = np.cumsum(1 - t) / n, np.cumsum(t[::-1]) / n
-    base = y.mean()
-    low_ok = (right_low >= precision) & (n >= least) & (right_low > (1 - base) + 0.02)
-    high_ok = (right_high >= precision) & (n >= least) & (right_high > base + 0.02)
-    low = z[np.flatnonzero(low_ok).max()] if low_ok.any() else -math.inf
-    high = z[::-1][np.flatnonzero(high_ok).max()] if high_ok.any() else math.inf
-    return float(low), float(high)
+
+    def upper(z: np.ndarray, t: np.ndarray) -> float:
+        order = np.argsort(z, kind="stable")
+        z, t = z[order], t[order]
+        own = np.sort(z[t > 0])
+        common = min(t.mean(), 0.999)
+        band = max(least, math.ceil(math.log(CHANCE) / math.log(max(common, 1e-9))))
+        if len(own) < band:
+            return math.inf
+        right = np.convolve(t, np.ones(band), "valid") / band  # rows i .. i + band - 1
+        wrong = np.flatnonzero((right < precision) | (z[: len(right)] < 0))
+        first = wrong.max() + 1 if len(wrong) else 0
+        if first >= len(right):
+            return math.inf
+        surest = own[max(0, len(own) - max(band, int(share * len(own))))]
+        return float(max(z[first], surest))
+
+    low, high = -upper(-logit, 1 - y), upper(logit, y)
+    return (low if low < 0 else -math.inf), high
 
 
 @dataclass(frozen=True)
@@ -164,6 +222,8 @@ class QualityModel:
     text: Linear | None
     meta: Linear | None
     prior: float  # logit of the share of good documents
+    # Rows each view has given the other in each round: {"xt": (bad, good), "xm": (bad, good)}.
+    exchanged: tuple[dict[str, tuple[int, int]], ...] = ()
 
     def logits(self, xt: np.ndarray, xm: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of the text, of the metadata, and combined: both views' evidence over the prior."""
@@ -181,7 +241,7 @@ def _features(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     xm = [meta_features(*m) for m in zip(lang, source, size, strict=True)]
     return (
         np.array(xt, np.float32).reshape(-1, TEXT_FEATURES),
-        np.array(xm, np.float32).reshape(-1, META_FEATURES),
+        meta_matrix(np.array(xm, np.float32).reshape(-1, META_STORED)),
     )
 
 
@@ -190,10 +250,14 @@ def _lists(x: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(ends, pa.array(x.ravel()))
 
 
-def _matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
+def _view(column: pa.Array | pa.ChunkedArray, view: str) -> np.ndarray:
+    """The features of a view, from the stored column of that name."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    if view == "xt":
+        return flat.reshape(-1, TEXT_FEATURES)
+    return meta_matrix(flat.reshape(-1, META_STORED))
 
 
 def _given(documents: DataFrame, text: str, lang: str, source: str, n_chars: str) -> list[Column]:
@@ -217,7 +281,10 @@ def document_features(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            xt, xm = _features(part.select(["text", "lang", "source", "n_chars"]))
+            texts, *meta = (part.column(c).to_pylist() for c in ("text", "lang", "source", "n_chars"))
+            xt = np.array([text_features(t) for t in texts], np.float32).reshape(-1, TEXT_FEATURES)
+            xm = [meta_features(*m) for m in zip(*meta, strict=True)]
+            xm = np.array(xm, np.float32).reshape(-1, META_STORED)
             columns = [part.column(0), _lists(xt), _lists(xm)]
             yield pa.record_batch(columns, ["doc_id", "xt", "xm"])
 
@@ -246,25 +313,31 @@ def _some(rows: DataFrame, limit: int, total: int, salt: int) -> pa.Table:
     return drawn.limit(2 * limit).toArrow().sort_by([("doc_id", "ascending"), ("draw", "ascending")])
 
 
+VIEWS = ("xt", "xm")
+OTHER = {"xt": "xm", "xm": "xt"}
+
+
 def train(
     features: DataFrame,
     labels: DataFrame,
-    rounds: int = 3,
+    shares: tuple[float, ...] = (0.25, 0.5, 0.75),
     labelled: int = 20_000,
-    exchanged: int = 4_000,
     precision: float = 0.98,
     least: int = 20,
     held_out: float = 0.3,
+    steps: int = 2,
     seed: int = 5,
     doc_id: str = "doc_id",
     label: str = "quality",
 ) -> QualityModel:
-    """Co-train both views.
-
-    About ``labelled`` labelled rows are used, ``held_out`` of them for calibration only, and in each
-    round about ``exchanged`` confident rows per view and class. A label counts once per document
-    (the largest, if they differ); missing labels and ids count as none. Without rows of both
-    classes in both parts there is no classifier, and every document gets the prior.
+    """Co-train both views, a round for every number in ``shares``.
+
+    About ``labelled`` labelled rows are used, ``held_out`` of them for calibration only. A round
+    exchanges all rows beyond the limits (see ``sure_limits``), of a class that share at most by the
+    calibration set, and fits each view to them and to the labelled rows by ``steps`` Newton steps; a
+    row on whose class the views contradict each other is left out. A label counts once per document
+    (the largest, if they differ); missing labels and ids count as none. Without rows of both classes
+    in both parts there is no classifier, and every document gets the prior.
     """
     given = labels.select(
         F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"),
@@ -284,71 +357,123 @@ def train(
     fit, check = order[~part[order]], order[part[order]]
     if any(len(set(y[p])) < 2 for p in (fit, check)):
         return QualityModel(None, None, prior)
-    widths = {"xt": TEXT_FEATURES, "xm": META_FEATURES}
-    x = {v: _matrix(table[v], w).astype(np.float64) for v, w in widths.items()}
-    extra: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-    other = {"xt": "xm", "xm": "xt"}
-    unlabelled = features.join(given, "doc_id", "left_anti")
-    unlabelled = stored(unlabelled, "unlabelled")
-    models: dict[str, Linear] = {}
-    for turn in range(rounds + 1):
-        for v in widths:
-            more_x, more_y = extra.get(v, (np.empty((0, widths[v])), np.empty(0)))
-            model = fit_linear(np.vstack([x[v][fit], more_x]), np.r_[y[fit], more_y])
-            models[v] = calibrated(model, x[v][check], y[check])
-        if turn == rounds:
-            break
+    x = {v: _view(table[v], v).astype(np.float64) for v in VIEWS}
+    models = {v: calibrated(fit_linear(x[v][fit], y[fit], ridge_of(v)), x[v][check], y[check]) for v in VIEWS}
+    unlabelled = stored(features.join(given, "doc_id", "left_anti"), "unlabelled")
+    history = []
+    for share in shares:
         limits = {
-            v: sure_limits(models[v].logit(x[v][check]), y[check], precision, least) for v in widths
+            v: sure_limits(models[v].logit(x[v][check]), y[check], precision, least, share)
+            for v in VIEWS
         }
         if all(math.isinf(low) and math.isinf(high) for low, high in limits.values()):
             break
-        extra = _exchanged(unlabelled, models, limits, widths, other, exchanged, seed + turn)
-    return QualityModel(models["xt"], models["xm"], prior)
+        learning = models
+        for _ in range(steps):
+            sums = _exchanged(unlabelled, models, limits, learning)
+            learning = {
+                v: _stepped(
+                    learning[v], x[v][fit], y[fit], [sums[v, c] for c in (0, 1)], ridge_of(v)
+                )
+                for v in VIEWS
+            }
+        history.append({v: tuple(int(sums[OTHER[v], c][0]) for c in (0, 1)) for v in VIEWS})
+        models = {v: calibrated(learning[v], x[v][check], y[check]) for v in VIEWS}
+    return QualityModel(models["xt"], models["xm"], prior, tuple(history))
+
+
+def _design(model: Linear, x: np.ndarray) -> np.ndarray:
+    return np.column_stack([np.ones(len(x)), (x - model.mean) / model.scale])
+
+
+def _loss_sums(design: np.ndarray, y: np.ndarray | float, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slope and curvature of the logistic loss."""
+    p = _sigmoid(design @ w)
+    return design.T @ (p - y), (design * (p * (1 - p))[:, None]).T @ design
+
+
+def _stepped(
+    model: Linear,
+    x: np.ndarray,
+    y: np.ndarray,
+    sums: list[tuple[float, np.ndarray, np.ndarray]],
+    ridge: np.ndarray,
+) -> Linear:
+    """One Newton step on the labelled rows and the exchanged ones, given as sums by class."""
+    w = model.weights
+    slope, curve = _loss_sums(_design(model, x), y, w)
+    for c, (n, more_slope, more_curve) in enumerate(sums):
+        weight = min(1.0, float((y == c).sum()) / n) if n else 0.0
+        slope, curve = slope + weight * more_slope, curve + weight * more_curve
+    held = np.r_[0.0, ridge]
+    step = np.linalg.solve(curve + np.diag(held + 1e-9), slope + held * w)
+    # A long step overshoots where the curvature is small.
+    return replace(model, weights=w - step / max(1.0, np.abs(step).max() / 2))
 
 
 def _exchanged(
     unlabelled: DataFrame,
     models: dict[str, Linear],
     limits: dict[str, tuple[float, float]],
-    widths: dict[str, int],
-    other: dict[str, str],
-    exchanged: int,
-    salt: int,
-) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """For each view, rows that the other view is sure of: its own features and the other's label."""
+    learning: dict[str, Linear],
+) -> dict[tuple[str, int], tuple[float, np.ndarray, np.ndarray]]:
+    """By learning view and class: rows that the other view is sure of, and their loss at its weights.
+
+    Every task adds up its rows; the partial sums are added row of the matrix by row, so that no
+    group holds more than a row of each task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[str, int], np.ndarray] = {}
         for batch in batches:
-            columns = [batch.column(0)]
-            for v, width in widths.items():
-                z = models[v].logit(_matrix(batch.column(v), width))
-                low, high = limits[v]
-                columns.append(pa.array(np.where(z <= low, 0, np.where(z >= high, 1, -1)), pa.int32()))
-            yield pa.record_batch(
-                [*columns, batch.column("xt"), batch.column("xm")],
-                names=["doc_id", "s_xt", "s_xm", "xt", "xm"],
-            )
-
-    sure = unlabelled.select("doc_id", "xt", "xm").mapInArrow(
-        run, "doc_id BIGINT, s_xt INT, s_xm INT, xt ARRAY<FLOAT>, xm ARRAY<FLOAT>"
-    )
-    kinds = [(v, c) for v in widths for c in (0, 1)]
-    counts = sure.agg(*[F.count_if(F.col(f"s_{v}") == c).alias(f"{v}{c}") for v, c in kinds]).first()
-    sure = sure.withColumn("draw", _draw(salt, ["doc_id", "xt", "xm"]))
-    picked = None
-    for v, c in kinds:
-        share = min(1.0, exchanged / max(1, counts[f"{v}{c}"]))
-        hit = (F.col(f"s_{v}") == c) & (F.col("draw") < int(share * (1 << 30)))
-        picked = hit if picked is None else picked | hit
-    # At most about four times ``exchanged`` rows, by the shares above; equal rows count once.
-    table = sure.where(picked).distinct().orderBy("doc_id", "draw").limit(8 * exchanged).toArrow()
+            if not batch.num_rows:
+                continue
+            x = {v: _view(batch.column(v), v).astype(np.float64) for v in VIEWS}
+            said = {}
+            for v in VIEWS:
+                z, (low, high) = models[v].logit(x[v]), limits[v]
+                said[v] = np.where(z <= low, 0, np.where(z >= high, 1, -1))
+            agreed = (said["xt"] < 0) | (said["xm"] < 0) | (said["xt"] == said["xm"])
+            for v in VIEWS:
+                for c in (0, 1):
+                    rows = np.flatnonzero((said[OTHER[v]] == c) & agreed)
+                    if not len(rows):
+                        continue
+                    slope, curve = _loss_sums(
+                        _design(learning[v], x[v][rows]), float(c), learning[v].weights
+                    )
+                    whole = np.vstack([slope, curve, np.full(len(slope), float(len(rows)))])
+                    sums[v, c] = sums[v, c] + whole if (v, c) in sums else whole
+        for (v, c), whole in sums.items():
+            n = len(whole)
+            ends = pa.array(np.arange(n + 1, dtype=np.int32) * whole.shape[1])
+            columns = [
+                pa.array([v] * n),
+                pa.array(np.full(n, c), pa.int32()),
+                pa.array(np.arange(n), pa.int32()),
+                pa.ListArray.from_arrays(ends, pa.array(whole.ravel())),
+            ]
+            yield pa.record_batch(columns, names=["view", "said", "line", "sums"])
+
+    def add(table: pa.Table) -> pa.Table:
+        rows = np.stack([np.array(r) for r in table["sums"].to_pylist()])
+        # In one order, whichever task came first.
+        total = np.sort(rows, axis=0).sum(axis=0)
+        kept = table.select(["view", "said", "line"]).slice(0, 1)
+        return kept.append_column("sums", pa.array([total.tolist()], pa.list_(pa.float64())))
+
+    schema = "view STRING, said INT, line INT, sums ARRAY<DOUBLE>"
+    partial = unlabelled.select("xt", "xm").mapInArrow(run, schema)
+    found = partial.groupBy("view", "said", "line").applyInArrow(add, schema).toArrow()
     out = {}
-    for v, w in other.items():
-        said = table[f"s_{v}"].to_numpy()
-        rows = np.flatnonzero(said >= 0)
-        features = _matrix(table[w], widths[w]).astype(np.float64)[rows]
-        out[w] = (features, said[rows].astype(np.float64))
+    for v in VIEWS:
+        d = len(learning[v].weights)
+        for c in (0, 1):
+            whole = np.zeros((d + 2, d))
+            for row in found.to_pylist():
+                if row["view"] == v and row["said"] == c:
+                    whole[row["line"]] = row["sums"]
+            out[v, c] = (whole[-1, 0], whole[0], whole[1:-1])
     return out
 
 
@@ -357,8 +482,7 @@ def classify(features: DataFrame, model: QualityModel, threshold: float = 0.5) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            xt = _matrix(batch.column("xt"), TEXT_FEATURES)
-            a, b, both = model.logits(xt, _matrix(batch.column("xm"), META_FEATURES))
+            a, b, both = model.logits(*[_view(batch.column(v), v) for v in VIEWS])
             quality = _sigmoid(both)
             yield pa.record_batch(
                 [
