@@ -137,8 +137,9 @@ def block_copies(
     placed = sized.join(
         F.broadcast(targets) if _few(targets) else targets, sized["source"].eqNullSafe(targets["source"])
     ).select(sized["*"], "sid", "source_size", "target", "block", "shards", "quota")
-    placed = placed.withColumn("order", F.xxhash64(F.lit(seed), "key")).withColumn(
-        "shard", F.pmod(F.xxhash64(F.lit(seed + 1), "key"), F.col("shards"))
+    # By id and text, so that rows without id, or of one id, are spread over the shards as well.
+    placed = placed.withColumn("order", F.xxhash64(F.lit(seed), "key", "uid")).withColumn(
+        "shard", F.pmod(F.xxhash64(F.lit(seed + 1), "key", "uid"), F.col("shards"))
     )
     shard_sizes = placed.groupBy("sid", "shard", "block", "quota").agg(
         F.sum("size").cast("bigint").alias("words")
@@ -255,10 +256,11 @@ def mixed_documents(
     """The mix itself: all columns of the documents, their text cut to the blocks taken.
 
     A document comes once for every pass and once more with its extra blocks, if it has any; white
-    space after a word goes with the word. Documents the mix takes nothing of are left out.
+    space after a word goes with the word. Documents the mix takes nothing of are left out. Rows
+    alike in id, text and source are numbered by their other columns, so the mixed rows, too, are the
+    same however the table is partitioned.
     """
     columns = documents.columns
-    # Rows alike in id, text and source are interchangeable, so they are told apart by number.
     sized = stored(_sized(documents, doc_id, text, source), "sizes")
     twin = Window.partitionBy("key", "uid", "source").orderBy("start")
     same = ["key", "uid", "source"]
@@ -272,7 +274,9 @@ def mixed_documents(
         F.col(doc_id).cast("bigint").alias("key"),
         F.col(source).cast("string").alias("source"),
     )
-    rows = rows.withColumn("twin", F.row_number().over(Window.partitionBy(*same).orderBy(F.lit(1))))
+    others = [F.col(f"row.`{c}`") for c in columns if c not in (doc_id, text, source)]
+    by_others = F.to_json(F.struct(*others)) if others else F.lit(1)
+    rows = rows.withColumn("twin", F.row_number().over(Window.partitionBy(*same).orderBy(by_others)))
     left, right = rows.alias("l"), numbered.alias("r")
     matched = F.col("l.twin") == F.col("r.twin")
     for c in same:

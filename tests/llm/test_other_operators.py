@@ -275,6 +275,23 @@ def test_mix_meets_its_targets(spark):
     assert +words == +expected
 
 
+def test_mixed_rows_are_the_same_in_any_partitions(spark):
+    rows = [(i % 40, f"alike {i % 40 % 7} " * 30, f"s{i % 3 % 2}", f"l{i}", i) for i in range(400)]
+    rows += [(None, "no id " * 20, "s0", f"l{i}", i) for i in range(200)]
+    columns = "doc_id long, text string, source string, lang string, n int"
+    table = spark.createDataFrame(rows, columns).withColumn("m", F.create_map(F.lit("k"), F.col("n")))
+    mixes = [sorted(map(repr, apportion.mixed_documents(table.repartition(n)).collect())) for n in (1, 3, 5)]
+    assert mixes[0] == mixes[1] == mixes[2] and len(mixes[0]) > 100
+
+
+def test_rows_without_id_are_spread_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(apportion, "SHARD", 200)
+    rows = [(None, f"text {i} " * 10, "s") for i in range(400)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    placed = apportion.block_copies(apportion._sized(table, "doc_id", "text", "source"), (5, 2, 1), 3, 7)
+    assert placed.groupBy("shard").count().agg(F.max("count")).first()[0] < 60
+
+
 @pytest.mark.parametrize(("votes", "seats"), [([53, 24, 23], 7), ([1, 1, 1], 2), ([9000, 1, 1, 1], 10), ([0, 5], 3), ([7], 4)])
 def test_sainte_lague_by_highest_quotients(spark, votes, seats):
     quotients = sorted(((-v / (2 * k + 1), i) for i, v in enumerate(votes) if v for k in range(seats)))
