@@ -245,16 +245,14 @@ def _features(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     )
 
 
-def _lists(x: np.ndarray) -> pa.Array:
-    ends = pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1])
-    return pa.ListArray.from_arrays(ends, pa.array(x.ravel()))
+def _packed(rows: list[list[float]]) -> pa.Array:
+    """Features as half-precision numbers, a few hundred bytes a row."""
+    return pa.array([np.clip(r, -6e4, 6e4).astype("<f2").tobytes() for r in rows], pa.binary())
 
 
 def _view(column: pa.Array | pa.ChunkedArray, view: str) -> np.ndarray:
     """The features of a view, from the stored column of that name."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    flat = column.flatten().to_numpy(zero_copy_only=False)
+    flat = np.frombuffer(b"".join(column.to_pylist()), "<f2").astype(np.float32)
     if view == "xt":
         return flat.reshape(-1, TEXT_FEATURES)
     return meta_matrix(flat.reshape(-1, META_STORED))
@@ -282,19 +280,34 @@ def document_features(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             texts, *meta = (part.column(c).to_pylist() for c in ("text", "lang", "source", "n_chars"))
-            xt = np.array([text_features(t) for t in texts], np.float32).reshape(-1, TEXT_FEATURES)
-            xm = [meta_features(*m) for m in zip(*meta, strict=True)]
-            xm = np.array(xm, np.float32).reshape(-1, META_STORED)
-            columns = [part.column(0), _lists(xt), _lists(xm)]
+            xt = _packed([text_features(t) for t in texts])
+            xm = _packed([meta_features(*m) for m in zip(*meta, strict=True)])
+            columns = [part.column(0), xt, xm]
             yield pa.record_batch(columns, ["doc_id", "xt", "xm"])
 
     rows = documents.select(
         F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"),
         *_given(documents, text, lang, source, n_chars),
     )
-    return stored(
-        rows.mapInArrow(run, "doc_id BIGINT, xt ARRAY<FLOAT>, xm ARRAY<FLOAT>"), "features"
+    return rows.mapInArrow(run, "doc_id BIGINT, xt BINARY, xm BINARY")
+
+
+def with_labels(
+    features: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "quality"
+) -> DataFrame:
+    """The features, stored once, with the label ``y`` (0, 1 or NULL) of the row's document.
+
+    A label counts once per document (the largest, if they differ); missing labels and ids count as
+    none. The features are shuffled once, at any size.
+    """
+    given = labels.select(
+        F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"),
+        (F.col(f"`{label}`") > 0).cast("int").alias("y"),
     )
+    given = given.where("doc_id IS NOT NULL AND y IS NOT NULL").groupBy("doc_id").agg(
+        F.max("y").alias("y")
+    )
+    return stored(features.join(given.hint("merge"), "doc_id", "left"), "features")
 
 
 def _draw(salt: int, columns: list[str]) -> Column:
@@ -319,7 +332,6 @@ OTHER = {"xt": "xm", "xm": "xt"}
 
 def train(
     features: DataFrame,
-    labels: DataFrame,
     shares: tuple[float, ...] = (0.25, 0.5, 0.75),
     labelled: int = 20_000,
     precision: float = 0.98,
@@ -327,26 +339,16 @@ def train(
     held_out: float = 0.3,
     steps: int = 2,
     seed: int = 5,
-    doc_id: str = "doc_id",
-    label: str = "quality",
 ) -> QualityModel:
-    """Co-train both views, a round for every number in ``shares``.
+    """Co-train both views on the rows of ``with_labels``, a round for every number in ``shares``.
 
     About ``labelled`` labelled rows are used, ``held_out`` of them for calibration only. A round
     exchanges all rows beyond the limits (see ``sure_limits``), of a class that share at most by the
     calibration set, and fits each view to them and to the labelled rows by ``steps`` Newton steps; a
-    row on whose class the views contradict each other is left out. A label counts once per document
-    (the largest, if they differ); missing labels and ids count as none. Without rows of both classes
-    in both parts there is no classifier, and every document gets the prior.
+    row on whose class the views contradict each other is left out. Without rows of both classes in
+    both parts there is no classifier, and every document gets the prior.
     """
-    given = labels.select(
-        F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"),
-        (F.col(f"`{label}`") > 0).cast("int").alias("y"),
-    )
-    given = given.where("doc_id IS NOT NULL AND y IS NOT NULL").groupBy("doc_id").agg(
-        F.max("y").alias("y")
-    )
-    known = stored(features.join(given, "doc_id"), "labelled")
+    known, unlabelled = features.where("y IS NOT NULL"), features.where("y IS NULL")
     table = _some(known, labelled, known.count(), seed)
     y = table["y"].to_numpy().astype(np.float64)
     prior = float(np.clip((y.sum() + 1) / (len(y) + 2), 1e-6, 1 - 1e-6))
@@ -359,7 +361,6 @@ def train(
         return QualityModel(None, None, prior)
     x = {v: _view(table[v], v).astype(np.float64) for v in VIEWS}
     models = {v: calibrated(fit_linear(x[v][fit], y[fit], ridge_of(v)), x[v][check], y[check]) for v in VIEWS}
-    unlabelled = stored(features.join(given, "doc_id", "left_anti"), "unlabelled")
     history = []
     for share in shares:
         limits = {
@@ -495,7 +496,7 @@ def classify(features: DataFrame, model: QualityModel, threshold: float = 0.5) -
                 names=["doc_id", "text_quality", "meta_quality", "quality", "kept"],
             )
 
-    return features.mapInArrow(
+    return features.select("doc_id", *VIEWS).mapInArrow(
         run, "doc_id BIGINT, text_quality DOUBLE, meta_quality DOUBLE, quality DOUBLE, kept BOOLEAN"
     )
 
@@ -506,8 +507,8 @@ def quality(documents: DataFrame, labels: DataFrame, **options) -> DataFrame:
     Missing texts are empty ones; missing metadata is a feature of its own. Repeated rows are judged
     each. See ``train`` and ``classify``.
     """
-    features = document_features(documents)
-    return classify(features, train(features, labels, **options))
+    features = with_labels(document_features(documents), labels)
+    return classify(features, train(features, **options))
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
@@ -516,7 +517,7 @@ def keep_good(documents: DataFrame, labels: DataFrame, threshold: float = 0.5, *
     The verdict is given next to the row itself, so rows that share an id are judged each by its own
     text, and no text is shuffled.
     """
-    model = train(document_features(documents), labels, **options)
+    model = train(with_labels(document_features(documents), labels), **options)
 
     @F.arrow_udf("boolean")
     def good(text: pa.Array, lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> pa.Array:
