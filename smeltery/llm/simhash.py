@@ -1,17 +1,23 @@
-"""SimHash near-duplicates, found by a ball join on whole fingerprints.
-
-The small Hamming ball around a fingerprint of 64 bits is enumerated, and every variant is a key. The
-allowed distance is shared between the two sides of a match: fingerprints that differ in two bits
-both lie one bit from a common key. So a key's bucket holds nothing but fingerprints near that key,
-65 at most for two bits, and no group of near copies makes a large bucket or a quadratic number of
-pairs. Keys by segment value, as in multi-index hashing, would put all fingerprints that share a
-segment into one bucket, a whole group of near copies among them. A bucket links its members to the
-smallest; links are joined to components.
+"""SimHash near-duplicates by multi-index hashing.
+
+A fingerprint of 64 bits is cut into segments. Of two fingerprints within the allowed distance, one
+segment differs by no more than that distance divided by the number of segments (pigeonholes). So
+there is a table per segment, from the segment's value to the fingerprints holding it; each
+fingerprint enumerates the small Hamming ball around every segment, fetches what the tables hold
+under each variant, and the complete distance is verified.
+
+A group of near copies shares segments, so its table entries are large. An entry of more than
+``most`` fingerprints is not fetched but cut by a second key, the rest of the fingerprint: there the
+bits still allowed are shared between both sides, the entry being listed under the ball around its
+rest and probed with the ball of what remains. Such a bucket holds only fingerprints near one point,
+and links its members to its smallest, so no group makes a quadratic number of pairs. Links are
+joined to components.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable
+from dataclasses import dataclass
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -21,11 +27,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smeltery.llm.components import components
-from smeltery.llm.shared import id_or_lowest, slices, stored, text_bytes
+from smeltery.llm.shared import id_or_lowest, stored, text_bytes
 
 BITS = 64
 # Bits of so many hashes are summed at a time.
 CHUNK = 1 << 15
+# A key is a segment's number above so many bits, which hold the segment's value.
+KEY_BITS = 32
+# Table entries of more fingerprints than this are cut by the rest of the fingerprint as well.
+MOST = 16
+# Fingerprints whose probes one task makes.
+PROBING = 1 << 16
 
 
 def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
@@ -70,34 +82,130 @@ def hexadecimal(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def ball_masks(radius: int) -> list[int]:
-    """Signed masks that turn a fingerprint into each variant of the ball around it."""
-    flips = (c for r in range(radius + 1) for c in combinations(range(BITS), r))
-    masks = (sum(1 << b for b in c) for c in flips)
-    return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
+def ball(radius: int, bits: Iterable[int] = range(BITS)) -> list[int]:
+    """Masks that turn a number into each variant of the ball around it, in the given bits."""
+    flips = (c for r in range(radius + 1) for c in combinations(list(bits), r))
+    return [sum(1 << b for b in c) for c in flips]
+
+
+def _masks(radius: int, bits: Iterable[int]) -> Column:
+    """The ball's masks as one constant array of signed numbers."""
+    signed = [m - (1 << BITS) if m >> (BITS - 1) else m for m in ball(radius, bits)]
+    return F.array(*[F.lit(m).cast("bigint") for m in signed])
+
+
+@dataclass(frozen=True)
+class Segment:
+    """Some neighbouring bits of a fingerprint; its keys carry its number above the value."""
+
+    number: int
+    first: int
+    width: int
+
+    @property
+    def bits(self) -> range:
+        return range(self.first, self.first + self.width)
+
+    @property
+    def rest(self) -> list[int]:
+        return [b for b in range(BITS) if b not in self.bits]
+
+    def key(self, fp: Column) -> Column:
+        value = F.shiftrightunsigned(fp, self.first).bitwiseAND(F.lit((1 << self.width) - 1))
+        return value + F.lit(self.number << KEY_BITS)
+
+    def moved(self, fp: Column, key: Column) -> Column:
+        """The fingerprint with the key's value in this segment."""
+        return fp.bitwiseXOR(F.shiftleft(self.key(fp).bitwiseXOR(key), self.first))
+
+
+def segments_of(n: int) -> list[Segment]:
+    """``n`` segments, two at least, of equal width as far as that goes."""
+    if n < 2:
+        raise ValueError("a fingerprint has two segments or more")
+    cuts = [BITS * i // n for i in range(n + 1)]
+    return [Segment(i, a, b - a) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
+
 
+def segment_table(fingerprints: DataFrame, segments: list[Segment]) -> DataFrame:
+    """``key``, ``fp``: every fingerprint under the value of each of its segments."""
+    keys = F.array(*[s.key(F.col("fp")) for s in segments])
+    return fingerprints.select(F.explode(keys).alias("key"), "fp")
 
-def near_links(fingerprints: DataFrame, max_bits: int = 2, fp: str = "fp") -> DataFrame:
+
+def segment_probes(fingerprints: DataFrame, segments: list[Segment], radius: int) -> DataFrame:
+    """``key``, ``fp``: every fingerprint under the ball around each of its segments.
+
+    Of two values of a segment the larger one asks for the smaller, so variants above it are left out.
+    """
+
+    def variants(segment: Segment) -> Column:
+        key = segment.key(F.col("fp"))
+        keys = F.transform(_masks(radius, range(segment.width)), lambda m: key.bitwiseXOR(m))
+        return F.filter(keys, lambda k: k <= key)
+
+    keys = F.concat(*[variants(s) for s in segments])
+    return fingerprints.select(F.explode(keys).alias("key"), "fp")
+
+
+def crowded_links(probes: DataFrame, segments: list[Segment], max_bits: int, radius: int) -> DataFrame:
+    """Links within table entries that are too large to be fetched; ``probes`` of such keys alone."""
+    held, fp, toward = max_bits // 2, F.col("fp"), F.col("toward")
+    number = F.shiftright("key", KEY_BITS)
+    moved = F.coalesce(*[F.when(number == s.number, s.moved(fp, F.col("key"))) for s in segments])
+    used = F.bit_count(fp.bitwiseXOR(toward))
+    around = []
+    for segment in segments:
+        for n in range(radius + 1):
+            # The entry's own fingerprints are listed and probe; those beside it only probe.
+            reach = max_bits - n - held if n else max_bits - held
+            around.append(
+                F.when((number == segment.number) & (used == n), _masks(reach, segment.rest))
+            )
+    rows = (
+        probes.select("key", "fp", moved.alias("toward"))
+        .select("key", "fp", "toward", F.explode(F.coalesce(*around)).alias("mask"))
+        .select(
+            "key",
+            "fp",
+            toward.bitwiseXOR(F.col("mask")).alias("point"),
+            ((used == 0) & (F.bit_count("mask") <= held)).alias("listed"),
+        )
+    )
+    lowest = F.min(F.when(F.col("listed"), fp)).over(Window.partitionBy("key", "point"))
+    return rows.select(fp.alias("a"), lowest.alias("b"))
+
+
+def near_links(
+    fingerprints: DataFrame, max_bits: int = 2, fp: str = "fp", segments: int = 2, most: int = MOST
+) -> DataFrame:
     """Links ``a``, ``b`` that connect all distinct fingerprints at ``max_bits`` or fewer bits.
 
-    Not every pair is listed, but every pair is connected: members of a bucket are linked to its
-    smallest. One shuffle of the keys, 65 per distinct fingerprint for two bits.
+    Not every pair is listed, but every pair is connected. With two segments and two bits a
+    fingerprint is two table rows and some 34 probes, one shuffle of each; a probe compares with
+    ``most`` fingerprints at most, or goes on with 33 further keys where an entry holds more.
     """
-    of = fingerprints.select(F.col(fp).alias("fp"))
-
-    def keys(radius: int) -> Column:
-        masks = ball_masks(radius)
-        return F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(m)) for m in masks])).alias("key")
-
-    held, probed = max_bits // 2, max_bits - max_bits // 2
-    table = of.select("fp", keys(held), F.col("fp").alias("held"))
-    if probed != held:
-        probe = of.select("fp", keys(probed), F.lit(None).cast("bigint").alias("held"))
-        table = table.unionByName(probe)
-    low = F.min("held").over(Window.partitionBy("key")).alias("b")
-    linked = table.select(F.col("fp").alias("a"), low).where(F.col("a") != F.col("b"))
-    distance = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    return linked.where(distance <= max_bits).distinct()
+    parts, radius = segments_of(segments), max_bits // segments
+    of = stored(fingerprints.select(F.col(fp).alias("fp")).distinct(), "fingerprints")
+    # Probes are many times their fingerprints, which are therefore dealt by their number.
+    spread = of.repartition(1 + of.count() // PROBING)
+    table = segment_table(of, parts)
+    sizes = table.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    crowded = stored(sizes.where(F.col("n") > most).select("key"), "crowded")
+    few = table.join(crowded, "key", "left_anti").groupBy("key").agg(
+        F.collect_list("fp").alias("members")
+    )
+    none = F.lit(None).cast("array<bigint>").alias("members")
+    entries = few.unionByName(crowded.select("key", none))
+    fp, apart = F.col("fp"), lambda x, y: F.bit_count(x.bitwiseXOR(y))
+    near = F.filter("members", lambda m: (m != fp) & (apart(m, fp) <= max_bits)).alias("near")
+    fetched = segment_probes(spread, parts, radius).join(entries, "key").select("key", "fp", near)
+    # Few are left: those with a verified neighbour, and those that met a crowded entry.
+    hits = stored(fetched.where("near IS NULL OR size(near) > 0"), "hits")
+    beside = hits.select(fp.alias("a"), F.explode("near").alias("b"))
+    within = crowded_links(hits.where("near IS NULL"), parts, max_bits, radius)
+    linked = beside.unionByName(within).where(F.col("a") != F.col("b"))
+    return linked.where(apart(F.col("a"), F.col("b")) <= max_bits).distinct()
 
 
 def fingerprint_roots(fingerprinted: DataFrame, max_bits: int) -> DataFrame:

@@ -1,7 +1,7 @@
 """Tokens, encoding, SimHash, line dedup and page text against the libraries or brute force."""
 
 import hashlib
-import inspect
+import random
 import re
 import string
 from collections import defaultdict
@@ -133,25 +133,99 @@ def test_simhash_components_are_those_of_all_pairs(request, table):
     assert simhash.keep_one(df).columns == df.columns
 
 
+def _signed(points):
+    return sorted({p - (1 << 64) if p >> 63 else p for p in points})
+
+
+def _linked_groups(links):
+    """Of links collected: each node's smallest reachable node."""
+    low = {n: n for link in links for n in link}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            least = min(low[a], low[b])
+            changed |= low[a] != least or low[b] != least
+            low[a] = low[b] = least
+    return low
+
+
 @pytest.mark.parametrize("max_bits", [0, 1, 2, 3])
-def test_links_connect_all_near_fingerprints(spark, max_bits):
+@pytest.mark.parametrize(("segments", "most"), [(2, 16), (2, 1), (3, 2)])
+def test_links_connect_all_near_fingerprints(spark, max_bits, segments, most):
     base = 0x0123_4567_89AB_CDEF
     points = [base ^ (1 << i) ^ (1 << j) ^ (k << 40) for i in (0, 5, 31, 32, 63) for j in (0, 9, 33) for k in (0, 7)]
-    signed = sorted({p - (1 << 64) if p >> 63 else p for p in points})
+    signed = _signed(points)
     table = spark.createDataFrame([(p,) for p in signed], "fp long")
-    got = {r["fp"]: r["root"] for r in simhash.fingerprint_roots(table, max_bits).collect()}
+    links = [tuple(r) for r in simhash.near_links(table, max_bits, segments=segments, most=most).collect()]
     near = lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count() <= max_bits
+    assert all(near(a, b) for a, b in links)
+    low = _linked_groups(links)
     want = _components(signed, near)
-    assert [signed.index(got[p]) for p in signed] == want
+    assert [signed.index(low.get(p, p)) for p in signed] == want
 
 
-def test_the_ball_has_every_bit():
-    assert "segments" not in inspect.signature(simhash.near_links).parameters
+def test_roots_are_those_of_the_links(spark):
+    signed = _signed([0, 3, 15, 255 << 56, 1 << 63, 7 << 30])
+    table = spark.createDataFrame([(p,) for p in signed], "fp long")
+    got = {r["fp"]: r["root"] for r in simhash.fingerprint_roots(table, 2).collect()}
+    near = lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count() <= 2
+    assert [signed.index(got[p]) for p in signed] == _components(signed, near)
+
+
+def test_segments_and_balls():
+    for n in (2, 3, 5, 64):
+        parts = simhash.segments_of(n)
+        assert [b for s in parts for b in s.bits] == list(range(64))
+        assert all(sorted([*s.bits, *s.rest]) == list(range(64)) for s in parts)
+    with pytest.raises(ValueError):
+        simhash.segments_of(1)
     for radius, size in ((0, 1), (1, 65), (2, 65 + 64 * 63 // 2)):
-        masks = {m & (1 << 64) - 1 for m in simhash.ball_masks(radius)}
+        masks = set(simhash.ball(radius))
         assert len(masks) == size and max(m.bit_count() for m in masks) == radius
 
 
+@pytest.mark.parametrize("first", [0, 32])
+def test_ten_thousand_fingerprints_that_share_a_segment(spark, first):
+    """The entry holds them all; candidates stay few, those too far apart are turned down."""
+    draw = random.Random(first)
+    shared, other = 0xDEAD_BEEF << first, 32 - first
+    rest = {draw.getrandbits(32) for _ in range(9_900)}
+    rest |= {r ^ (1 << draw.randrange(32)) ^ (1 << draw.randrange(32)) for r in list(rest)[:300]}
+    points = [shared | r << other for r in rest] + [shared ^ (1 << first) | r << other for r in list(rest)[:50]]
+    signed = _signed(points)
+    table = spark.createDataFrame([(p,) for p in signed], "fp long").repartition(8)
+    links = [tuple(r) for r in simhash.near_links(table, 2).collect()]
+    # Brute force by the balls of one bit: two that lie within two bits share a variant.
+    meet = defaultdict(list)
+    for p in signed:
+        for mask in simhash.ball(1):
+            meet[(p & (1 << 64) - 1) ^ mask].append(p)
+    pairs = {(a, b) for group in meet.values() for a in group for b in group if a > b}
+    assert {(max(x), min(x)) for x in links} <= pairs
+    assert _linked_groups(links) == _linked_groups(list(pairs)) and len(pairs) > 100
+
+
+def test_verification_turns_candidates_down(spark):
+    """Few fingerprints share a segment and nothing else: fetched, but not linked."""
+    signed = _signed([7 << 32 | 0b1111 << 4 * i for i in range(8)])
+    table = spark.createDataFrame([(p,) for p in signed], "fp long")
+    parts = simhash.segments_of(2)
+    met = simhash.segment_probes(table, parts, 1).join(simhash.segment_table(table, parts).withColumnRenamed("fp", "other"), "key")
+    assert met.where("fp <> other").count() == 8 * 7
+    assert simhash.near_links(table, 2).count() == 0
+
+
+def test_simhash_columns_that_clash(spark):
+    rows = [(1, "a b c d", 1), (2, "a b c d", 2), (3, "something else", 3)]
+    names = ["fp", "key", "root", "low", "id", "members", "near", "point", "row"]
+    df = spark.createDataFrame(rows, "doc_id long, text string, x int")
+    df = df.select("doc_id", "text", *[F.col("x").alias(n) for n in names])
+    assert {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(df).collect()} == {1: 1, 2: 1, 3: 3}
+    kept = simhash.keep_one(df)
+    assert kept.columns == df.columns and {r["doc_id"] for r in kept.collect()} == {1, 3}
+
+
 def _without_shared(rows, least=3):
     key = lambda line: _lower(line.strip(" \t\n\x0b\x0c\r"))
     held = defaultdict(set)
