@@ -1,30 +1,34 @@
 """Removing lines that many documents share, with levelled sorted runs of line hashes.
 
-Line hashes are kept in runs, each sorted by hash. A new batch of documents groups its own hashes
-and merge-joins them with the runs: hashes that no run holds (the anti-join) are new, the others add
-to a count. Both go into a run of the lowest level. When a level holds ``fanout`` runs they are
-merged into one run of the next, so a hash is rewritten about log(batches) times and a batch meets
-few runs. What to remove follows from the merged runs once all batches are in; it is their counts
-and largest ids that decide, so the anti-join says which hashes are new but changes no result.
+Documents come in batches by descending id. Line hashes are kept in runs, each sorted by hash. A new
+batch groups its own hashes and merge-joins them with the runs. Hashes that no run holds (the
+anti-join) enter with their holder, the largest id of the batch that has the line, which is the
+largest of all since later ids are smaller. Of known hashes only the number of documents is added,
+and nothing at all once they have enough documents to be removed. Both go into a run of the lowest
+level; a level of ``fanout`` runs is merged into one run of the next, so a hash is rewritten about
+log(batches) times and a batch meets few runs. The runs then name the lines to remove: those with
+enough documents, everywhere but in their holder.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from smeltery.llm.shared import decoded, id_or_lowest, slices, stored, text_bytes
+from smeltery.llm.shared import decoded, id_or_lowest, scratch, slices, stored, text_bytes
 
 BLANK = b" \t\n\x0b\x0c\r"
 KEY = ["hi", "lo"]
-RUN = ["hi", "lo", "n_docs", "holder", "fresh"]
+RUN = ["hi", "lo", "n_docs", "holder"]
+# A row's place: its document, and a hash of its text, as rows may share an id or have none.
+PLACE = ["doc", "part"]
 
 
 def line_key(line: bytes, min_chars: int) -> tuple[int, int] | None:
@@ -40,28 +44,37 @@ def line_key(line: bytes, min_chars: int) -> tuple[int, int] | None:
 
 
 def line_hashes(documents: DataFrame, min_chars: int) -> DataFrame:
-    """Distinct long lines of every row: ``doc``, ``hi``, ``lo``. Expects ``doc`` and ``text``."""
+    """Distinct long lines of every row: ``doc``, ``part``, ``hi``, ``lo``.
+
+    Expects ``doc``, ``part`` and ``text``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            docs, his, los = [], [], []
-            for doc, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
+        for rows in slices(batches):
+            docs, parts, his, los = [], [], [], []
+            for doc, part, text in zip(*(c.to_pylist() for c in rows.columns), strict=True):
                 for key in {line_key(line, min_chars) for line in text.split(b"\n")} - {None}:
                     docs.append(doc)
+                    parts.append(part)
                     his.append(key[0])
                     los.append(key[1])
-            columns = [pa.array(x, pa.int64()) for x in (docs, his, los)]
-            yield pa.record_batch(columns, names=["doc", *KEY])
+            columns = [pa.array(x, pa.int64()) for x in (docs, parts, his, los)]
+            yield pa.record_batch(columns, names=[*PLACE, *KEY])
 
-    rows = documents.select("doc", text_bytes("text"))
-    return rows.mapInArrow(run, "doc BIGINT, hi BIGINT, lo BIGINT")
+    rows = documents.select(*PLACE, text_bytes("text"))
+    return rows.mapInArrow(run, "doc BIGINT, part BIGINT, hi BIGINT, lo BIGINT")
 
 
 class LineRuns:
-    """The runs, as Parquet in the shared folder; only their names are held here."""
+    """The runs, as Parquet in the shared folder; only their names are held here.
+
+    Batches must come by descending id, and no id may be in two of them. A hash has its holder in
+    one row of all runs; its other rows add documents and have none.
+    """
 
-    def __init__(self, fanout: int = 2):
+    def __init__(self, fanout: int = 2, enough: int = 3):
         self.fanout = fanout
+        self.enough = enough
         self.levels: list[list[DataFrame]] = []
 
     def rows(self) -> DataFrame | None:
@@ -69,21 +82,20 @@ class LineRuns:
         return reduce(DataFrame.unionByName, runs) if runs else None
 
     def add(self, hashes: DataFrame) -> None:
-        """Take in the ``doc``, ``hi``, ``lo`` rows of documents not added before."""
+        """Take in the ``doc``, ``hi``, ``lo`` rows of the next batch."""
         once = hashes.select("doc", *KEY).distinct()
         own = once.groupBy(*KEY).agg(
             F.count(F.lit(1)).alias("n_docs"), F.max("doc").alias("holder")
         )
-        known = self.rows()
-        if known is None:
-            marked = own.withColumn("fresh", F.lit(True))
-        else:
-            # Each hash is fresh in one run only, so the join repeats no row.
-            held = known.where("fresh").select(*KEY, F.lit(True).alias("held"))
-            marked = own.join(held.hint("merge"), KEY, "left").withColumn(
-                "fresh", F.col("held").isNull()
+        held = self.rows()
+        if held is not None:
+            known = held.groupBy(*KEY).agg(F.sum("n_docs").alias("before"))
+            met = own.join(known.hint("merge"), KEY, "left")
+            new = F.col("before").isNull()
+            own = met.where(new | (F.col("before") < self.enough)).withColumn(
+                "holder", F.when(new, F.col("holder"))
             )
-        self._place(marked, 0)
+        self._place(own, 0)
 
     def _place(self, run: DataFrame, level: int) -> None:
         if level == len(self.levels):
@@ -99,28 +111,41 @@ class LineRuns:
     @staticmethod
     def merged(runs: list[DataFrame]) -> DataFrame:
         rows = reduce(DataFrame.unionByName, runs)
+        # At most one row of a hash has a holder.
         return rows.groupBy(*KEY).agg(
-            F.sum("n_docs").alias("n_docs"),
-            F.max("holder").alias("holder"),
-            F.bool_or("fresh").alias("fresh"),
+            F.sum("n_docs").alias("n_docs"), F.any_value("holder", True).alias("holder")
         )
 
-    def totals(self) -> DataFrame:
-        """Every hash with its number of documents and the largest id holding it."""
-        return self.merged([run for level in self.levels for run in level])
+    def shared(self) -> DataFrame:
+        """The hashes with enough documents, and the largest id holding each."""
+        totals = self.merged([run for level in self.levels for run in level])
+        return totals.where(F.col("n_docs") >= self.enough).select(*KEY, "holder")
+
 
+def descending_batches(documents: DataFrame, batches: int) -> Column:
+    """The number of a row's batch by ``doc``, 0 for the largest ids; a document is in one batch.
 
-def repeated_lines(hashes: DataFrame, min_docs: int, batches: int, fanout: int) -> DataFrame:
-    """For each document that loses lines, their hashes: ``doc``, ``drop``."""
-    runs = LineRuns(fanout)
+    Limits are approximate quantiles of the ids, so batches are about equal unless an id is frequent.
+    """
+    shares = [i / batches for i in range(1, batches)]
+    limits = sorted(set(documents.approxQuantile("doc", shares, 0.01))) if shares else []
+    # Quantiles come as doubles; any limits do, as long as they cut between ids.
+    above = [F.when(F.col("doc") <= F.lit(int(limit)), 1).otherwise(0) for limit in limits]
+    return reduce(Column.__add__, above, F.lit(0))
+
+
+def repeated_lines(
+    hashes: Callable[[int], DataFrame], min_docs: int, batches: int, fanout: int
+) -> DataFrame:
+    """The hashes of lines to remove, with the document that keeps them: ``hi``, ``lo``, ``holder``.
+
+    ``hashes`` gives the rows of a batch by its number.
+    """
+    runs = LineRuns(fanout, min_docs)
     for i in range(batches):
-        runs.add(hashes.where(F.pmod(F.xxhash64("doc"), F.lit(batches)) == i))
-    shared = runs.totals().where(F.col("n_docs") >= min_docs).select(*KEY, "holder")
-    # Stored, so that the join has a shuffle of its own, which Spark splits where a line is frequent.
-    held = stored(shared, "shared").hint("merge")
-    lost = hashes.join(held, KEY).where(F.col("doc") != F.col("holder"))
-    # At most the lines of one document.
-    return lost.groupBy("doc").agg(F.collect_set(F.struct(*KEY)).alias("drop"))
+        runs.add(hashes(i))
+    # Stored, so that joins with it have a shuffle of their own, which Spark splits where a line is frequent.
+    return stored(runs.shared(), "shared")
 
 
 def dedup_lines(
@@ -147,11 +172,19 @@ def dedup_lines(
     given = documents.select(
         F.struct(*others).alias("row"),
         id_or_lowest(f"`{doc_id}`").alias("doc"),
+        F.xxhash64(F.col(f"`{text}`")).alias("part"),
         F.col(f"`{text}`").alias("text"),
     )
-    hashes = stored(line_hashes(given, min_chars), "lines")
-    lost = repeated_lines(hashes, min_docs, batches, fanout)
-    rows = given.join(lost, "doc", "left").select("row", text_bytes("text").alias("text"), "drop")
+    spark, path = documents.sparkSession, scratch(documents.sparkSession, "lines")
+    batch = descending_batches(given.select("doc"), batches)
+    found = line_hashes(given, min_chars).withColumn("batch", batch)
+    found.write.partitionBy("batch").parquet(path)
+    hashes = spark.read.schema(found.schema).parquet(path)
+    shared = repeated_lines(lambda i: hashes.where(F.col("batch") == i), min_docs, batches, fanout)
+    lost = hashes.join(shared.hint("merge"), KEY).where(F.col("doc") != F.col("holder"))
+    # At most the lines of one text.
+    drops = lost.groupBy(*PLACE).agg(F.collect_set(F.struct(*KEY)).alias("drop"))
+    rows = given.join(drops, PLACE, "left").select("row", text_bytes("text").alias("text"), "drop")
 
     def rebuild(text: bytes, drop: list[dict] | None) -> tuple[bytes, int, int]:
         lines = text.split(b"\n")

@@ -259,6 +259,64 @@ def test_line_dedup_is_that_of_brute_force(spark, documents, odd):
     assert line_dedup.without_shared_lines(clash).columns == clash.columns
 
 
+LINE = "a line that is long enough to count"
+
+
+def _runs(spark, batches, enough=3, fanout=2):
+    runs = line_dedup.LineRuns(fanout, enough)
+    for rows in batches:
+        runs.add(spark.createDataFrame(rows, "doc long, hi long, lo long"))
+    return runs
+
+
+def test_known_hashes_enter_no_run_with_a_holder(spark):
+    """Batches by descending id: the first names the holder, later ones count, then nothing."""
+    batches = [[(9, 1, 1), (8, 2, 2)], [(7, 1, 1), (6, 2, 2), (6, 1, 1)], [(5, 1, 1), (4, 3, 3)], [(3, 2, 2)]]
+    runs = _runs(spark, batches, fanout=9)
+    stored = [sorted(map(tuple, run.collect()), key=repr) for run in runs.levels[0]]
+    assert stored == [
+        [(1, 1, 1, 9), (2, 2, 1, 8)],
+        [(1, 1, 2, None), (2, 2, 1, None)],
+        [(3, 3, 1, 4)],  # the line of 9, 7 and 6 has enough documents: 5 adds nothing
+        [(2, 2, 1, None)],
+    ]
+    want = [(1, 1, 9), (2, 2, 8)]
+    for fanout in (2, 3, 9):
+        assert sorted(map(tuple, _runs(spark, batches, fanout=fanout).shared().collect())) == want
+
+
+def test_without_the_join_holders_are_not_found(spark, monkeypatch):
+    batches = [[(9, 1, 1)], [(7, 1, 1)], [(6, 1, 1)]]
+    monkeypatch.setattr(line_dedup.LineRuns, "rows", lambda self: None)
+    runs = _runs(spark, batches, fanout=9)
+    held = [r["holder"] for run in runs.levels[0] for r in run.collect()]
+    assert held == [9, 7, 6]  # three holders in place of one
+
+
+@pytest.mark.parametrize("ids", ["none", "one", "same text"])
+def test_ten_thousand_rows_of_one_document(spark, ids):
+    """Rows without id, or of one, are one document, but each is rebuilt by its own lines."""
+    of = F.lit(None).cast("long") if ids == "none" else F.lit(7).cast("long")
+    own = F.lit("0") if ids == "same text" else F.col("id").cast("string")
+    many = spark.range(10_000).select(of.alias("doc_id"), F.concat(F.lit(LINE + "\nmy own line, of number "), own).alias("text"))
+    more = spark.createDataFrame([(i, f"{LINE}\nx") for i in (20, 21, 22)], "doc_id long, text string")
+    rows = [tuple(r) for r in many.unionByName(more).collect()]
+    got = line_dedup.dedup_lines(many.unionByName(more)).collect()
+    assert sorted((repr(r["row"]["doc_id"]), r["n_lines"], r["n_dropped"], r["text"]) for r in got) == _without_shared(rows)
+
+
+def test_batches_hold_whole_documents_by_descending_id(spark):
+    ids = [*range(100)] * 2 + [50] * 300 + [-(1 << 63)] * 20 + [(1 << 60) + i for i in range(9)]
+    df = spark.createDataFrame([(i,) for i in ids], "doc long")
+    for n in (1, 4, 7):
+        numbered = df.withColumn("batch", line_dedup.descending_batches(df, n)).distinct().collect()
+        order = sorted((-r["doc"], r["batch"]) for r in numbered)
+        assert [b for _, b in order] == sorted(b for _, b in order) and order[-1][1] < n
+        assert len(numbered) == len(set(ids))
+    empty = spark.createDataFrame([], "doc long")
+    assert empty.withColumn("batch", line_dedup.descending_batches(empty, 4)).count() == 0
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style></head><body class="has-sidebar">
 <header><a href="/">Home</a></header><nav><ul><li>One<li>Two</ul></nav><div class="ad">Buy now, it is cheap.</div>
 {open}<h1>A  title &amp; more</h1><p>First&nbsp;line<br>goes on.<p>Short.</p><form>Name <input></form>
