@@ -32,6 +32,7 @@ from smeltery.llm.shared import stored
 # Bits of a hash string; the first ones are fitted, and counted per prefix by the driver.
 BITS = 48
 COUNTED = 14
+EPSILON = float(np.finfo(np.float64).eps)
 # Rows the hyperplanes are fitted on, fewest of them at a fitted node, and probe queries.
 SAMPLE = 16_384
 LEAST = 64
@@ -448,6 +449,7 @@ def candidates(
         index = np.flatnonzero(length < 0)
         index = index[np.lexsort((cid[index], code[index]))]
         sorted_codes, matrix, owners = code[index], vecs[index], cid[index]
+        longest = np.sqrt(np.einsum("ij,ij->i", matrix, matrix).max(initial=0.0))
         qids, cids, scores = [], [], []
         for q in np.flatnonzero(length >= 0):
             x = int(length[q])
@@ -460,16 +462,18 @@ def candidates(
                 low, high, x = a, b, x + 1
             if high == low:
                 continue
-            score = matrix[low:high] @ vecs[q]
-            if len(score) > k + 1:
-                limit = np.partition(score, -(k + 1))[-(k + 1)]
-                near = np.flatnonzero(score >= limit)
-                near = near[np.lexsort((owners[low + near], -score[near]))][: k + 1]
-            else:
-                near = np.arange(len(score))
-            qids.append(np.full(len(near), cid[q]))
-            cids.append(owners[low + near])
-            scores.append(score[near])
+            # The last bits of a block's products depend on where a row stands in it; those that may
+            # be nearest are computed row by row, alike in every block.
+            rough = matrix[low:high] @ vecs[q]
+            near = np.arange(len(rough))
+            if len(rough) > k + 1:
+                slack = 4 * dim * EPSILON * longest * np.sqrt(vecs[q] @ vecs[q])
+                near = np.flatnonzero(rough >= np.partition(rough, -(k + 1))[-(k + 1)] - slack)
+            score = row_products(matrix[low + near], vecs[q])
+            first = np.lexsort((owners[low + near], -score))[: k + 1]
+            qids.append(np.full(len(first), cid[q]))
+            cids.append(owners[low + near[first]])
+            scores.append(score[first])
         join = lambda parts, kind: np.concatenate(parts) if parts else np.array([], kind)
         return pa.table(
             {
@@ -485,6 +489,11 @@ def candidates(
     return near.groupBy("qid", "cid").agg(F.max("score").alias("score"))
 
 
+def row_products(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """Inner products whose bits depend on the two vectors alone, not on the rows beside them."""
+    return np.ascontiguousarray(matrix * vector).sum(axis=1)
+
+
 def _span(codes: np.ndarray, code: int, length: int) -> tuple[int, int]:
     """Where the rows that share the first ``length`` bits stand in the sorted array."""
     free = BITS - length

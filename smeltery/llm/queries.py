@@ -272,7 +272,7 @@ def op6_sql() -> str:
     return f"""
 WITH given AS (
   SELECT row_number() OVER () AS uid, doc_id, coalesce(text, '') AS t,
-    CASE WHEN lang IN ({langs}) THEN lang ELSE 'other' END AS lang
+    CASE WHEN trim(lang) <> '' THEN lang END AS lang
   FROM documents
 ), cut AS (
   SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws,
@@ -295,22 +295,26 @@ WITH given AS (
     CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
     coalesce(n_repeat_words, 0) AS n_repeat_words,
     {', '.join(f'{count(p)} AS c{i}' for i, p in enumerate(classes))},
-    {', '.join(f"CASE WHEN lang = 'other' THEN 0 ELSE len(list_filter(ws, lambda w: lower(w) = {w})) END AS w{i}" for i, w in enumerate(word))}
+    {', '.join(f"CASE WHEN lang IN ({langs}) THEN len(list_filter(ws, lambda w: lower(w) = {w})) ELSE 0 END AS w{i}" for i, w in enumerate(word))}
   FROM cut LEFT JOIN covered ON cut.uid = covered.uid
 ), shared AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {', '.join(shares)}
   FROM counted
 ), middles AS (
-  SELECT lang, {medians} FROM shared
+  SELECT lang, count(*) AS documents, {medians} FROM shared
   WHERE NOT base_failed AND n_chars >= 200 AND n_words >= 100 GROUP BY lang
 ), refs AS (
   SELECT lang AS ref_lang, {references} FROM middles
+  WHERE lang IN ({langs}) OR documents >= {divergence.LEAST}
+), nearest AS (
+  SELECT uid, min({apart(by_class)}) AS d FROM shared, refs WHERE lang IS NULL GROUP BY uid
 ), judged AS (
-  SELECT *,
-    CASE WHEN n_chars >= 200 AND ref_lang IS NOT NULL THEN {apart(by_class)} ELSE 0 END AS by_class,
-    CASE WHEN n_words >= 100 AND lang <> 'other' AND ref_lang IS NOT NULL
+  SELECT shared.*,
+    CASE WHEN n_chars < 200 THEN 0 WHEN lang IS NULL THEN coalesce(d, 0)
+      WHEN ref_lang IS NULL THEN 0 ELSE {apart(by_class)} END AS by_class,
+    CASE WHEN n_words >= 100 AND lang IN ({langs}) AND ref_lang IS NOT NULL
       THEN {apart(by_word)} ELSE 0 END AS by_word
-  FROM shared LEFT JOIN refs ON lang = ref_lang
+  FROM shared LEFT JOIN refs ON lang = ref_lang LEFT JOIN nearest ON shared.uid = nearest.uid
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND by_class <= 0.15 AND by_word <= 0.25 AS kept

@@ -202,7 +202,8 @@ def test_sql_gives_the_same(spark, folder, odd_documents, name, odd):
     left = Counter(tuple(str(r[c]) for c in columns) for r in ours.collect())
     right = Counter(tuple(str(r[c]) for c in columns) for r in theirs.to_pylist())
     assert columns == sorted(theirs.column_names)
-    assert (set(left) == set(right)) if odd else (left == right)
+    # Rows of one id were made one for the SQL of op10 only.
+    assert (set(left) == set(right)) if odd and name == "op10_line_dedup" else (left == right)
 
 
 def test_odd_language_histograms_are_guarded(odd_documents):
@@ -212,15 +213,37 @@ def test_odd_language_histograms_are_guarded(odd_documents):
     assert got[4]["n_dup_lines"] == 1
 
 
-def test_languages_are_judged_by_their_own_characters(spark):
+def _many_languages(spark):
     plain = [" ".join(f"{w}{i} {w}" for i in range(60, 130)) + "." for w in ("some", "word")]
     script = " ".join(f"\u0645\u0646{chr(0x628 + i % 20)}\u0648{chr(0x628 + i // 20)}" for i in range(150))
     noise = " ".join(f"#*$%&{i}" for i in range(200))
     rows = [(i, plain[i % 2], "xx") for i in range(60)] + [(100 + i, script, "ar") for i in range(30)]
     rows += [(200, noise, "xx"), (201, noise, "ar"), (202, noise, None), (203, noise, " ")]
     rows += [(300 + i, plain[i % 2], None) for i in range(30)] + [(400, script, None), (401, script, "few")]
-    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    got = {r["doc_id"]: r for r in divergence.judge(table).collect()}
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+@pytest.mark.parametrize("known", ["some", "few only"])
+def test_sql_of_divergence_takes_languages_as_stated(spark, folder, known):
+    """Unlisted, rare and missing languages, repeated rows, and no reference at all."""
+    table = _many_languages(spark)
+    if known == "few only":
+        table = table.where("doc_id >= 200 AND doc_id < 310 OR doc_id >= 400")
+    table = table.unionByName(table.where("doc_id % 100 < 3"))
+    table.coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    theirs = duck.sql(queries.oracle_sql()["op6_divergence"]).to_arrow_table()
+    ours = queries.queries()["op6_divergence"](spark, folder)
+    columns = sorted(ours.columns)
+    assert columns == sorted(theirs.column_names)
+    assert Counter(tuple(str(r[c]) for c in columns) for r in ours.collect()) == Counter(
+        tuple(str(r[c]) for c in columns) for r in theirs.to_pylist()
+    )
+
+
+def test_languages_are_judged_by_their_own_characters(spark):
+    got = {r["doc_id"]: r for r in divergence.judge(_many_languages(spark)).collect()}
     assert {i for i, r in got.items() if not r["kept"]} == {200, 201, 202, 203}
     assert got[401]["class_distance"] is None and got[100]["class_distance"] == pytest.approx(0, abs=1e-3)
     assert not any(r["base_failed"] for r in got.values())
@@ -333,3 +356,12 @@ def test_pipeline_stage_by_stage(spark):
 def test_pipeline_is_registered(spark):
     assert driver.queries()["pipeline"] is corpus_pipeline.run
     assert [re.sub(r"\W", "", name) for name, _ in corpus_pipeline.STAGES]
+
+
+def test_products_do_not_depend_on_the_rows_beside_them():
+    draw = np.random.default_rng(5)
+    rows, vector = draw.normal(size=(300, 64)), draw.normal(size=64)
+    alone = [hash_forest.row_products(rows[i : i + 1], vector)[0] for i in range(300)]
+    for at in (0, 1, 7, 100):
+        assert hash_forest.row_products(rows[at:], vector).tolist() == alone[at:]
+        assert hash_forest.row_products(rows[at::3], vector).tolist() == alone[at::3]
