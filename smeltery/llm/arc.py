@@ -360,11 +360,12 @@ def warc_record(fields: list[tuple[str, object]], block: bytes) -> bytes:
 def converted(row: dict) -> bytes:
     """The WARC record of one ARC record; with ``keeper`` it revisits that page's response."""
     block, keeper = row["block"], row["keeper"]
-    http, head, payload = split_http(block)
+    head = split_http(block)[1]
     revisit = keeper is not None
     if revisit:
         block = head
-    kind = "revisit" if revisit else "response" if http or row["mime"] != "text/dns" else "resource"
+    # A response has the server's head; what came without one is the resource itself.
+    kind = "revisit" if revisit else "response" if head else "resource"
     payload_digest = labelled(bytes.fromhex(row["digest"]))
     content = "application/http; msgtype=response" if head else row["mime"]
     return warc_record(

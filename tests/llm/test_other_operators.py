@@ -67,6 +67,23 @@ def test_both_versions_are_parsed_in_any_pieces(version, piece):
         cut.close()
 
 
+@pytest.mark.parametrize(
+    ("block", "mime", "kind", "content"),
+    [
+        (b"HTTP/1.0 200 OK\r\nContent-Type: a/b\r\n\r\nx", "a/b", "response", "application/http; msgtype=response"),
+        (b"HTTP/1.0 200 OK\r\n\r\nx", "a/b", "response", "application/http; msgtype=response"),
+        (b"<html>without a head</html>", "text/html", "resource", "text/html"),
+        (b"20240101 1.2.3.4", "text/dns", "resource", "text/dns"),
+        (b"", "no-type", "resource", "no-type"),
+    ],
+)
+def test_only_records_with_a_servers_head_are_responses(block, mime, kind, content):
+    row = {"block": block, "mime": mime, "keeper": None, "digest": hashlib.sha1(block).hexdigest(), "page_id": 1}
+    record = arc.converted(row | {"url": "u", "date": "2024-01-01T00:00:00Z", "ip": "1.2.3.4", "payload_bytes": 1})
+    fields = dict(line.split(": ", 1) for line in record.decode().split("\r\n\r\n")[0].split("\r\n")[1:])
+    assert (fields["WARC-Type"], fields["Content-Type"]) == (kind, content)
+
+
 # --- neighbours
 
 
