@@ -3,8 +3,13 @@
 Markup is stripped to lines, one per block of the page. A line's length counts the text outside
 links. Lines of menus, headers, footers, sidebars, notices, adverts, forms and reader comments are
 blank lines, as are lines outside the page's article where it marks one that holds the largest block
-of text. Over all lines, the lengths in a window of a few lines are summed. Text starts where that sum surges past a threshold and ends
-where it dives to nothing; every line between is kept, short ones too.
+of text. Over all lines, the lengths in a window of a few lines are summed. Text starts where that
+sum surges past a threshold and ends where it dives to nothing. The threshold is half the length of
+the lines that hold half of the page's text, and at most ``SURGE``. Within a surge the lines that
+reach the threshold themselves are its core, and every line between the first and the last of them
+is kept, short ones too. Short lines before and after the core are kept from the first to the last
+that stands in the same part of the page as a line of the core; an advert or footer that merely
+touches the text is not. A line that repeats the page's title counts as one of ``SURGE`` characters.
 """
 
 from __future__ import annotations
@@ -34,6 +39,10 @@ BLOCKS = frozenset(
     "main menu nav noscript ol option p pre section select summary table tbody td template tfoot "
     "th thead tr ul".split()
 )
+# Blocks that are a line or an item of text, not a part of a page.
+ITEMS = frozenset(
+    "body caption center dd dt figcaption h1 h2 h3 h4 h5 h6 html legend li option p pre summary td th tr".split()
+)
 # Elements, roles and words of class or id that mark what is not the article.
 DROPPED = frozenset(
     "head nav header footer aside form script style noscript template select option button "
@@ -78,12 +87,25 @@ class Hint:
     shown: bool = False
 
 
+@dataclass(frozen=True, eq=False)
+class Part:
+    """An element that holds blocks, with the one around it; alike parts are siblings of one tag."""
+
+    tag: str
+    around: Part | None
+
+    def alike(self) -> tuple[int, str]:
+        return id(self.around), self.tag
+
+
 @dataclass
 class Line:
     text: str
     length: int  # characters outside links
     dropped: bool
     in_article: bool
+    part: Part | None = None  # None: directly in the body
+    headline: bool = False  # says what the page's title says
 
 
 @dataclass
@@ -93,6 +115,7 @@ class _Element:
     hides: bool  # by name or role
     hint: Hint | None
     article: bool
+    part: Part | None  # the innermost part at its content
 
 
 class _Page:
@@ -101,11 +124,16 @@ class _Page:
     def __init__(self, page: str) -> None:
         self.page = page
         self.read: list[tuple[Line, list[Hint]]] = []
+        self.title = ""
         self.open: list[_Element] = []
         self.hidden = self.articles = self.links = 0
         self.text: list[str] = []
         self.linked: list[str] = []
 
+    @property
+    def part(self) -> Part | None:
+        return self.open[-1].part if self.open else None
+
     def add(self, text: str) -> None:
         self.text.append(text)
         if self.links:
@@ -118,7 +146,8 @@ class _Page:
             # A closed article's hidden state is that of the elements open now, as blocks flush
             # before an element opens or closes.
             inside = any(e.article for e in self.open)
-            line = Line(whole, max(0, len(whole) - linked), self.hidden > 0, inside)
+            length = max(0, len(whole) - linked)
+            line = Line(whole, length, self.hidden > 0, inside, self.part)
             self.read.append((line, [e.hint for e in self.open if e.hint]))
         self.text, self.linked = [], []
 
@@ -142,7 +171,10 @@ class _Page:
         article = name in ("article", "main")
         hides = self._hides(name, rest)
         hint = None if hides else self._hint(name, rest)
-        self.open.append(_Element(name, at, hides, hint, article))
+        part = self.part
+        if name in BLOCKS and name not in ITEMS:
+            part = Part(f"{name} {rest.strip()}", part)
+        self.open.append(_Element(name, at, hides, hint, article, part))
         self.hidden += hides
         self.articles += article and not hides and not hint
         self.links += name == "a"
@@ -248,6 +280,7 @@ class _Page:
                 hint.shown |= not hint.foreign
         for line, hints in kept:
             line.dropped = not all(hint.shown for hint in hints)
+            line.headline = line.length > 0 and line.text == self.title
         return [line for line, _ in self.read]
 
     def _close_within(self, name: str, limits: frozenset[str] | set[str]) -> None:
@@ -301,7 +334,10 @@ def page_lines(page: str) -> list[Line]:
         elif name in RAW:
             if name in BLOCKS:
                 read.flush()
-            at = _raw_end(page, name, at)
+            end = _raw_end(page, name, at)
+            if name == "title" and not read.title:
+                read.title = " ".join(html.unescape(page[at:end].rpartition("</")[0]).split())
+            at = end
         else:
             read.start(name, found["rest"], found.start())
     if at < len(page):
@@ -310,24 +346,33 @@ def page_lines(page: str) -> list[Line]:
     return read.lines()
 
 
-def surges(lengths: list[int], window: int, surge: int) -> list[tuple[int, int]]:
-    """First line and the one after the last, of each surge of the window sums up to its dive."""
+def threshold(lengths: list[int], surge: int) -> int:
+    """Half the length of the lines that hold half of the text, at most ``surge``, at least 1."""
+    left = sum(lengths) / 2
+    for length in sorted(lengths, reverse=True):
+        left -= length
+        if left <= 0:
+            return max(1, min(surge, length // 2))
+    return 1
+
+
+def surges(lengths: list[int], window: int, level: int) -> list[tuple[int, int]]:
+    """First line and the one after the last, of each surge of the window sums up to its dive.
+
+    A surge begins with the first line that isn't blank of a window that sums up to ``level`` or
+    more, or with the text that runs into it without a blank line, and ends before a blank window.
+    """
     sums = [sum(lengths[i : i + window]) for i in range(len(lengths))]
-    # A page of little text surges at its largest window.
-    level = min(surge, max(sums, default=0) - 1)
     found, i = [], 0
     while i < len(sums):
-        if sums[i] <= level or sums[i] == 0:
+        if sums[i] < level:
             i += 1
             continue
-        end = i
+        first = end = i
         while end < len(sums) and sums[end] > 0:
             end += 1
-        first = i
-        # The surge's window may begin with blank lines.
         while lengths[first] == 0:
             first += 1
-        # Text before the surge that runs into it belongs to it.
         while first > 0 and lengths[first - 1] > 0:
             first -= 1
         found.append((first, end))
@@ -335,7 +380,51 @@ def surges(lengths: list[int], window: int, surge: int) -> list[tuple[int, int]]
     return found
 
 
-def largest_block(lines: list[Line], in_article: bool, window: int, surge: int) -> int:
+def bounds(
+    lines: list[Line | None], lengths: list[int], first: int, end: int, window: int, level: int
+) -> tuple[int, int]:
+    """The lines of a surge that are kept, first and one after the last; ``None`` is a blank line.
+
+    All between its first and last line of ``level`` and more, or of the surge where no line is so
+    long. Beyond these, all up to the farthest line in the surge, or among fewer than ``window``
+    lines of links beside it, that stands in a part of the page that directly holds one of those
+    long lines, in a part within it or in a sibling of the same tag.
+    """
+    core = [i for i in range(first, end) if lengths[i] >= level]
+    if not core:
+        return first, end
+    parts = {line.part for i in core if (line := lines[i])}
+    alike = {part.alike() for part in parts if part}
+
+    def joins(line: Line | None) -> bool:
+        if line is None:
+            return False
+        part = line.part
+        if part in parts:
+            return True
+        while part is not None:
+            if part in parts or part.alike() in alike:
+                return True
+            part = part.around
+        return False
+
+    low, high = first, end
+    while low > 0 and lines[low - 1] and lengths[low - 1] == 0:
+        low -= 1
+    while high < len(lines) and lines[high] and lengths[high] == 0:
+        high += 1
+    low = low if first - low < window else first
+    high = high if high - end < window else end
+    start = next((i for i in range(low, core[0]) if joins(lines[i])), core[0])
+    stop = next((i for i in range(high - 1, core[-1], -1) if joins(lines[i])), core[-1])
+    return start, stop + 1
+
+
+def _lengths(lines: list[Line | None], surge: int) -> list[int]:
+    return [max(x.length, surge * x.headline) if x else 0 for x in lines]
+
+
+def largest_block(lines: list[Line], in_article: bool, window: int, level: int) -> int:
     """Characters of the largest block inside the page's articles, or outside them."""
     lengths: list[int] = []
     for line in lines:
@@ -346,27 +435,34 @@ def largest_block(lines: list[Line], in_article: bool, window: int, surge: int)
             lengths.append(line.length)
         elif lengths and lengths[-1]:
             lengths.append(0)
-    return max((sum(lengths[a:b]) for a, b in surges(lengths, window, surge)), default=0)
+    return max((sum(lengths[a:b]) for a, b in surges(lengths, window, level)), default=0)
 
 
 def kept_lines(lines: list[Line], window: int = WINDOW, surge: int = SURGE) -> list[str]:
     """The lines between each surge of the window sums and the dive that follows it."""
     marked = any(line.in_article and not line.dropped for line in lines)
+    level = threshold(_lengths([x for x in lines if not x.dropped], surge), surge)
     # A marked article that does not hold the largest block is a teaser, not the page's story.
-    marked = marked and largest_block(lines, True, window, surge) >= largest_block(
-        lines, False, window, surge
+    marked = marked and largest_block(lines, True, window, level) >= largest_block(
+        lines, False, window, level
     )
-    lengths: list[int] = []
-    texts: list[str | None] = []
+    read: list[Line | None] = []
     for line in lines:
         outside = line.dropped or marked and not line.in_article
-        if outside and texts and texts[-1] is None:
+        if outside and read and read[-1] is None:
             continue  # a run of lines that are not the article's is one blank line
-        # Inside a marked article a line of links alone is text as well.
-        length = 0 if outside else max(line.length, 1) if marked else line.length
-        lengths.append(length)
-        texts.append(None if outside else line.text)
-    return [t for a, b in surges(lengths, window, surge) for t in texts[a:b] if t]
+        read.append(None if outside else line)
+    lengths = _lengths(read, surge)
+    if marked and not any(lengths):
+        lengths = [1 if line else 0 for line in read]  # an article of nothing but links
+    level = threshold(lengths, surge)
+    kept: list[str] = []
+    done = 0
+    for first, end in surges(lengths, window, level):
+        a, b = bounds(read, lengths, first, end, window, level)
+        kept += [line.text for line in read[max(a, done) : b] if line]
+        done = max(done, b)
+    return kept
 
 
 def main_text(page: str) -> str:

@@ -4,12 +4,15 @@ import hashlib
 import random
 import re
 import string
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -400,6 +403,79 @@ def test_the_window_sums_decide_in_a_marked_article_too():
     assert [line[:4] for line in got.split("\n")] == ["Near", "long", "End."]
 
 
+def _surges_by_definition(lengths, window, level):
+    """Stretches by their definition: line by line, each with the sums of all windows it begins."""
+    n = len(lengths)
+    sums = [sum(lengths[i : min(n, i + window)]) for i in range(n)]
+    found, last = [], 0
+    for i in range(n):
+        if i < last or sums[i] < level:
+            continue
+        last = next((j for j in range(i, n) if sums[j] == 0), n)
+        first = next(j for j in range(i, n) if lengths[j])
+        first = next((j + 1 for j in range(first - 1, -1, -1) if not lengths[j]), 0)
+        found.append((first, last))
+    return found
+
+
+@settings(deadline=None, max_examples=300)
+@given(
+    st.lists(st.sampled_from([0, 0, 0, 1, 5, 30, 90, 400]), max_size=40),
+    st.integers(1, 5),
+    st.sampled_from([1, 10, 80]),
+)
+def test_surges_and_threshold_by_definition(lengths, window, surge):
+    level = line_blocks.threshold(lengths, surge)
+    total = sum(lengths)
+    middle = [x for x in sorted(set(lengths)) if 2 * sum(y for y in lengths if y >= x) >= total]
+    assert level == (max(1, min(surge, middle[-1] // 2)) if middle else 1)
+    assert line_blocks.surges(lengths, window, level) == _surges_by_definition(lengths, window, level)
+
+
+@pytest.mark.parametrize("tag", ["div", "section", "p", "span", "td"])
+def test_clutter_that_no_list_names(tag):
+    """Neither tags nor names tell: the lengths and the part of the page do."""
+    story = "<h1>On rivers</h1><p>In brief.</p>" + "<p>" + "The river runs on and on. " * 8 + "</p>" + "<p>It ends.</p>"
+    before, after = f"<div class=x1><{tag}>Half price today</{tag}></div>", f"<div class=x2><{tag}>Made by us</{tag}></div>"
+    for page in (f"{before}<div class=x3>{story}</div>{after}", f"{before}{story}{after}"):
+        got = line_blocks.main_text(f"<body>{page}</body>").split("\n")
+        assert [line[:8] for line in got] == ["On river", "In brief", "The rive", "It ends."]
+
+
+def test_the_pages_title_starts_the_text():
+    page = "<title>Ice  &amp; snow</title><div class=x>Half price today</div><div><h1>Ice &amp; snow</h1><p>Cold.</p></div>"
+    assert line_blocks.main_text(page) == "Ice & snow\nCold."
+
+
+def test_links_alone_dive_within_an_article():
+    links = [f"<p><a href=x>Read this as well {i}</a></p>" for i in range(3)]
+    story = "<p>" + "The story goes on. " * 9 + "</p>"
+    some, many = "".join(links[:2]), "".join(links)
+    got = line_blocks.main_text(f"<article>{story}{some}{story}{some}</article>")
+    assert got.count("Read this") == 4
+    got = line_blocks.main_text(f"<article>{story}{story}{many}<p>Fin</p></article>")
+    assert "Read this" not in got and "Fin" not in got and got.count("goes on") == 18
+    assert line_blocks.main_text(f"<article>{some}</article>").count("Read this") == 2
+
+
+def test_most_clutter_goes_without_lists_and_marks_and_no_line_of_an_article(monkeypatch):
+    pages = [r["html"] or "" for r in pq.read_table("/root/testdata/sf0.01/pages.parquet").to_pylist()]
+    article = [[x.text for x in line_blocks.page_lines(p) if x.in_article and not x.dropped] for p in pages]
+    monkeypatch.setattr(line_blocks, "DROPPED", frozenset(["head", "script", "style", "title"]))
+    for name in ("ROLES", "HINTS", "FOREIGN"):
+        monkeypatch.setattr(line_blocks, name, frozenset())
+    lost = foreign = kept = 0
+    for page, want in zip(pages, map(Counter, article), strict=True):
+        lines = line_blocks.page_lines(page)
+        for line in lines:
+            line.in_article = False
+        got = Counter(line_blocks.kept_lines(lines))
+        lost += (want - got).total()
+        foreign += (got - want).total()
+        kept += got.total()
+    assert lost == 0 and foreign < 0.125 * kept
+
+
 def test_pages_of_any_kind_give_a_row(spark):
     rows = [(1, "u", None), (None, None, "<p>x"), (2, "u", "<p>y"), (2, "u", "<p>y"), (3, "u", "<p>z " * 50_000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1))
