@@ -1,12 +1,13 @@
 """Quality rules by distribution divergence, in DataFrame functions only.
 
 Two histograms of a document are compared with those of its language: the shares of character
-classes, and the shares of the language's most common words beside all others. A language's
-reference is the median share of each bin over all its documents that pass the base rules and are
-long enough, so every document counts alike and a minority of odd ones doesn't move it. The measure is the Jensen-Shannon distance
-(square root of the divergence, logarithms to base 2): 0 for equal histograms, 1 for disjoint ones.
-Documents too short for a histogram are not judged by it. Languages are taken as stated; only four
-have a list of common words.
+classes, and the shares of the language's common words beside all others. A language's common words
+are the ``COMMON`` words found in most of its documents, counted over all of them, and at least in
+half. Its reference is the median share of each bin over all its documents that pass the base rules
+and are long enough, so every document counts alike and a minority of odd ones doesn't move it. The
+measure is the Jensen-Shannon distance (square root of the divergence, logarithms to base 2): 0 for
+equal histograms, 1 for disjoint ones. Documents too short for a histogram are not judged by it.
+Languages are taken as stated, and have a reference from ``LEAST`` documents on.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smeltery.llm.shared import SPACE, WORD, stored
@@ -28,16 +29,13 @@ CLASSES = {
     "bang": r"[!]",
     "symbol": r"[#*$%&|<>@_=+~^/\\\[\]{}]",
 }
-# Eight very common words of each language.
-COMMON = {
-    "en": ("the", "of", "and", "to", "in", "is", "that", "for"),
-    "de": ("der", "die", "und", "in", "den", "von", "zu", "das"),
-    "es": ("de", "la", "que", "el", "en", "y", "los", "del"),
-    "fr": ("de", "la", "le", "et", "les", "des", "en", "un"),
-}
+# Most words that are a language's common words.
+COMMON = 16
 STEPS = 10_000
-# Fewest documents that make a reference for a language without a list of common words.
+# Fewest documents that make a reference for a language.
 LEAST = 20
+# Documents without language are dealt over so many keys to meet the references.
+SALTS = 64
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -111,6 +109,36 @@ def distance(p: list[Column], q: list[Column]) -> Column:
     return F.sqrt(F.greatest(total / 2, F.lit(0.0)))
 
 
+def common_words(rows: DataFrame) -> DataFrame:
+    """``lang`` and its ``common`` words, lower-cased, those found in most documents first.
+
+    Per language the word counts of the tasks are ranked where they are added up, so no task meets
+    more than a few words of a language.
+    """
+    found = F.array_distinct(F.transform(words(F.col("text")), F.lower))
+    # No word is empty: the empty one counts the language's documents, and ranks first.
+    counted = (
+        rows.where("lang IS NOT NULL")
+        .select("lang", F.explode(F.concat(F.array(F.lit("")), found)).alias("word"))
+        .groupBy("lang", "word")
+        .agg(F.count(F.lit(1)).alias("documents"))
+    )
+    order = Window.partitionBy("lang").orderBy(F.desc("documents"), "word")
+    ranked = counted.withColumn("rank", F.row_number().over(order)).where(
+        F.col("rank") <= COMMON + 1
+    )
+    listed = ranked.groupBy("lang").agg(
+        F.max("documents").alias("documents"),
+        F.sort_array(F.collect_list(F.struct("rank", "word", "documents"))).alias("ranked"),
+    )
+    often = F.filter(
+        "ranked", lambda w: (w["word"] != "") & (2 * w["documents"] >= F.col("documents"))
+    )
+    return listed.where(F.col("documents") >= LEAST).select(
+        "lang", F.transform(often, lambda w: w["word"]).alias("common")
+    )
+
+
 def text_measures(documents: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
     """Counts of every document: those of the base rules, of character classes, of common words."""
     stated = F.col(lang).cast("string")
@@ -119,24 +147,18 @@ def text_measures(documents: DataFrame, doc_id: str, text: str, lang: str) -> Da
         F.when(F.trim(stated) != "", stated).alias("lang"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
+    # One row per language; Spark sees from the stored size whether to broadcast it.
+    rows = rows.join(stored(common_words(rows), "common"), "lang", "left")
     lines = F.filter(F.split("text", "\n", -1), lambda line: line.rlike(WORD))
     spaces = F.regexp_count("text", F.lit(SPACE))
-    # Blanks around every word, two between, so that neighbours are both found.
-    padded = F.concat(F.lit(" "), F.array_join(F.transform("ws", F.lower), "  "), F.lit(" "))
 
-    def common(i: int) -> Column:
-        of = F.coalesce(
-            *[F.when(F.col("lang") == k, F.lit(f" {ws[i]} ")) for k, ws in COMMON.items()],
-            F.lit(" "),
-        )
-        left = F.octet_length(F.replace(F.col("padded"), of))
-        found = (F.octet_length("padded") - left) / F.octet_length(of)
-        return F.when(F.col("lang").isin(*COMMON), found.cast("bigint")).otherwise(F.lit(0))
+    def commons(ws: Column) -> Column:
+        known = F.filter(F.transform(ws, F.lower), lambda w: F.array_contains("common", w))
+        return _let(known, lambda ks: F.transform("common", lambda c: F.size(F.filter(ks, lambda k: k == c))))
 
-    size = len(next(iter(COMMON.values())))
     return (
         rows.withColumn("ws", words(F.col("text")))
-        .withColumn("padded", padded)
+        .withColumn("counts", commons(F.col("ws")))
         .select(
             "doc_id",
             "lang",
@@ -152,7 +174,11 @@ def text_measures(documents: DataFrame, doc_id: str, text: str, lang: str) -> Da
                 F.regexp_count("text", F.lit(pattern)).alias(f"class_{i}")
                 for i, pattern in enumerate(CLASSES.values())
             ],
-            *[common(i).alias(f"common_{i}") for i in range(size)],
+            (F.size("common") > 0).alias("listed"),
+            *[
+                F.coalesce(F.get("counts", F.lit(i)), F.lit(0)).alias(f"common_{i}")
+                for i in range(COMMON)
+            ],
         )
     )
 
@@ -160,7 +186,7 @@ def text_measures(documents: DataFrame, doc_id: str, text: str, lang: str) -> Da
 def judge(
     documents: DataFrame,
     max_class_distance: float = 0.15,
-    max_word_distance: float = 0.25,
+    max_word_distance: float = 0.28,
     min_chars: int = 200,
     min_words: int = 100,
     base_words: int = 50,
@@ -176,10 +202,11 @@ def judge(
     ``base_failed``: fewer than ``base_words`` words, or more than ``base_repeats`` percent of them
     in repeated windows. Otherwise a document is kept unless one of its distances exceeds its limit.
     A distance is missing, and fails nobody, where the text is too short for it (``min_chars``,
-    ``min_words``), where its language has no reference, and for words of unlisted languages, which
-    have one from ``LEAST`` documents on. A missing text is an empty one and fails the base rules; a
-    document without language is compared with the nearest of all references, among them that of
-    such documents. Repeated rows are judged each. Texts are read once; what follows works on the counts.
+    ``min_words``), where its language has no reference (``LEAST`` documents), and for words where
+    none is common to half of a language's documents. A missing text is an empty one and fails the
+    base rules; a document without language is compared with the nearest of all references, among
+    them that of such documents, by characters alone. Repeated rows are judged each. Texts are read
+    twice, for the common words and for the counts; what follows works on the counts.
     """
     measures = stored(text_measures(documents, doc_id, text, lang), "measures")
     classes = [F.col(f"class_{i}") for i in range(len(CLASSES))]
@@ -200,7 +227,7 @@ def judge(
     references = rows.where(~failed & long).groupBy("lang").agg(
         F.count(F.lit(1)).alias("documents"), *middle.values()
     )
-    references = references.where(F.col("lang").isin(*COMMON) | (F.col("documents") >= LEAST))
+    references = references.where(F.col("documents") >= LEAST)
     for prefix in "cw":
         names = [f"ref_{c}" for c in shared if c[0] == prefix]
         total = reduce(Column.__add__, [F.col(c) for c in names])
@@ -214,16 +241,20 @@ def judge(
         return F.when(q[0].isNotNull(), distance(p, q))
 
     n_classes = len(class_shares)
-    listed = (F.col("n_words") >= min_words) & F.col("lang").isin(*COMMON)
+    listed = (F.col("n_words") >= min_words) & F.col("listed")
     by_class = apart("c", n_classes, F.col)
     by_word = F.when(listed, apart("w", len(word_shares), F.col))
     stated = rows.where("lang IS NOT NULL").join(references, "lang", "left")
     stated = stated.withColumns({"class_distance": by_class, "word_distance": by_word})
     each = F.struct(*[F.col(f"ref_c{i}") for i in range(n_classes)])
     nearest = F.array_min(F.transform("references", lambda r: apart("c", n_classes, r.getField)))
-    unknown = rows.where("lang IS NULL").crossJoin(
-        references.agg(F.collect_list(each).alias("references"))
+    # All references as one list, joined by its size like any table: every key has a copy.
+    row = F.xxhash64("doc_id", "n_chars", "n_words", "word_chars")
+    every = references.agg(F.collect_list(each).alias("references")).select(
+        "references", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     )
+    unknown = rows.where("lang IS NULL").withColumn("salt", F.pmod(row, F.lit(SALTS)).cast("int"))
+    unknown = unknown.join(every, "salt")
     unknown = unknown.withColumns(
         {"class_distance": nearest, "word_distance": F.lit(None).cast("double")}
     )

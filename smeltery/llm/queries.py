@@ -229,14 +229,7 @@ def op6_sql() -> str:
         return f"length(t) - length(regexp_replace(t, {_quoted(pattern)}, '', 'g'))"
 
     classes = list(divergence.CLASSES.values())
-    langs = ", ".join(map(_quoted, divergence.COMMON))
-    size = len(next(iter(divergence.COMMON.values())))
-    word = [
-        "CASE lang "
-        + " ".join(f"WHEN {_quoted(k)} THEN {_quoted(w[i])}" for k, w in divergence.COMMON.items())
-        + " END"
-        for i in range(size)
-    ]
+    size = divergence.COMMON
     class_counts = [f"c{i}" for i in range(len(classes))]
     word_counts = [f"w{i}" for i in range(size)]
     shares = [f"CASE WHEN n_chars > 0 THEN {c} / n_chars ELSE 0 END AS s{c}" for c in class_counts]
@@ -288,6 +281,18 @@ WITH given AS (
 ), covered AS (
   SELECT uid, count(DISTINCT place) AS n_repeat_words
   FROM (SELECT uid, unnest([i, i + 1, i + 2]) AS place FROM triples WHERE n > 1) GROUP BY uid
+), totals AS (
+  SELECT lang, count(*) AS total FROM cut WHERE lang IS NOT NULL GROUP BY lang
+), heard AS (
+  SELECT lang, unnest(list_distinct(list_transform(ws, lambda w: lower(w)))) AS word
+  FROM cut WHERE lang IS NOT NULL
+), ranked AS (
+  SELECT lang, word, count(*) AS n, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS place
+  FROM heard GROUP BY lang, word
+), commons AS (
+  SELECT ranked.lang AS of_lang, list(word ORDER BY place) AS common
+  FROM ranked JOIN totals ON ranked.lang = totals.lang
+  WHERE place <= {size} AND 2 * n >= total AND total >= {divergence.LEAST} GROUP BY ranked.lang
 ), counted AS (
   SELECT cut.uid, doc_id, lang, length(t) AS n_chars, CAST(len(ws) AS BIGINT) AS n_words,
     CAST(length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS BIGINT) AS word_chars,
@@ -295,8 +300,9 @@ WITH given AS (
     CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
     coalesce(n_repeat_words, 0) AS n_repeat_words,
     {', '.join(f'{count(p)} AS c{i}' for i, p in enumerate(classes))},
-    {', '.join(f"CASE WHEN lang IN ({langs}) THEN len(list_filter(ws, lambda w: lower(w) = {w})) ELSE 0 END AS w{i}" for i, w in enumerate(word))}
-  FROM cut LEFT JOIN covered ON cut.uid = covered.uid
+    coalesce(len(common), 0) > 0 AS listed,
+    {', '.join(f"coalesce(len(list_filter(ws, lambda w: lower(w) = common[{i + 1}])), 0) AS w{i}" for i in range(size))}
+  FROM cut LEFT JOIN covered ON cut.uid = covered.uid LEFT JOIN commons ON cut.lang = commons.of_lang
 ), shared AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {', '.join(shares)}
   FROM counted
@@ -305,19 +311,19 @@ WITH given AS (
   WHERE NOT base_failed AND n_chars >= 200 AND n_words >= 100 GROUP BY lang
 ), refs AS (
   SELECT lang AS ref_lang, {references} FROM middles
-  WHERE lang IN ({langs}) OR documents >= {divergence.LEAST}
+  WHERE documents >= {divergence.LEAST}
 ), nearest AS (
   SELECT uid, min({apart(by_class)}) AS d FROM shared, refs WHERE lang IS NULL GROUP BY uid
 ), judged AS (
   SELECT shared.*,
     CASE WHEN n_chars < 200 THEN 0 WHEN lang IS NULL THEN coalesce(d, 0)
       WHEN ref_lang IS NULL THEN 0 ELSE {apart(by_class)} END AS by_class,
-    CASE WHEN n_words >= 100 AND lang IN ({langs}) AND ref_lang IS NOT NULL
+    CASE WHEN n_words >= 100 AND listed AND ref_lang IS NOT NULL
       THEN {apart(by_word)} ELSE 0 END AS by_word
   FROM shared LEFT JOIN refs ON lang = ref_lang LEFT JOIN nearest ON shared.uid = nearest.uid
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND by_class <= 0.15 AND by_word <= 0.25 AS kept
+  NOT base_failed AND by_class <= 0.15 AND by_word <= 0.28 AS kept
 FROM judged
 """
 

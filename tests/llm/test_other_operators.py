@@ -1,6 +1,7 @@
 """Archives, neighbours, classifier, rules, mixing and the pipeline."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -266,6 +267,35 @@ def test_languages_are_judged_by_their_own_characters(spark):
     assert not any(r["base_failed"] for r in got.values())
 
 
+def test_common_words_are_those_of_most_documents(spark):
+    """Counted once a document, at least in half, ties by the word, and none below twenty documents."""
+    rows = [("aa", f"The the THE the. of{i % 3} " + " ".join(f"w{j:02}" for j in range(30 if i % 2 else 5))) for i in range(40)]
+    rows += [("aa", None), ("bb", "x y")] * 2 + [(None, "q")] * 30 + [("cc", "")] * 25 + [("dd", "Z z y " * 9_000)] * 20
+    table = spark.createDataFrame(rows, "lang string, text string").withColumn("text", F.coalesce("text", F.lit("")))
+    got = {r["lang"]: r["common"] for r in divergence.common_words(table).collect()}
+    assert set(got) == {"aa", "cc", "dd"} and got["cc"] == [] and got["dd"] == ["y", "z"]
+    docs = Counter()
+    for lang, text in rows:
+        if lang == "aa":
+            docs.update(set((text or "").lower().split()))
+    often = [w for w, n in sorted(docs.items(), key=lambda x: (-x[1], x[0])) if 2 * n >= 42]
+    assert got["aa"] == often[: divergence.COMMON] and got["aa"][0] == "the"
+
+
+def test_words_tell_a_text_of_another_kind(spark):
+    common, rest = "the of and to in is it on".split(), [f"thing{i}" for i in range(400)]
+    rng = random.Random(5)
+    plain = [" ".join(rng.choice(common if rng.random() < 0.4 else rest) for _ in range(300)) for _ in range(60)]
+    other = " ".join(rng.choice(rest) for _ in range(300))
+    rows = [(i, text, "zz") for i, text in enumerate(plain)] + [(90, other, "zz"), (91, other, "few"), (92, other, None)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    clash = {"ws": "w", "counts": "c", "class_0": "x", "common": "y", "references": "r", "salt": "s", "listed": "l"}
+    documents = documents.withColumns({k: F.lit(v) for k, v in clash.items()})
+    got = {r["doc_id"]: r for r in divergence.judge(documents).collect()}
+    assert [i for i, r in got.items() if not r["kept"]] == [90] and got[90]["word_distance"] > 0.28
+    assert got[91]["word_distance"] is None and got[92]["word_distance"] is None
+
+
 # --- mixing
 
 
