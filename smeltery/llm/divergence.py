@@ -115,7 +115,7 @@ def common_words(rows: DataFrame) -> DataFrame:
     Per language the word counts of the tasks are ranked where they are added up, so no task meets
     more than a few words of a language.
     """
-    found = F.array_distinct(F.transform(words(F.col("text")), F.lower))
+    found = F.array_distinct(words(F.lower("text")))
     # No word is empty: the empty one counts the language's documents, and ranks first.
     counted = (
         rows.where("lang IS NOT NULL")
@@ -150,35 +150,46 @@ def text_measures(documents: DataFrame, doc_id: str, text: str, lang: str) -> Da
     # One row per language; Spark sees from the stored size whether to broadcast it.
     rows = rows.join(stored(common_words(rows), "common"), "lang", "left")
     lines = F.filter(F.split("text", "\n", -1), lambda line: line.rlike(WORD))
-    spaces = F.regexp_count("text", F.lit(SPACE))
 
-    def commons(ws: Column) -> Column:
-        known = F.filter(F.transform(ws, F.lower), lambda w: F.array_contains("common", w))
-        return _let(known, lambda ks: F.transform("common", lambda c: F.size(F.filter(ks, lambda k: k == c))))
+    # Blanks around every word, two between, so that neighbours are both found.
+    spread = F.regexp_replace(F.lower("text"), f"{SPACE}+", "  ")
+    padded = F.concat(F.lit(" "), spread, F.lit(" "))
+
+    def common(i: int) -> Column:
+        of = F.concat(F.lit(" "), F.get("common", F.lit(i)), F.lit(" "))
+        gone = F.octet_length("padded") - F.octet_length(F.replace(F.col("padded"), of))
+        return F.coalesce((gone / F.octet_length(of)).cast("bigint"), F.lit(0))
+
+    def without(column: str, pattern: str) -> Column:
+        return F.regexp_replace(column, f"{pattern}+", "")
+
+    # No character is in two classes, so the few of the other classes are counted in what is left
+    # of a text without its letters and white space, whose runs are taken out at once.
+    classes = list(CLASSES.values())
+    spaces = F.length("left_0") - F.length("left_1")
+    counts = [F.regexp_count("left_1", F.lit(pattern)) for pattern in classes]
+    counts[0] = F.length("text") - F.length("left_0")
+    counts[classes.index(SPACE)] = spaces
 
     return (
         rows.withColumn("ws", words(F.col("text")))
-        .withColumn("counts", commons(F.col("ws")))
+        .withColumn("padded", padded)
+        .withColumn("left_0", without("text", classes[0]))
+        .withColumn("left_1", without("left_0", SPACE))
         .select(
             "doc_id",
             "lang",
             F.size("ws").cast("bigint").alias("n_words"),
             F.length("text").cast("bigint").alias("n_chars"),
             (F.length("text") - spaces).cast("bigint").alias("word_chars"),
-            F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
+            F.regexp_count("left_1", F.lit(r"[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
             _let(lines, lambda ls: F.size(ls) - F.size(F.array_distinct(ls)))
             .cast("bigint")
             .alias("n_dup_lines"),
             _let(F.col("ws"), lambda ws: repeated_words(ws)).alias("n_repeat_words"),
-            *[
-                F.regexp_count("text", F.lit(pattern)).alias(f"class_{i}")
-                for i, pattern in enumerate(CLASSES.values())
-            ],
+            *[n.alias(f"class_{i}") for i, n in enumerate(counts)],
             (F.size("common") > 0).alias("listed"),
-            *[
-                F.coalesce(F.get("counts", F.lit(i)), F.lit(0)).alias(f"common_{i}")
-                for i in range(COMMON)
-            ],
+            *[common(i).alias(f"common_{i}") for i in range(COMMON)],
         )
     )
 
