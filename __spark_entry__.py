@@ -23,7 +23,7 @@ from pyspark.sql.types import TimestampType
 from smeltery.operators import quality, refine, reports
 from smeltery.plans import jobs, sales
 from smeltery.run import Run
-from smeltery.sources import tables
+from smeltery.sources import summaries, tables
 from smeltery.sources.raw import read_raw
 
 SALES = """
@@ -304,6 +304,22 @@ def silver_extended(spark, sf_dir):
     return utc_clock(done.rows)
 
 
+def summarised(spark, sf_dir):
+    """Two loads in two parts of silver, the groups of each kept beside it and added up."""
+    root, raw = scratch(spark), raw_sales(spark, sf_dir)
+    bronze, target = sales.bronze_table(root), sales.silver_table(root)
+    for load, run in ((BRONZE_RUN, SILVER_RUN), (SECOND_RUN, LATER_SILVER_RUN)):
+        jobs.ingest_bronze(spark, raw, bronze, load)
+        jobs.extend_silver(spark, bronze, target, run)
+        summaries.keep(spark, target, sales.silver_summary())
+    return summaries.read(spark, target, sales.silver_summary())
+
+
+def state_category_summary(spark, sf_dir):
+    report = sales.state_category_of_summary(summarised(spark, sf_dir))
+    return rounded(report, receita_total=2, ticket_medio=4)
+
+
 def silver_roundtrip(spark, sf_dir, fmt="parquet", rebalance=True):
     target = sales.silver_table(scratch(spark), fmt)
     done = jobs.refresh_silver(spark, sales_rows(spark, sf_dir), target, SILVER_RUN, rebalance)
@@ -491,6 +507,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "loaded_on_date_stored": loaded_on_date_stored,
         "bronze_monitor_orc": lambda s, d: bronze_monitor_stored(s, d, "orc"),
         "silver_extended": silver_extended,
+        "state_category_summary": state_category_summary,
+        "top_states_summary": lambda s, d: rounded(
+            sales.top_states_of_summary(summarised(s, d)), receita=2
+        ),
+        "silver_monitor_summary": lambda s, d: rounded(
+            sales.silver_monitor_of_summary(summarised(s, d)), revenue=2
+        ),
         "silver_roundtrip": silver_roundtrip,
         "silver_roundtrip_orc": lambda s, d: silver_roundtrip(s, d, "orc"),
         "silver_unshuffled": lambda s, d: silver_roundtrip(s, d, rebalance=False),
@@ -680,6 +703,14 @@ def oracle_sql() -> dict[str, str]:
         "silver_extended": f"{two_loads_with} SELECT *, {FIRST_STAMP} FROM silver "
         f"WHERE bronze_load_id = 'load-1' UNION ALL SELECT *, {LATER_STAMP} FROM silver "
         "WHERE bronze_load_id = 'load-2'",
+        "state_category_summary": f"{two_loads_with} {by_state_and_band}",
+        "top_states_summary": f"{two_loads_with} SELECT estado, round(sum(valor), 2) AS receita "
+        "FROM silver GROUP BY estado ORDER BY receita DESC, estado LIMIT 3",
+        "silver_monitor_summary": f"{two_loads_with} SELECT * FROM (SELECT 'total' AS scope, "
+        "CAST(NULL AS VARCHAR) AS estado, count(*) AS total_rows, round(sum(valor), 2) AS revenue, "
+        "CAST(100 AS DOUBLE) AS quality_pct FROM silver) "
+        "UNION ALL SELECT * FROM (SELECT 'estado', estado, count(*), round(sum(valor), 2), "
+        "CAST(100 AS DOUBLE) FROM silver GROUP BY estado ORDER BY 4 DESC, 2 LIMIT 3)",
         "pipeline_resumed": f"{sales_with} , kept AS (SELECT id_venda FROM sales WHERE {kept}) "
         "SELECT 'rows_read' AS metric, CAST(count(*) AS DOUBLE) AS value FROM sales "
         "UNION ALL SELECT unnest(['rows', 'stored']), CAST(count(*) AS DOUBLE) FROM kept "

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from smeltery.operators import quality, refine, reports
+from smeltery.operators import quality, refine, reports, summary
 from smeltery.run import Run
 from smeltery.sources.log import Stats
+from smeltery.sources.summaries import Summary
 from smeltery.sources.tables import Table
 
 
@@ -201,6 +202,36 @@ def silver_monitor(silver: DataFrame, k: int = 3) -> DataFrame:
     )
 
 
+def silver_summary() -> Summary:
+    """Silver by state and band: what the report, the top states and the monitor add up."""
+    by = ("estado", "categoria_valor")
+    return Summary(
+        "estado_categoria",
+        lambda rows: summary.summarise(
+            rows, by, "valor", "silver_quality_score", QUALITY_AT_LEAST
+        ),
+        lambda groups: summary.added_up(groups, by),
+    )
+
+
+def state_category_of_summary(groups: DataFrame) -> DataFrame:
+    return summary.revenue_report(
+        groups,
+        by=("estado", "categoria_valor"),
+        count="total_vendas",
+        total="receita_total",
+        average="ticket_medio",
+    )
+
+
+def top_states_of_summary(groups: DataFrame, k: int = 3) -> DataFrame:
+    return summary.top_groups(groups, "estado", "receita", k)
+
+
+def silver_monitor_of_summary(groups: DataFrame, k: int = 3) -> DataFrame:
+    return summary.monitor(groups, "estado", k)
+
+
 def register_view(silver: DataFrame, name: str = SILVER_VIEW) -> DataFrame:
     """Make the silver rows available to ``spark.sql`` under ``name``."""
     silver.createOrReplaceTempView(name)

@@ -186,6 +186,11 @@ def read(spark: SparkSession, table: Table, version: Version | None = None) -> D
     return _load(spark, table, version.locations, version.schema)
 
 
+def read_part(spark: SparkSession, table: Table, version: Version, part: Part) -> DataFrame:
+    """The rows of one part of a version."""
+    return _of_parts(spark, table, version, lambda p: p.location == part.location)
+
+
 def read_between(spark: SparkSession, table: Table, column: str, start: int, end: int) -> DataFrame:
     """The rows of the loads that may hold an instant in [start, end), in microseconds.
 

@@ -18,6 +18,9 @@ ORDERED = {
     "state_category_sql",
     "top_states",
     "silver_monitor",
+    "silver_monitor_summary",
+    "state_category_summary",
+    "top_states_summary",
     "latest_rows",
     "latest_loads_stored",
     "lineitem_revenue",

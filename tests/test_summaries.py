@@ -1,0 +1,94 @@
+"""Groups kept beside the parts of a table."""
+
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.testing import assertDataFrameEqual
+
+from smeltery.plans import jobs, sales
+from smeltery.sources import files, summaries, tables
+from smeltery.sources.tables import NoSuchTable
+from test_refine import GOLDEN, RUN
+
+SUMMARY = sales.silver_summary()
+MARKS = f"summaries/{SUMMARY.name}/done"
+
+
+@pytest.fixture
+def silver(spark, folder):
+    """Three parts with scores on both sides of the threshold, values missing, and not a number."""
+    table = sales.silver_table(folder)
+    rows = sales.stamp_silver(sales.to_silver(sales.stamp_bronze(_raw(spark), RUN)), RUN)
+    scored = rows.withColumn("silver_quality_score", F.pmod("id_venda", F.lit(3)) * 45 + 10)
+    odd = scored.withColumn("valor", F.when(F.col("estado") == "SP", F.lit(None)).otherwise(F.col("valor")))
+    nan = scored.limit(1).withColumns({"valor": F.lit(float("nan")), "estado": F.lit(None).cast("string")})
+    for i, part in enumerate((scored, odd, nan)):
+        part = part.select(*[F.col(c).cast(scored.schema[c].dataType) for c in scored.columns])
+        tables.stage(part.repartition(4), table, f"r{i}", rebalance=False)
+        tables.publish(spark, table, f"r{i}", scored.schema, added=i > 0)
+    return table
+
+
+def _raw(spark):
+    more = [(i, f"n{i}", "p", float(i % 7 * 100 + 1), "2024-01-15", ("SP", "RJ", None)[i % 3]) for i in range(10, 60)]
+    return spark.createDataFrame([*GOLDEN, *more], sales.RAW)
+
+
+def _same_reports(spark, silver):
+    rows, groups = tables.read(spark, silver), summaries.read(spark, silver, SUMMARY)
+    for scanned, added in (
+        (sales.state_category_report(rows), sales.state_category_of_summary(groups)),
+        (sales.top_states(rows), sales.top_states_of_summary(groups)),
+        (sales.silver_monitor(rows), sales.silver_monitor_of_summary(groups)),
+    ):
+        assert scanned.schema.simpleString() == added.schema.simpleString()
+        assertDataFrameEqual(added, scanned, checkRowOrder=True)
+    return groups
+
+
+def test_reports_of_summaries_equal_those_of_rows_and_read_none(spark, silver):
+    assert "/runs/" in "".join(_same_reports(spark, silver).inputFiles())  # none kept yet
+    assert summaries.keep(spark, silver, SUMMARY) == ["r0", "r1", "r2"]
+    groups = _same_reports(spark, silver)
+    assert "/runs/" not in "".join(groups.inputFiles()) and groups.inputFiles()
+    assert summaries.keep(spark, silver, SUMMARY) == []
+
+
+def test_a_lost_summary_is_scanned_and_made_again(spark, silver):
+    summaries.keep(spark, silver, SUMMARY)
+    files.delete(spark, f"{silver.path}/{MARKS}/r1")  # as after a run that died before its mark
+    found = "".join(_same_reports(spark, silver).inputFiles())
+    assert "__run=r1" in found and "__run=r0" not in found
+    assert summaries.keep(spark, silver, SUMMARY) == ["r1"]
+    _same_reports(spark, silver)
+
+
+def test_compaction_keeps_summaries_without_a_scan(spark, silver, monkeypatch):
+    summaries.keep(spark, silver, SUMMARY)
+    assert tables.compact(spark, silver, "packed")
+    monkeypatch.setattr(tables, "read_part", lambda *_: pytest.fail("a part was scanned"))
+    assert summaries.keep(spark, silver, SUMMARY) == ["packed"]
+    monkeypatch.undo()
+    _same_reports(spark, silver)
+
+
+def test_compaction_of_parts_without_summaries_is_scanned(spark, silver):
+    assert tables.compact(spark, silver, "packed")
+    assert summaries.keep(spark, silver, SUMMARY) == ["packed"]
+    _same_reports(spark, silver)
+
+
+def test_a_refresh_replaces_them(spark, silver):
+    summaries.keep(spark, silver, SUMMARY)
+    bronze = sales.stamp_bronze(_raw(spark), RUN)
+    again = replace(RUN, id="again")
+    assert jobs.refresh_silver(spark, bronze.where("id_venda > 30"), silver, again).ok
+    groups = _same_reports(spark, silver)
+    assert groups.agg(F.sum("rows")).first()[0] == tables.read(spark, silver).count()
+
+
+def test_no_table_has_no_summary(spark, folder):
+    for step in (summaries.keep, summaries.read):
+        with pytest.raises(NoSuchTable):
+            step(spark, sales.silver_table(folder), SUMMARY)
