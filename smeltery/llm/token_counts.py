@@ -119,15 +119,25 @@ class Counter:
         self.tokenizer.no_padding()
         self.cost = Costs(self.tokenizer, singles).__getitem__
         self.cut = regex.compile(pattern).findall
-        self.odd = re.compile(unproven).search
+        # The class is slow to search; it sees every character once, not every text.
+        self.odd, self.met = re.compile(unproven).findall, set()
         added = self.tokenizer.get_added_tokens_decoder().values()
         # Strings of added tokens cut the text and count one each; other rules need the tokenizer.
         self.plain = [t.content for t in added if not (t.lstrip or t.rstrip or t.single_word)]
         self.special = [t.content for t in added if t.content not in self.plain]
         self.split = re.compile("|".join(map(re.escape, self.plain)) or r"(?!)").split
 
+    def unproven(self, text: str) -> bool:
+        """Whether the text has a character on which the two libraries may cut differently."""
+        fresh = set(text) - self.met
+        if not fresh:
+            return False
+        odd = self.odd("".join(fresh))
+        self.met |= fresh.difference(odd)
+        return bool(odd)
+
     def __call__(self, text: str) -> int:
-        if any(s in text for s in self.special) or not text.isascii() and self.odd(text):
+        if any(s in text for s in self.special) or not text.isascii() and self.unproven(text):
             return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
         parts = self.split(text)
         return len(parts) - 1 + sum(sum(map(self.cost, self.cut(part))) for part in parts)

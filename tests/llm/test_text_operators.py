@@ -68,6 +68,20 @@ def test_every_single_token_is_proven():
     assert all(len(library.encode(s).ids) == 1 for s in singles[::97])
 
 
+def test_characters_are_looked_up_in_the_unproven_class_once():
+    library = Tokenizer.from_file(VOCABULARY)
+    proven = token_counts.proven(VOCABULARY, public_tokenizers.PATTERN)
+    counter = token_counts.Counter(*proven, public_tokenizers.PATTERN)
+    look, seen = counter.odd, Counter()
+    counter.odd = lambda characters: seen.update(characters) or look(characters)
+    # U+0378 is assigned to no character; what stands beside it is proven all the same.
+    texts = ["naïve 漢字 🙂 " * 500, "x \u0378x漢é", "\u0378\u0378", "é 漢字x 🙂", "naïve x\u0378 🙂字"]
+    for text in texts * 3:
+        assert counter(text) == len(library.encode(text, add_special_tokens=False).ids)
+    assert seen.pop("\u0378") == 9
+    assert set(seen) == set("".join(texts)) - {"\u0378"} and set(seen.values()) == {1}
+
+
 @pytest.mark.parametrize("table", ["odd", "documents"])
 def test_encoding_is_the_librarys_and_decodes_to_the_text(request, table):
     df = request.getfixturevalue(table)
